@@ -10,6 +10,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -91,3 +92,16 @@ def shingles(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
         has = j < width
         h[has] += w.hash[first[has] + j] * p[j + 1]
     return mix(h + width.astype(np.uint64)), off
+
+
+def slices(batch: pa.RecordBatch, text: str = "text", most_bytes: int = 1 << 20):
+    """A batch in pieces of about `most_bytes` of text, one whole text at least, so that arrays stay small."""
+    column = batch.column(text)
+    size = np.asarray(pa.compute.binary_length(column.cast(pa.large_string()).fill_null("")))
+    total = np.cumsum(size)
+    at = 0
+    while at < len(size):
+        done = total[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(total, done + most_bytes, "right")))
+        yield batch.slice(at, to - at)
+        at = to
