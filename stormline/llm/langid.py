@@ -9,7 +9,7 @@ text too; a document takes the language with the largest share of its letters.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -97,7 +97,7 @@ def emissions(found: tuple, weights: np.ndarray) -> np.ndarray:
 def posteriors(e: np.ndarray, first: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Probabilities by word of texts with words first[i]:first[i+1], and the summed pair expectations.
 
-    Exact forward-backward. Texts are cut into chunks: each chunk's transfer matrix is built
+    Exact forward-backward, without a move before a text's first word. Texts are cut into chunks: each chunk's transfer matrix is built
     for all chunks at once, then chained along the text, then the chunks are filled in.
     """
     n, lang = e.shape
@@ -105,7 +105,7 @@ def posteriors(e: np.ndarray, first: np.ndarray, moves: np.ndarray) -> tuple[np.
     pieces = -(-size // CHUNK)
     text = np.repeat(np.arange(len(size)), pieces)
     rank = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    start = first[:-1][text] + rank * CHUNK
+    start, opens = first[:-1][text] + rank * CHUNK, rank == 0
     width = np.minimum(CHUNK, first[1:][text] - start)
     c = len(text)
     p = np.zeros((CHUNK, c, lang))
@@ -122,7 +122,7 @@ def posteriors(e: np.ndarray, first: np.ndarray, moves: np.ndarray) -> tuple[np.
         on = live[i]
         if not on.any():
             break
-        x = (m @ step) * p[i][:, None, :]
+        x = (m @ step if i else np.where(opens[:, None, None], m, m @ step)) * p[i][:, None, :]
         x /= x.sum((1, 2), keepdims=True) + 1e-300
         m[on] = x[on]
     head = np.cumsum(pieces) - pieces
@@ -137,7 +137,7 @@ def posteriors(e: np.ndarray, first: np.ndarray, moves: np.ndarray) -> tuple[np.
     fore = np.zeros((CHUNK, c, lang))
     a = before
     for i in range(CHUNK):
-        x = (a @ step) * p[i]
+        x = (a @ step if i else np.where(opens[:, None], a, a @ step)) * p[i]
         x /= x.sum(1, keepdims=True) + 1e-300
         a = np.where(live[i][:, None], x, a)
         fore[i] = a
@@ -152,8 +152,8 @@ def posteriors(e: np.ndarray, first: np.ndarray, moves: np.ndarray) -> tuple[np.
         back = (p[i] * b)
         prior = fore[i - 1] if i else before
         xi = prior[on][:, :, None] * step[None] * back[on][:, None, :]
-        if i == 0:  # the first word of a text has no move before it
-            xi = xi[rank[on] > 0]
+        if i == 0:
+            xi = xi[~opens[on]]
         pair += (xi / (xi.sum((1, 2), keepdims=True) + 1e-300)).sum(0)
         x = back @ step.T
         x /= x.sum(1, keepdims=True) + 1e-300
@@ -242,8 +242,10 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
-def identify_languages(df: DataFrame, doc_id: str, text: str, lang: str, per_lang: int = SAMPLE_DOCS) -> DataFrame:
-    """doc_id, held_out, lang_pred, score and `shares` (language to share of letters) of every row.
+def identify_languages(df: DataFrame, doc_id: str, text: str, lang: str, per_lang: int = SAMPLE_DOCS, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, held_out, lang_pred, score, `shares` (language to share of letters) and `row` of every row.
+
+    `row` is a struct of the `carry` columns, so that a filter needs no join; it is absent if none are named.
 
     Learns from rows that aren't held out, with text, letters and language; at most about
     `per_lang` of each language are used. Predictions see the text alone. A null text or one without a
@@ -251,24 +253,26 @@ def identify_languages(df: DataFrame, doc_id: str, text: str, lang: str, per_lan
     first language in code point order. A null doc_id isn't held out. Repeated rows stay.
     """
     spark = df.sparkSession
-    rows = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    more = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []
+    rows = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"), *more)
+    kept = ["row"] if carry else []
     lettered = F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False))
     out = F.coalesce(held_out(F.col("id")), F.lit(False))
     texts, labels = training_sample(rows.where(~out & F.col("lang").isNotNull() & lettered & F.col("id").isNotNull()), per_lang)
     if not texts:
-        return rows.select(F.col("id").alias(doc_id), out.alias("held_out"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.create_map().cast("map<string,double>").alias("shares"))
+        return rows.select(F.col("id").alias(doc_id), out.alias("held_out"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.create_map().cast("map<string,double>").alias("shares"), *kept)
     model = train(texts, labels)
     sent = spark.sparkContext.broadcast(model)  # 2^TABLE_BITS rows of a float for each language
-    scored = rows.select("id", "text", lettered.alias("lettered")).mapInArrow(
-        lambda it: shares(it, sent.value), f"id {rows.schema['id'].dataType.simpleString()}, lettered boolean, shares array<double>"
-    )
+    asked = rows.select("id", "text", lettered.alias("lettered"), *kept)
+    schema = ", ".join(f"{c} {t}" for c, t in asked.drop("text").dtypes) + ", shares array<double>"
+    scored = asked.mapInArrow(lambda it: shares(it, sent.value), schema)
     names = F.array(*[F.lit(x) for x in model.langs])
     best = F.array_max("shares")
     return scored.select(
         F.col("id").alias(doc_id), F.coalesce(held_out(F.col("id")), F.lit(False)).alias("held_out"),
         F.when(F.col("lettered"), F.element_at(names, F.array_position("shares", best).cast("int"))).otherwise("und").alias("lang_pred"),
         F.when(F.col("lettered"), F.least(best, F.lit(1.0))).otherwise(0.0).alias("score"),
-        F.map_from_arrays(names, "shares").alias("shares"),
+        F.map_from_arrays(names, "shares").alias("shares"), *kept,
     )
 
 

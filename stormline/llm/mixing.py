@@ -64,7 +64,7 @@ def mix_sources(
     rank_buckets: int = RANK_BUCKETS,
     carry: Sequence[str] = (),
 ) -> DataFrame:
-    """`key`, size, source_size, target, taken and the `carry` columns, a row for each row of df.
+    """`key`, size, source_size, target, taken, copies and the `carry` columns, a row for each row of df.
 
     Each document is worth target / source_size copies. The whole copies are certain; the
     rest p is the inclusion probability of one copy more, drawn by Pareto order sampling:
@@ -75,18 +75,17 @@ def mix_sources(
     the one bucket in which the target falls. Rows with one key and text rank alike, in a row.
     A null text has size 0; size 0 is never taken. An empty table gives an empty result.
     """
-    inner = "_key", "_source"
     rows = df.select(
         F.col(key).alias("_key"), F.col(source).alias("_source"), word_count(F.col(text)).alias("size"),
         F.xxhash64(text).alias("_text"), *[F.col(c).alias(f"_carry_{c}") for c in carry],
     )
     sizes = rows.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, share, cap)
-    copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    worth = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     plan = targets.select(
-        "source", "source_size", "target", F.floor(copies).cast("long").alias("_whole"),
-        (copies - F.floor(copies)).alias("_p"),
-        (F.col("target") - F.floor(copies) * F.col("source_size")).alias("_left"),
+        "source", "source_size", "target", F.floor(worth).cast("long").alias("_whole"),
+        (worth - F.floor(worth)).alias("_p"),
+        (F.col("target") - F.floor(worth) * F.col("source_size")).alias("_left"),
     )
     u = uniform(seed, F.col("_key"))
     odds = (u / (1 - u)) / (F.col("_p") / (1 - F.col("_p")))
@@ -111,9 +110,10 @@ def mix_sources(
     outside = ranked.where(~F.coalesce(at, F.lit(False))).withColumn("_upto", F.lit(None).cast("long")).withColumn(
         "_more", ((F.col("_b") < F.col("_cut_b")) | (F.col("_cut_b").isNull() & (F.col("_left") > 0) & (F.col("_p") > 0))).cast("long")
     )
+    copies = F.col("_whole") + F.coalesce("_more", F.lit(0))
     return inside.unionByName(outside).select(
         F.col("_key").alias(key), "size", "source_size", "target",
-        (F.col("size") * (F.col("_whole") + F.coalesce("_more", F.lit(0)))).alias("taken"),
+        (F.col("size") * copies).alias("taken"), copies.alias("copies"),
         *[F.col(f"_carry_{c}").alias(c) for c in carry],
     )
 

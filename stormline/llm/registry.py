@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+from stormline.llm.fingerprint import op2_fingerprint
 from stormline.llm.langid import op10_language_id
+from stormline.llm.linededup import op8_line_dedup
 from stormline.llm.lm import op9_lm_score
 from stormline.llm.mixing import op4_mixing
 from stormline.llm.ngram_join import op1_ngram_jaccard_join
+from stormline.llm.pieces import op7_piece_sampling
 from stormline.llm.secrets import op3_secret_scan
 from stormline.llm.sharding import op5_sharding
 from stormline.llm.topk import op6_topk
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_fingerprint": op2_fingerprint,
     "op3_secret_scan": op3_secret_scan,
     "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
     "op6_topk": op6_topk,
+    "op7_piece_sampling": op7_piece_sampling,
+    "op8_line_dedup": op8_line_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_language_id": op10_language_id,
 }
