@@ -1,0 +1,30 @@
+"""What an event does to the service: gaps, peers and ratios."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def gaps_at_place(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str) -> DataFrame:
+    """Seconds since the call before at the same place, over midnight too; cut out days after this."""
+    return df.withColumn("gap_s", F.col(ts) - F.lag(ts).over(Window.partitionBy(*keys).orderBy(*order)))
+
+
+def peer_level(df: DataFrame, outer: Sequence[str], inner: str, value: str) -> DataFrame:
+    """The median over inner groups of their own medians."""
+    return df.groupBy(*outer, inner).agg(F.median(value).alias("m")).groupBy(*outer).agg(F.median("m").alias("peer_level"), F.count("*").alias("n_peers"))
+
+
+def expected_by_mix(mix: DataFrame, ratios: DataFrame, keys: Sequence[str], on: str, base: str, ratio: str) -> DataFrame:
+    """Sum over the mix of base * the system's ratio, and the part of it with a known ratio."""
+    both = mix.join(ratios, on, "left")
+    return both.groupBy(*keys).agg(F.sum(F.col(base) * F.col(ratio)).alias("expected"), (F.count(ratio) / F.count("*")).alias("known"))
+
+
+def with_controls(event: DataFrame, control: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Event and control values side by side; a place without service on one side stays, with 0."""
+    a, b = event.withColumnRenamed(value, "event_value"), control.withColumnRenamed(value, "control_value")
+    return a.join(b, list(keys), "full_outer").select(*keys, F.coalesce("event_value", F.lit(0)).alias("event_value"), F.coalesce("control_value", F.lit(0)).alias("control_value"))
