@@ -99,7 +99,7 @@ def d5(spark, sf):
 @query("d6_passage_facts", f"""
 WITH {PINGS}, o AS (SELECT *, lag(stop_id) OVER w AS passed, lag(ts) OVER w AS ts0 FROM pings WHERE trip_id IS NOT NULL WINDOW w AS (PARTITION BY vehicle_id, trip_id, start_date ORDER BY ts, fetched_at, stop_id)),
 f AS (SELECT vehicle_id, trip_id, route_id, passed AS stop_id, ((ts0 + ts) / 2.0)::DOUBLE AS arr, row_number() OVER (PARTITION BY vehicle_id, trip_id, start_date, passed ORDER BY ts0) AS r FROM o WHERE passed <> stop_id), p AS (SELECT * FROM f WHERE r = 1)
-SELECT x.vehicle_id, x.trip_id, x.stop_id, x.arr, x.arr - max(y.arr) AS headway_s FROM p x LEFT JOIN p y ON y.stop_id = x.stop_id AND y.arr < x.arr AND y.vehicle_id <> x.vehicle_id AND y.trip_id <> x.trip_id GROUP BY ALL""")
+SELECT x.vehicle_id, x.trip_id, x.stop_id, x.arr, x.arr - max(y.arr) AS headway_s FROM p x LEFT JOIN p y ON y.stop_id = x.stop_id AND y.arr < x.arr AND y.vehicle_id <> x.vehicle_id AND y.trip_id <> x.trip_id GROUP BY x.vehicle_id, x.trip_id, x.stop_id, x.arr""")
 def d6(spark, sf):
     from stormline.operators.windows import previous_other
     from stormline.plans.passages import observed
@@ -296,3 +296,12 @@ def s2(spark, sf):
     assert read_optional(spark, path) is None  # nothing was captured yet
     pings(spark, sf).where("trip_id IS NOT NULL").write.parquet(path)
     return read_optional(spark, path).agg(F.count("*").alias("n"))
+
+
+@query("f10_point_in_ring", """
+SELECT s_suppkey, (s_suppkey % 10) + 0.5 > 2 AND (s_suppkey % 10) + 0.5 < 7 AND (s_suppkey % 7) + 0.25 > 1 AND (s_suppkey % 7) + 0.25 < 5 AS inside FROM supplier""")
+def f10(spark, sf):
+    from stormline.functions.geo import in_ring
+
+    ring = F.array(*[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in ((2, 1), (7, 1), (7, 5), (2, 5), (2, 1))])
+    return table(spark, sf, "supplier").select("s_suppkey", in_ring(F.expr("s_suppkey % 10 + 0.5D"), F.expr("s_suppkey % 7 + 0.25D"), ring).alias("inside"))

@@ -322,7 +322,7 @@ def d32(spark, sf):
 
 @query("d33_surge_margins", f"""
 WITH {PLACES}, st AS (SELECT n_nationkey AS site, -74.05::DOUBLE + 0.02::DOUBLE * (n_nationkey % 7) AS lon2, 40.62::DOUBLE + 0.03::DOUBLE * (n_nationkey // 7) AS lat2, 1.5::DOUBLE + n_nationkey * 0.1::DOUBLE AS threshold FROM nation), x AS (SELECT place_id, score, lon AS lon1, lat AS lat1, site, lon2, lat2, threshold FROM places, st), {distance_sql('x')}
-SELECT place_id, site, round(score / 1000 - threshold, 6) AS margin FROM (SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY dist_m, site) AS r FROM d) WHERE r = 1""")
+SELECT place_id, site, round(score / 1000 - threshold, 6) AS margin FROM (SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY dist_m, site) AS rk FROM d) WHERE rk = 1""")
 def d33(spark, sf):
     from stormline.plans.exposure import surge_margins
 

@@ -209,3 +209,45 @@ def x12(spark, sf):
     hours = drain.hourly(landed(spark, sf, "hourly", e, 1), "t", "0 seconds", F.count("*").alias("n"), keys=("event_type",))
     drain.drain(hours.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", folder(spark, "state")))
     return spark.read.schema("hour_end timestamp, event_type string, n long").parquet(out).select(F.unix_timestamp("hour_end").alias("hour_end_s"), "event_type", "n")
+
+
+@query("s9_json_source", f"WITH {PINGS} SELECT count(*) AS n, count(DISTINCT vehicle_id) AS n_vehicles FROM pings WHERE event_id % 40 <> 0")
+def s9(spark, sf):
+    msg = F.when(F.col("event_id") % 40 != 0, F.to_json(F.struct("vehicle_id", "ts", "fetched_at"))).otherwise("not json")
+    p = live.parsed(pings(spark, sf).select(msg.alias("value")), "vehicle_id string, ts long, fetched_at long")
+    return p.agg(F.count("*").alias("n"), F.countDistinct("vehicle_id").alias("n_vehicles"))
+
+
+@query("s12_event_time_append", f"""
+WITH {PINGS} SELECT strftime(to_timestamp(ts) AT TIME ZONE 'UTC', '%H') AS hour, count(*) AS n, min(ts) AS first_ts FROM pings GROUP BY ALL""")
+def s12(spark, sf):
+    out = folder(spark, "by-time")
+    p = pings(spark, sf).drop("hour", "date")
+    lake.append_by_event_time(p.where("event_id % 2 = 0"), out, "ts")
+    lake.append_by_event_time(p.where("event_id % 2 = 1"), out, "ts")
+    df = spark.read.schema("event_id long, ts long, date string, hour string").parquet(out)
+    return df.groupBy("hour").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"))
+
+
+@query("x1_two_streams", f"WITH {PINGS} SELECT 'positions' AS topic, count(*) AS n FROM pings UNION ALL SELECT 'predictions', count(*) FROM pings WHERE trip_id IS NOT NULL")
+def x1(spark, sf):
+    p = pings(spark, sf).select("vehicle_id", "trip_id", "ts", "fetched_at")
+    topics = {"positions": p, "predictions": p.where("trip_id IS NOT NULL")}
+    out = {name: folder(spark, name) for name in topics}
+    drain.drain_all([drain.append_stream(landed(spark, sf, f"{name}-in", df), out[name], folder(spark, "state"), "ts", lambda b: b) for name, df in topics.items()])
+    counts = [spark.read.parquet(path).agg(F.lit(name).alias("topic"), F.count("*").alias("n")) for name, path in out.items()]
+    return counts[0].union(counts[1])
+
+
+@query("x8_replayed_rows", f"""
+WITH {PINGS} SELECT strftime(to_timestamp(ts) AT TIME ZONE 'UTC', '%H') AS hour, count(*) AS n FROM (SELECT DISTINCT vehicle_id, ts FROM pings) GROUP BY ALL""")
+def x8(spark, sf):
+    from stormline.operators.windows import latest_by
+
+    out = folder(spark, "replay")
+    p = pings(spark, sf).select("vehicle_id", "ts", "fetched_at")
+    for late in (0, 7200):  # the same rows again, two hours later, land where they belong
+        again = p.withColumn("fetched_at", F.col("fetched_at") + late)
+        drain.drain(drain.append_stream(landed(spark, sf, "again", again), out, folder(spark, "state"), "ts", lambda b: b))
+    rows = spark.read.schema("vehicle_id string, ts long, fetched_at long, date string, hour string").parquet(out)
+    return latest_by(rows, ["vehicle_id", "ts"], [F.desc("fetched_at")]).groupBy("hour").agg(F.count("*").alias("n"))

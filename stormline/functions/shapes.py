@@ -23,7 +23,7 @@ def _cut(ring: Column, axis: str, at: Column, keep_above: bool) -> Column:
         return F.concat(F.when(inside(a) != inside(b), F.array(cross)).otherwise(none), F.when(inside(b), F.array(b)).otherwise(none))
 
     points = F.flatten(F.transform(F.sequence(F.lit(1), F.size(ring) - 1), edge))
-    closed = F.concat(F.slice(points, F.size(points), 1), points)
+    closed = F.concat(F.slice(points, -1, 1), points)
     return F.when(F.size(ring) >= 4, closed).otherwise(F.array().cast("array<struct<x:double,y:double>>"))
 
 

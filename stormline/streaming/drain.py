@@ -76,3 +76,10 @@ def latch_levels(stream: DataFrame, window_h: int) -> DataFrame:
         yield pd.DataFrame(rows, columns=["unit", "anchor", "h", "level", "latched"])
 
     return stream.groupBy("unit").applyInPandasWithState(step, LATCH, "anchor long, top int", "append", GroupStateTimeout.NoTimeout)
+
+
+def drain_all(writers: list) -> None:
+    """Runs several queries side by side over all that is there now: one failing stream fails the app."""
+    running = [w.trigger(availableNow=True).start() for w in writers]
+    for q in running:
+        q.awaitTermination()
