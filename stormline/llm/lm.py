@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from stormline.llm.store import stored
 from stormline.llm.tokens import slices, words
 
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 8 << 20
 START, END = np.uint64(1), np.uint64(2)  # hashes that stand for the start and the end of a text
 U = np.uint64
 
@@ -47,7 +47,7 @@ def tokenized(batches: Iterator[pa.RecordBatch], ranges: int, slice_bytes: int)
         hashes[inner] = np.concatenate([w.hash for w, _ in parts])
         types, place = np.unique(hashes, return_inverse=True)
         name = rows[0].column("row")[0].as_py()
-        yield {"slice": name, "range": -1, "docs": pa.concat_arrays([r.column("id") for r in rows]), "ids": b"", "count": count.astype(np.int32).tobytes(), "train": train.tobytes(), "tokens": place.astype(np.int32).tobytes()}
+        yield {"slice": name, "range": -1, "docs": pa.concat_arrays([r.column("id") for r in rows]), "ids": b"", "count": count.astype(np.int32).tobytes(), "train": train.tobytes(), "tokens": narrow(place)}
         entry, at = arcs(place, first)
         seen = np.bincount(at, np.repeat(train, count + 1), minlength=len(entry)).astype(np.int64)
         a, b = types[entry >> 32], types[entry & 0xFFFFFFFF]
@@ -58,7 +58,7 @@ def tokenized(batches: Iterator[pa.RecordBatch], ranges: int, slice_bytes: int)
             if hi > lo:
                 states, runs = np.unique(a[lo:hi], return_counts=True)
                 # 48 bits of the second word are enough beside the whole first one.
-                yield {"slice": name, "range": i, "docs": None, "ids": states.tobytes(), "count": runs.astype(np.uint32).tobytes(), "train": packed(seen[lo:hi]), "tokens": (b[lo:hi] >> U(16) & U(0xFFFFFFFF)).astype(np.uint32).tobytes() + (b[lo:hi] >> U(48)).astype(np.uint16).tobytes()}
+                yield {"slice": name, "range": i, "docs": None, "ids": states.tobytes(), "count": packed(runs), "train": packed(seen[lo:hi]), "tokens": (b[lo:hi] >> U(16) & U(0xFFFFFFFF)).astype(np.uint32).tobytes() + (b[lo:hi] >> U(48)).astype(np.uint16).tobytes()}
 
     def flushed(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = rows[0].schema.field("id").type
@@ -92,6 +92,20 @@ def packed(counts: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes() + big.tobytes()
 
 
+def narrow(places: np.ndarray) -> bytes:
+    """Places in three bytes each, if they fit."""
+    wide = places.astype("<i4")
+    return wide.tobytes() if len(wide) and wide.max() >= 1 << 24 else wide.view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def widened(b: bytes, n: int) -> np.ndarray:
+    if len(b) == 4 * n:
+        return np.frombuffer(b, "<i4")
+    out = np.zeros((n, 4), np.uint8)
+    out[:, :3] = np.frombuffer(b, np.uint8).reshape(n, 3)
+    return out.view("<i4").ravel()
+
+
 def unpacked(b: bytes, n: int) -> np.ndarray:
     out = np.frombuffer(b, np.uint8, n).astype(np.int64)
     out[out == 255] = np.frombuffer(b, np.int64, offset=n)
@@ -105,7 +119,7 @@ def counted(key: tuple, asks: pd.DataFrame) -> pd.DataFrame:
     tokens, and arcs seen once and twice.
     """
     states = [unpack(x, U) for x in asks["ids"]]
-    runs = [unpack(x, np.uint32) for x in asks["count"]]
+    runs = [unpacked(x, len(s)) for x, s in zip(asks["count"], states, strict=True)]
     sizes = [int(r.sum()) for r in runs]
     seen = np.concatenate([unpacked(x, n) for x, n in zip(asks["train"], sizes, strict=True)])
     nxt = np.concatenate([unpack(x[: 4 * n], np.uint32).astype(np.int64) | unpack(x[4 * n :], np.uint16).astype(np.int64) << 32 for x, n in zip(asks["tokens"], sizes, strict=True)])
@@ -122,11 +136,11 @@ def counted(key: tuple, asks: pd.DataFrame) -> pd.DataFrame:
     fan = np.bincount(owner, total > 0, minlength=len(types)).astype(np.int64)
     real = types != START
     sums = np.array([(real & (visits > 0)).sum(), (real & (visits == 1)).sum(), (real & (visits == 2)).sum(), visits.sum(), (total == 1).sum(), (total == 2).sum(), visits[~real].sum()])
-    out = [{"slice": -1, "range": key[0], "visits": sums.astype(np.int64).tobytes(), "fan": b"", "arcs": b""}]
+    out = [{"slice": -1, "range": key[0], "states": 0, "visits": sums.astype(np.int64).tobytes(), "fan": b"", "arcs": b""}]
     lo_s = lo_a = 0
     for name, s, n in zip(asks["slice"], states, sizes, strict=True):
         mine = at[lo_s : lo_s + len(s)]
-        out.append({"slice": name, "range": key[0], "visits": visits[mine].tobytes(), "fan": fan[mine].tobytes(), "arcs": packed(total[arc[lo_a : lo_a + n]])})
+        out.append({"slice": name, "range": key[0], "states": len(s), "visits": packed(visits[mine]), "fan": packed(fan[mine]), "arcs": packed(total[arc[lo_a : lo_a + n]])})
         lo_s, lo_a = lo_s + len(s), lo_a + n
     return pd.DataFrame(out)
 
@@ -139,19 +153,18 @@ def traverse(own: pd.Series, told: pd.DataFrame, stats: dict) -> pd.DataFrame:
     """Scores of a slice's texts: every token takes its arc from the state before, or the failure arc and the root."""
     count = unpack(own["count"], np.int32).astype(np.int64)
     first = np.concatenate([[0], np.cumsum(count + 2)])
-    place = unpack(own["tokens"], np.int32)
+    place = widened(own["tokens"], int(first[-1]))
     entry, at = arcs(place, first)
     told = told.sort_values("range")
-    visits = np.concatenate([unpack(x, np.int64) for x in told["visits"]])
-    fan = np.concatenate([unpack(x, np.int64) for x in told["fan"]])
+    visits = np.concatenate([unpacked(x, k) for x, k in zip(told["visits"], told["states"], strict=True)])
+    fan = np.concatenate([unpacked(x, k) for x, k in zip(told["fan"], told["states"], strict=True)])
     prev, nxt = entry >> 32, entry & 0xFFFFFFFF
     # Every type but the end is a state of the slice; START sorts first and END next.
     known = np.insert(visits, 1, stats["texts"])
     fans = np.insert(fan, 1, 0)
     states = np.delete(np.bincount(prev, minlength=len(known)), 1)
     at_state, hits = 0, []
-    for x, v in zip(told["arcs"], told["visits"], strict=True):
-        k = len(v) // 8
+    for x, k in zip(told["arcs"], told["states"], strict=True):
         n = int(states[at_state : at_state + k].sum())
         hits.append(unpacked(x, n))
         at_state += k
@@ -192,7 +205,7 @@ def score_texts(df: DataFrame, doc_id: str, text: str, ranges: int | None = None
     packed_rows = f"docs array<{kind}>, slice long, range int, ids binary, count binary, train binary, tokens binary"
     made = rows.mapInArrow(lambda it: tokenized(it, ranges, slice_bytes), packed_rows)
     made = stored(made, "slices")
-    reply = "slice long, range int, visits binary, fan binary, arcs binary"
+    reply = "slice long, range int, states int, visits binary, fan binary, arcs binary"
     told = stored(made.where("range >= 0").groupBy("range").applyInPandas(counted, reply), "counts")
     sums = np.zeros(7, np.int64)
     for r in told.where("slice = -1").select("visits").toLocalIterator():  # seven numbers a range

@@ -23,5 +23,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     A lost executor then costs a re-read, not a recomputation.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
