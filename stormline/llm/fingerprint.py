@@ -1,49 +1,35 @@
 """Document fingerprints by consistent weighted sampling.
 
 Terms are words and their weights the counts in a text. For each term and sample, a hash gives
-r and c, both Gamma(2, 1), and b, uniform; with weight S, t = floor(ln S / r + b) and
-ln a = ln c - r (t + 1 - b). The sample is the (term, t) of the smallest a, and two texts share a
+r and c, both Gamma(2, 1) as minus the log of a product of two uniform numbers, and b, uniform; with
+weight S, t = floor(ln S / r + b) and ln a = ln c - r (t + 1 - b). The sample is the (term, t) of the smallest a, and two texts share a
 sample with a probability of the generalised Jaccard similarity of their weights.
 """
 
 from __future__ import annotations
 
-import json
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SAMPLES = 64
-LEVELS = 1024
 DIGITS = 4
+PART = 13  # bits of each of the four uniform numbers behind the two gammas; the other 12 are for b
 
 
-def gamma_levels(n: int = LEVELS) -> list[float]:
-    """The quantiles of Gamma(2, 1) at (i + 1/2) / n: where 1 - (1 + x) exp(-x) reaches them."""
-    out = []
-    for i in range(n):
-        q, lo, hi = (i + 0.5) / n, 0.0, 60.0
-        for _ in range(60):
-            mid = (lo + hi) / 2
-            lo, hi = (mid, hi) if 1 - (1 + mid) * math.exp(-mid) < q else (lo, mid)
-        out.append((lo + hi) / 2)
-    return out
+def gamma(h: Column, shift: int) -> Column:
+    """A Gamma(2, 1) value from 26 bits of a hash."""
+    part = lambda s: F.shiftrightunsigned(h, s).bitwiseAND(F.lit(2**PART - 1)) + F.lit(0.5)
+    return F.lit(2 * PART * math.log(2)) - F.log(part(shift) * part(shift + PART))
 
 
-def _table(values: list[float]) -> Column:
-    return F.from_json(F.lit(json.dumps(values)), "array<double>")
-
-
-def sample(term: Column, log_weight: Column, k: int, r_table: Column, c_table: Column) -> Column:
+def sample(term: Column, log_weight: Column, k: int) -> Column:
     """Sample k of one term as one number: ln a in steps of 2^-25 above 31 bits that name (term, t)."""
     h = F.xxhash64(term, F.lit(k))
-    mask = F.lit(LEVELS - 1)
-    r = F.get(r_table, h.bitwiseAND(mask).cast("int"))
-    log_c = F.get(c_table, F.shiftright(h, 10).bitwiseAND(mask).cast("int"))
-    b = F.shiftrightunsigned(h, 24).cast("double") * F.lit(2.0**-40)
+    r, b = gamma(h, 0), F.shiftrightunsigned(h, 4 * PART) * F.lit(2.0 ** -(64 - 4 * PART))
     t = F.floor(log_weight / r + b)
-    log_a = log_c - r * (t.cast("double") + 1.0 - b)
+    log_a = F.log(gamma(h, 2 * PART)) - r * (t - b + 1.0)
     level = F.shiftleft(((log_a + 64.0) * F.lit(2.0**25)).cast("long"), 31)
     return level.bitwiseOR(F.shiftrightunsigned(h, 20).bitwiseXOR(t * F.lit(0x9E3779B1)).bitwiseAND(F.lit(0x7FFFFFFF)))
 
@@ -66,9 +52,7 @@ def fingerprints(rows: DataFrame, keys: list[str], text: str, samples: int = SAM
     terms = terms.select(*keys, "_s", "_ends", F.posexplode_outer("_ends").alias("_i", "_end"))
     before = F.when(F.col("_i") > 0, F.get("_ends", F.col("_i") - 1)).otherwise(0)
     terms = terms.select(*keys, F.get("_s", F.col("_end") - 1).alias("_term"), F.log((F.col("_end") - before).cast("double")).alias("_w"))
-    levels = gamma_levels()
-    r_table, c_table = _table(levels), _table([math.log(x) for x in levels])
-    found = terms.groupBy(*keys).agg(*[F.min(sample(F.col("_term"), F.col("_w"), k, r_table, c_table)).alias(f"_{k}") for k in range(samples)])
+    found = terms.groupBy(*keys).agg(*[F.min(sample(F.col("_term"), F.col("_w"), k)).alias(f"_{k}") for k in range(samples)])
     low = F.array(*[F.col(f"_{k}").bitwiseAND(F.lit(16**DIGITS - 1)) for k in range(samples)])
     return found.select(*keys, F.when(F.col("_0").isNotNull(), low).alias("samples"))
 
