@@ -25,7 +25,7 @@ MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 OCCUR_BITS = 20
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 4 << 20
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 U = np.uint64
 
@@ -356,13 +356,45 @@ def encoded(batches: Iterator[pa.RecordBatch], v: Vocab, k: int) -> Iterator[pa.
             )
 
 
-def decoded(batches: Iterator[pa.RecordBatch], spelled: list[bytes]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        lists = batch.column("ids")
-        flat, off = lists.flatten().to_pylist(), np.asarray(lists.offsets) - lists.offsets[0].as_py()
-        texts = [b"".join([spelled[i] for i in flat[a:b]])[1:].decode("utf-8", "replace") for a, b in zip(off[:-1], off[1:], strict=True)]
-        names = batch.schema.names
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, "text"])
+class Spelling(NamedTuple):
+    """The bytes of all pieces in one pool, and where each id's bytes begin."""
+
+    pool: np.ndarray
+    begin: np.ndarray
+
+
+def spelling(spelled: list[bytes]) -> Spelling:
+    return Spelling(np.frombuffer(b"".join(spelled), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in spelled])]))
+
+
+def spell(lists: pa.ListArray, sp: Spelling) -> pa.Array:
+    """The texts of lists of ids, without the space before the first word."""
+    ids = np.asarray(lists.flatten())
+    off = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+    size = sp.begin[ids + 1] - sp.begin[ids]
+    end = np.concatenate([[0], np.cumsum(size)])
+    raw = sp.pool[np.repeat(sp.begin[ids] - end[:-1], size) + np.arange(end[-1])]
+    edge = end[off]
+    keep = np.ones(len(raw), bool)
+    led = np.zeros(len(lists), bool)
+    has = np.diff(edge) > 0
+    led[has] = raw[edge[:-1][has]] == 32
+    keep[edge[:-1][led]] = False
+    full = edge - np.concatenate([[0], np.cumsum(led)])
+    texts = pa.Array.from_buffers(pa.large_string(), len(lists), [None, pa.py_buffer(full.astype(np.int64).tobytes()), pa.py_buffer(raw[keep].tobytes())])
+    try:
+        texts.validate(full=True)
+    except pa.ArrowInvalid:  # ids that no text gave: bytes that are no UTF-8
+        whole = raw[keep].tobytes()
+        texts = pa.array([whole[a:b].decode("utf-8", "replace") for a, b in zip(full[:-1], full[1:], strict=True)], pa.large_string())
+    return texts.cast(pa.string())
+
+
+def decoded(batches: Iterator[pa.RecordBatch], sp: Spelling, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for at in range(0, whole.num_rows, rows):
+            batch = whole.slice(at, rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns, spell(batch.column("ids"), sp)], [*batch.schema.names, "text"])
 
 
 def encode_samples(df: DataFrame, key: str, text: str, k: int = 2, model: str = MODEL, alpha: float = 0.5) -> DataFrame:
@@ -385,10 +417,10 @@ def encode_samples(df: DataFrame, key: str, text: str, k: int = 2, model: str =
 
 def decode_ids(df: DataFrame, model: str = MODEL) -> DataFrame:
     """`df` with a column `text` that its column `ids` spells; bytes that are no UTF-8 become U+FFFD. A null list gives an empty text."""
-    spelled = df.sparkSession.sparkContext.broadcast(load_vocab(model).spelled)
+    sent = df.sparkSession.sparkContext.broadcast(spelling(load_vocab(model).spelled))  # as large as the vocabulary
     rest = [c for c in df.columns if c != "text"]
     schema = ", ".join(f"`{c}` {t}" for c, t in df.select(*rest).dtypes) + ", text string"
-    return df.select(*rest).mapInArrow(lambda it: decoded(it, spelled.value), schema)
+    return df.select(*rest).mapInArrow(lambda it: decoded(it, sent.value), schema)
 
 
 def op7_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
