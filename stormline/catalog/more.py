@@ -111,13 +111,16 @@ def d6(spark, sf):
 
 @query("d13_cell_pixel_crosswalk", "SELECT s_suppkey AS cell, 1.0::DOUBLE AS total, true AS all_positive FROM supplier")
 def d13(spark, sf):
+    from stormline.functions.geo import box_share
+
     x, y = (F.col("s_suppkey") * 37 % 1000).cast("double"), (F.col("s_suppkey") * 91 % 1000).cast("double")
-    c = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("cell"), x.alias("cx"), y.alias("cy")).withColumn("hex", shapes.hexagon(F.col("cx"), F.col("cy")))
+    c = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("cell"), x.alias("cx"), y.alias("cy"))
     step = 300.0  # a pixel's side
-    lo, hi = lambda v: F.floor((v - 500) / step), lambda v: F.floor((v + 500) / step)
+    lo, hi = lambda v: F.floor((v - 400) / step), lambda v: F.floor((v + 400) / step)
     p = c.withColumn("i", F.explode(F.sequence(lo(F.col("cx")), hi(F.col("cx"))))).withColumn("j", F.explode(F.sequence(lo(F.col("cy")), hi(F.col("cy")))))
-    p = p.withColumns({"x0": F.col("i") * step, "y0": F.col("j") * step, "x1": (F.col("i") + 1) * step, "y1": (F.col("j") + 1) * step})
-    w = shapes.clipped_share(p, "hex", "weight").where("weight > 0")
+    pixel = (F.col("i") * step, F.col("j") * step, (F.col("i") + 1) * step, (F.col("j") + 1) * step)
+    box = (F.col("cx") - 400, F.col("cy") - 400, F.col("cx") + 400, F.col("cy") + 400)
+    w = p.withColumn("weight", box_share(box, pixel)).where("weight > 0")
     return w.groupBy("cell").agg(F.round(F.sum("weight"), 9).alias("total"), F.bool_and(F.col("weight") > 0).alias("all_positive"))
 
 

@@ -1,54 +1,11 @@
-"""Polygons and lines as arrays of points: clipping, areas and linear reference."""
+"""Points along lines and parts of intervals."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stormline.functions.geo import EDGE_M, overlap, ring_area
-
-
-def _cut(ring: Column, axis: str, at: Column, keep_above: bool) -> Column:
-    """A closed convex ring cut by one line x = at or y = at; empty if nothing is left.
-
-    Every edge gives the point where it crosses, if it does, and its end, if that is inside.
-    """
-    inside = (lambda p: p[axis] >= at) if keep_above else (lambda p: p[axis] <= at)
-
-    def edge(i: Column) -> Column:
-        a, b = F.element_at(ring, i), F.element_at(ring, i + 1)
-        t = (at - a[axis]) / (b[axis] - a[axis])
-        cross = F.struct((a["x"] + t * (b["x"] - a["x"])).alias("x"), (a["y"] + t * (b["y"] - a["y"])).alias("y"))
-        none = F.array().cast("array<struct<x:double,y:double>>")
-        return F.concat(F.when(inside(a) != inside(b), F.array(cross)).otherwise(none), F.when(inside(b), F.array(b)).otherwise(none))
-
-    points = F.flatten(F.transform(F.sequence(F.lit(1), F.size(ring) - 1), edge))
-    closed = F.concat(F.slice(points, -1, 1), points)
-    return F.when(F.size(ring) >= 4, closed).otherwise(F.array().cast("array<struct<x:double,y:double>>"))
-
-
-def hexagon(x: Column, y: Column, edge: float = EDGE_M) -> Column:
-    """The closed ring of a pointy-top hexagon around a point of the plane."""
-    half, wide = edge / 2, edge * 3**0.5 / 2
-    at = [(0.0, edge), (wide, half), (wide, -half), (0.0, -edge), (-wide, -half), (-wide, half), (0.0, edge)]
-    return F.array(*[F.struct((x + F.lit(dx)).alias("x"), (y + F.lit(dy)).alias("y")) for dx, dy in at])
-
-
-def clip_steps() -> tuple[tuple[str, str, bool], ...]:
-    """The four sides of a box (x0, y0, x1, y1): axis, column and which side stays."""
-    return ("x", "x0", True), ("y", "y0", True), ("x", "x1", False), ("y", "y1", False)
-
-
-def clipped_share(df, ring: str, name: str):
-    """`df` with the part of the convex ring that lies in the row's box x0, y0, x1, y1.
-
-    Each side is a projection of its own, so that a later one doesn't repeat the ones before.
-    """
-    df = df.withColumn("_ring", F.col(ring))
-    for axis, bound, above in clip_steps():
-        df = df.withColumn("_ring", _cut(F.col("_ring"), axis, F.col(bound), above))
-    area = F.when(F.size("_ring") >= 4, ring_area(F.col("_ring"))).otherwise(0.0)
-    return df.withColumn(name, area / ring_area(F.col(ring))).drop("_ring")
+from stormline.functions.geo import overlap
 
 
 def along_segment(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> tuple[Column, Column]:
