@@ -75,15 +75,15 @@ def jaccard(a, b):
 
 
 def test_fingerprints_estimate_the_weighted_jaccard(spark):
-    """Over six vocabularies, each with hashes of its own, the mean error is near 0."""
+    """Over twenty vocabularies, each with hashes of its own, the mean error is near 0."""
     rng, errors = np.random.RandomState(2), []
-    texts = [" ".join(f"{v}{x}" for x in rng.zipf(1.6, 300) % 80) for v in "abcdef" for _ in range(12)]
+    texts = [" ".join(f"{v}_{x}" for x in rng.zipf(1.6, 300) % 80) for v in range(20) for _ in range(6)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
     got = {r["id"]: r["samples"] for r in fingerprint.fingerprints(df, ["id"], "text").collect()}
     for i in range(len(texts)):
-        for j in range(i - i % 12, i):
+        for j in range(i - i % 6, i):
             errors.append(np.mean([x == y for x, y in zip(got[i], got[j], strict=True)]) - jaccard(texts[i], texts[j]))
-    assert abs(np.mean(errors)) < 0.025 and np.std(errors) < 0.09
+    assert abs(np.mean(errors)) < 0.04 and np.std(errors) < 0.09
 
 
 def test_fingerprint_of_odd_texts(spark):
