@@ -19,7 +19,7 @@ BIAS = 1 << 20
 def geodesic_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
     """Metres on the spheroid by the Andoyer-Lambert formula.
 
-    Its error is of the order of 10 m in 10,000 km, so a few millimetres over a bus leg.
+    Its relative error is about 1e-5: a metre over a degree, a few millimetres over a bus leg.
     """
     r = F.radians
     p, q, d = r((lat1 + lat2) / 2), r((lat1 - lat2) / 2), r((lon1 - lon2) / 2)
