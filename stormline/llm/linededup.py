@@ -13,6 +13,7 @@ ROWS = 3
 BITS = 21  # three minima fill one long
 LEAST_EQUAL = 11
 ROUNDS = 3
+PIECE = 500
 GRAM = 5
 LEAD = 10
 MOST_BROADCAST = 1_000_000
@@ -70,8 +71,7 @@ def signatures(lines: DataFrame) -> DataFrame:
 def equal_minima(a: Column, b: Column) -> Column:
     """How many of the minima in two signatures are equal."""
     same = lambda x, shift: (F.shiftright(x, shift).bitwiseAND(F.lit(2**BITS - 1)) == 0).cast("int")
-    each = F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y))
-    return F.aggregate(each, F.lit(0), lambda n, x: n + same(x, 0) + same(x, BITS) + same(x, 2 * BITS))
+    return sum((same(a[j].bitwiseXOR(b[j]), BITS * i) for j in range(BANDS) for i in range(ROWS)), F.lit(0))
 
 
 def star_pairs(members: DataFrame) -> DataFrame:
@@ -86,56 +86,83 @@ def star_pairs(members: DataFrame) -> DataFrame:
     return met.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
 
 
+def open_pairs(members: DataFrame, about: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of all members of a key that are in different components, if their sizes and minima allow a link.
+
+    about: (node, n, bands). A key's members are dealt over pieces of some PIECE and each two pieces meet in a cell
+    of their own, so no task holds all pairs of a key. A pair comes from the first band that it shares, once.
+    """
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
+    dealt = members.select("key", "j", "node", "component").join(sizes, "key").join(about, "node")
+    dealt = dealt.withColumn("pieces", F.ceil(F.col("size") / PIECE).cast("int")).withColumn("piece", F.pmod(F.xxhash64("node", "key"), "pieces").cast("int"))
+    dealt = stored(dealt.select("key", "j", "pieces", "piece", "node", "component", "n", "bands"), "dealt")
+    one = dealt.withColumn("other", F.explode(F.expr("sequence(piece, pieces - 1)"))).select("key", "j", "piece", "other", *[F.col(c).alias(f"{c}_a") for c in ("node", "component", "n", "bands")])
+    two = dealt.withColumn("other", F.explode(F.expr("sequence(0, piece)"))).select("key", F.col("other").alias("piece"), F.col("piece").alias("other"), *[F.col(c).alias(f"{c}_b") for c in ("node", "component", "n", "bands")])
+    once = (F.col("piece") != F.col("other")) | (F.col("node_a") < F.col("node_b"))
+    fits = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(similarity) - 1e-6
+    likely = equal_minima(F.col("bands_a"), F.col("bands_b")) >= LEAST_EQUAL
+    first = F.array_position(F.zip_with("bands_a", "bands_b", lambda x, y: x == y), F.lit(True)) == F.col("j") + 1
+    met = one.join(two, ["key", "piece", "other"]).where((F.col("component_a") != F.col("component_b")) & once & fits & likely & first)
+    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+
+
 def alike_lines(rows: DataFrame, similarity: float, rounds: int = ROUNDS) -> DataFrame:
     """(node, component) of the lines that are like another one.
 
     Lines of one band key are compared with one of them, its hub; what is still in another component meets the next
-    hub, `rounds` times in all. All steps are linear in the members of keys, so a link between two lines is only
-    found if one of them is a hub or both link to one; with ten keys a line that is the common case, not a certain one.
+    hub, `rounds` times at most, which is linear in the members of keys and joins what was copied from one text.
+    Then all members of a key that are still in different components are compared with each other, so any two lines
+    that share a band and are alike end in one component.
     """
     lines = all_lines(rows)
     signed = stored(signatures(lines), "signatures")
-    banded = signed.select("node", F.posexplode("bands").alias("j", "band")).select("node", F.xxhash64("j", "band").alias("key"))
+    banded = signed.select("node", F.posexplode("bands").alias("j", "band")).select("node", "j", F.xxhash64("j", "band").alias("key"))
     counts = banded.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     shared = banded.join(counts, "key")
     shared = stored(shared, "bands")
     company = shared.groupBy("node").agg(F.sum("members").alias("company"))
-    shared = stored(shared.join(company, "node").select("key", "node", "company"), "members")
+    shared = stored(shared.join(company, "node").select("key", "j", "node", "company"), "members")
     wanted = stored(company.select("node"), "wanted")
-    signed = stored(narrowed(signed, wanted, "node"), "wanted-signatures")
+    texts = narrowed(lines.select("node", "line"), wanted, "node").dropDuplicates(["node"])
+    sets = stored(texts.select("node", grams(F.col("line")).alias("grams")).select("node", F.size("grams").alias("n"), "grams"), "sets")
+    about = stored(narrowed(signed, wanted, "node").join(sets.select("node", "n"), "node").select("node", "n", "bands"), "wanted-signatures")
+
+    def likely(found: DataFrame) -> DataFrame:
+        """Pairs with enough equal minima: lines at the limit have some 24 of 30, a band alone 3."""
+        both = found.join(about.toDF("a", "n_a", "bands_a"), "a").join(about.toDF("b", "n_b", "bands_b"), "b")
+        return stored(both.where(equal_minima(F.col("bands_a"), F.col("bands_b")) >= LEAST_EQUAL).select("a", "b"), "likely")
 
     def verified(found: DataFrame) -> DataFrame:
-        """Pairs with enough equal minima (lines at the limit have some 22 of 30, a band alone 3), then exact similarity."""
-        both = found.join(signed.toDF("a", "bands_a"), "a").join(signed.toDF("b", "bands_b"), "b")
-        found = stored(both.where(equal_minima(F.col("bands_a"), F.col("bands_b")) >= LEAST_EQUAL).select("a", "b"), "likely")
-        ends = stored(found.select(F.col("a").alias("node")).union(found.select("b")).distinct(), "ends")
-        texts = stored(narrowed(lines.select("node", "line"), ends, "node").dropDuplicates(["node"]), "texts")
-        both = found.join(texts.toDF("a", "line_a"), "a").join(texts.toDF("b", "line_b"), "b")
-        both = both.select("a", "b", grams(F.col("line_a")).alias("x"), grams(F.col("line_b")).alias("y"))
+        """Pairs whose exact similarity is enough."""
+        both = found.join(sets.toDF("a", "n_a", "x"), "a").join(sets.toDF("b", "n_b", "y"), "b")
         common = F.size(F.array_intersect("x", "y"))
-        return both.where(common >= (F.size("x") + F.size("y") - common) * F.lit(similarity)).select(F.col("a").alias("src"), F.col("b").alias("dst"))
+        links = both.where(common >= (F.col("n_a") + F.col("n_b") - common) * F.lit(similarity))
+        return stored(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), "links")
 
     members = shared.withColumn("component", F.col("node")).withColumn("done", F.lit(False))
     links = parts = tried = None
-    for k in range(rounds):
+    for _ in range(rounds):
         pairs = star_pairs(members).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         tried = pairs if tried is None else tried.union(pairs)
-        new = stored(verified(pairs), "links")
+        new = verified(likely(pairs))
         if links is not None and new.isEmpty():
             break
         links = new if links is None else links.union(new)
         parts = connected_components(links)
-        if k + 1 == rounds:
-            break
         # Only keys with members in several components go on; their hub of this round has had its turn.
         hubs = members.where(~F.col("done")).groupBy("key").agg(F.max(F.struct("company", "node")).alias("h")).select("key", F.col("h.node").alias("hub"))
         named = members.drop("component").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
         named = named.join(hubs, "key", "left").withColumn("done", F.col("done") | F.coalesce(F.col("node") == F.col("hub"), F.lit(False))).drop("hub")
         open_keys = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        members = stored(named.join(open_keys, "key", "left_semi").select("key", "node", "company", "component", "done"), "members")
+        members = stored(named.join(open_keys, "key", "left_semi").select("key", "j", "node", "company", "component", "done"), "members")
+    rest = open_pairs(members, about, similarity)
+    new = verified(stored(rest if tried is None else rest.join(tried, ["a", "b"], "left_anti"), "rest"))
+    if links is None or not new.isEmpty():
+        links = new if links is None else links.union(new)
+        parts = connected_components(links)
     return parts
 
 

@@ -220,6 +220,35 @@ def test_lines_far_apart_stay(spark):
     assert sorted(r["kept"] for r in got) == sorted([a, b])
 
 
+def line_components(lines, similarity=0.8):
+    """The sets of lines that links by brute force join."""
+    grams = [{t[i : i + 5] for i in range(len(t) - 4)} or {t} for t in lines]
+    at = list(range(len(lines)))
+    for i in range(len(lines)):
+        for j in range(i):
+            both = len(grams[i] & grams[j])
+            if both >= similarity * (len(grams[i]) + len(grams[j]) - both) and at[i] != at[j]:
+                at = [at[j] if x == at[i] else x for x in at]
+    return sorted(sorted(t for t, x in zip(lines, at, strict=True) if x == c) for c in set(at))
+
+
+def test_lines_of_one_frame_meet_each_other(spark, monkeypatch):
+    """Many families in one key, each of two near copies: no hub is like most of them."""
+    rng = np.random.RandomState(5)
+    frame = "Subscribe to our weekly newsletter and get all of the latest updates from "
+    ends = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 30)) for _ in range(60)]
+    lines = [x for e in ends for x in (frame + e, frame + e + "s")]
+    monkeypatch.setattr(linededup, "signatures", lambda rows: rows.select("node", F.array(*[F.lit(7).cast("long")] * linededup.BANDS).alias("bands")).distinct())
+    monkeypatch.setattr(linededup, "PIECE", 50, raising=False)
+    df = docs(spark, [(i, t, "a") for i, t in enumerate(lines)]).select(F.col("doc_id").alias("doc"), "text")
+    by = {}
+    seen = linededup.all_lines(df).join(linededup.alike_lines(df, 0.8), "node", "left")
+    for r in seen.collect():
+        by.setdefault(r["node"] if r["component"] is None else r["component"], []).append(r["line"])
+    want = line_components([t.lower() for t in lines])
+    assert len(want) == 60 and sorted(map(sorted, by.values())) == want
+
+
 def test_clashing_columns(spark):
     df = docs(spark, [(1, "x y", "a"), (2, "x y", "a")]).withColumns({c: F.lit(1) for c in ("node", "key", "line", "pos", "gone", "row", "n", "id", "component")})
     assert linededup.dedup_lines(df, "doc_id", "text").count() == 2
