@@ -15,7 +15,7 @@ LEAST_EQUAL = 11
 ROUNDS = 3
 PIECE = 500
 GRAM = 5
-LEAD = 10
+CHUNK = 200
 MOST_BROADCAST = 1_000_000
 
 
@@ -53,16 +53,33 @@ def salts(n: int) -> list[int]:
     return out
 
 
+def permutations() -> list[tuple[int, int]]:
+    """(shift, salt) of each of the minima: BITS bits of the hash from a place of its own, XOR a salt.
+
+    Windows begin at 5 places, and salts of one window differ in their first bits: salts alone
+    pick the same shingle of a small set too often.
+    """
+    first = [0, 7, 3, 4, 2, 5]
+    starts = [64 - BITS, 32, 21, 10, 0]
+    return [(starts[i % 5], first[i // 5] << (BITS - 3) | c & (2 ** (BITS - 3) - 1)) for i, c in enumerate(salts(BANDS * ROWS))]
+
+
 def signatures(lines: DataFrame) -> DataFrame:
     """(node, bands): of each distinct line a number for each band, three minima of 21 bits.
 
-    Shingles are the runs of up to LEAD characters from each word's start; lines alike in their runs of GRAM
-    characters share most of those. Permutations are hashes XOR a salt. Minima are taken
-    before anything is shuffled.
+    The minima are over the very shingles that `grams` compares: all runs of GRAM characters, or the
+    whole line if it is shorter. A long line is cut into overlapping pieces first, as finding the
+    n-th character takes n steps. Minima are taken before anything is shuffled.
     """
-    runs = F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{1,{LEAD}}}))\\S++\\s*+"), F.lit(1))
-    shingles = lines.select("node", F.explode(runs).alias("s")).select("node", F.xxhash64("s").alias("h"))
-    mins = [F.min(F.shiftrightunsigned(F.col("h").bitwiseXOR(F.lit(c)), 64 - BITS)).alias(f"m{i}") for i, c in enumerate(salts(BANDS * ROWS))]
+    long = F.length("line") >= CHUNK + GRAM
+    pieces = F.when(long, F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{1,{CHUNK + GRAM - 1}}})).{{1,{CHUNK}}}"), F.lit(1))).otherwise(F.array("line"))
+    chunks = lines.select("node", F.explode(pieces).alias("chunk"), long.alias("long")).where(~F.col("long") | (F.length("chunk") >= GRAM))
+    places = F.sequence(F.lit(1), F.greatest(F.length("chunk") - (GRAM - 1), F.lit(1)))
+    shingles = chunks.select("node", "chunk", F.explode(places).alias("i")).select("node", F.xxhash64(F.substring("chunk", F.col("i"), F.lit(GRAM))).alias("h"))
+    mins = [
+        F.min(F.shiftrightunsigned("h", s).bitwiseAND(F.lit(2**BITS - 1)).bitwiseXOR(F.lit(c))).alias(f"m{i}")
+        for i, (s, c) in enumerate(permutations())
+    ]
     least = shingles.groupBy("node").agg(*mins)
     band = lambda j: F.shiftleft(F.col(f"m{3 * j}"), 2 * BITS).bitwiseOR(F.shiftleft(F.col(f"m{3 * j + 1}"), BITS)).bitwiseOR(F.col(f"m{3 * j + 2}"))
     return least.select("node", F.array(*[band(j) for j in range(BANDS)]).alias("bands"))
@@ -86,23 +103,22 @@ def star_pairs(members: DataFrame) -> DataFrame:
     return met.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
 
 
-def open_pairs(members: DataFrame, about: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) of all members of a key that are in different components, if their sizes and minima allow a link.
+def open_pairs(members: DataFrame, about: DataFrame) -> DataFrame:
+    """(a, b) of all members of a key that are in different components, if their minima allow a link.
 
-    about: (node, n, bands). A key's members are dealt over pieces of some PIECE and each two pieces meet in a cell
+    about: (node, bands). A key's members are dealt over pieces of some PIECE and each two pieces meet in a cell
     of their own, so no task holds all pairs of a key. A pair comes from the first band that it shares, once.
     """
     sizes = members.groupBy("key").agg(F.count("*").alias("size"))
     dealt = members.select("key", "j", "node", "component").join(sizes, "key").join(about, "node")
     dealt = dealt.withColumn("pieces", F.ceil(F.col("size") / PIECE).cast("int")).withColumn("piece", F.pmod(F.xxhash64("node", "key"), "pieces").cast("int"))
-    dealt = stored(dealt.select("key", "j", "pieces", "piece", "node", "component", "n", "bands"), "dealt")
-    one = dealt.withColumn("other", F.explode(F.expr("sequence(piece, pieces - 1)"))).select("key", "j", "piece", "other", *[F.col(c).alias(f"{c}_a") for c in ("node", "component", "n", "bands")])
-    two = dealt.withColumn("other", F.explode(F.expr("sequence(0, piece)"))).select("key", F.col("other").alias("piece"), F.col("piece").alias("other"), *[F.col(c).alias(f"{c}_b") for c in ("node", "component", "n", "bands")])
+    dealt = stored(dealt.select("key", "j", "pieces", "piece", "node", "component", "bands"), "dealt")
+    one = dealt.withColumn("other", F.explode(F.expr("sequence(piece, pieces - 1)"))).select("key", "j", "piece", "other", *[F.col(c).alias(f"{c}_a") for c in ("node", "component", "bands")])
+    two = dealt.withColumn("other", F.explode(F.expr("sequence(0, piece)"))).select("key", F.col("other").alias("piece"), F.col("piece").alias("other"), *[F.col(c).alias(f"{c}_b") for c in ("node", "component", "bands")])
     once = (F.col("piece") != F.col("other")) | (F.col("node_a") < F.col("node_b"))
-    fits = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(similarity) - 1e-6
     likely = equal_minima(F.col("bands_a"), F.col("bands_b")) >= LEAST_EQUAL
     first = F.array_position(F.zip_with("bands_a", "bands_b", lambda x, y: x == y), F.lit(True)) == F.col("j") + 1
-    met = one.join(two, ["key", "piece", "other"]).where((F.col("component_a") != F.col("component_b")) & once & fits & likely & first)
+    met = one.join(two, ["key", "piece", "other"]).where((F.col("component_a") != F.col("component_b")) & once & likely & first)
     return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
 
 
@@ -123,20 +139,22 @@ def alike_lines(rows: DataFrame, similarity: float, rounds: int = ROUNDS) -> Dat
     company = shared.groupBy("node").agg(F.sum("members").alias("company"))
     shared = stored(shared.join(company, "node").select("key", "j", "node", "company"), "members")
     wanted = stored(company.select("node"), "wanted")
-    texts = narrowed(lines.select("node", "line"), wanted, "node").dropDuplicates(["node"])
-    sets = stored(texts.select("node", grams(F.col("line")).alias("grams")).select("node", F.size("grams").alias("n"), "grams"), "sets")
-    about = stored(narrowed(signed, wanted, "node").join(sets.select("node", "n"), "node").select("node", "n", "bands"), "wanted-signatures")
+    texts = stored(narrowed(lines.select("node", "line"), wanted, "node").dropDuplicates(["node"]), "texts")
+    about = stored(narrowed(signed, wanted, "node"), "wanted-signatures")
 
     def likely(found: DataFrame) -> DataFrame:
         """Pairs with enough equal minima: lines at the limit have some 24 of 30, a band alone 3."""
-        both = found.join(about.toDF("a", "n_a", "bands_a"), "a").join(about.toDF("b", "n_b", "bands_b"), "b")
+        both = found.join(about.toDF("a", "bands_a"), "a").join(about.toDF("b", "bands_b"), "b")
         return stored(both.where(equal_minima(F.col("bands_a"), F.col("bands_b")) >= LEAST_EQUAL).select("a", "b"), "likely")
 
     def verified(found: DataFrame) -> DataFrame:
         """Pairs whose exact similarity is enough."""
-        both = found.join(sets.toDF("a", "n_a", "x"), "a").join(sets.toDF("b", "n_b", "y"), "b")
+        ends = stored(found.select(F.col("a").alias("node")).union(found.select("b")).distinct(), "ends")
+        of_ends = stored(narrowed(texts, ends, "node"), "texts-of-ends")
+        both = found.join(of_ends.toDF("a", "line_a"), "a").join(of_ends.toDF("b", "line_b"), "b")
+        both = both.select("a", "b", grams(F.col("line_a")).alias("x"), grams(F.col("line_b")).alias("y"))
         common = F.size(F.array_intersect("x", "y"))
-        links = both.where(common >= (F.col("n_a") + F.col("n_b") - common) * F.lit(similarity))
+        links = both.where(common >= (F.size("x") + F.size("y") - common) * F.lit(similarity))
         return stored(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), "links")
 
     members = shared.withColumn("component", F.col("node")).withColumn("done", F.lit(False))
@@ -158,7 +176,7 @@ def alike_lines(rows: DataFrame, similarity: float, rounds: int = ROUNDS) -> Dat
         named = named.join(hubs, "key", "left").withColumn("done", F.col("done") | F.coalesce(F.col("node") == F.col("hub"), F.lit(False))).drop("hub")
         open_keys = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
         members = stored(named.join(open_keys, "key", "left_semi").select("key", "j", "node", "company", "component", "done"), "members")
-    rest = open_pairs(members, about, similarity)
+    rest = open_pairs(members, about)
     new = verified(stored(rest if tried is None else rest.join(tried, ["a", "b"], "left_anti"), "rest"))
     if links is None or not new.isEmpty():
         links = new if links is None else links.union(new)

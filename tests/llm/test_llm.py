@@ -249,6 +249,29 @@ def test_lines_of_one_frame_meet_each_other(spark, monkeypatch):
     assert len(want) == 60 and sorted(map(sorted, by.values())) == want
 
 
+def test_signatures_are_of_the_shingles_compared(spark):
+    """Lines without white space, short ones and long ones share bands as their exact similarity says."""
+    rng = np.random.RandomState(6)
+    char = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), n))
+    lines = []
+    for n in (30, 60, 200, 203, 204, 205, 401, 900):
+        t = char(n)
+        lines += [t, t[:3] + "é" + t[4:]]
+    lines += [f"https://www.example.org/{char(40)}" for _ in range(20)] + ["abcd", "abcde", "日本語の文章" * 50, "日本x語の文章" + "日本語の文章" * 49]
+    df = docs(spark, [(i, t, "a") for i, t in enumerate(lines)]).select(F.col("doc_id").alias("doc"), "text")
+    bands = {r["line"]: r["bands"] for r in linededup.all_lines(df).join(linededup.signatures(linededup.all_lines(df)), "node").collect()}
+    mask, rows, s64 = 2**linededup.BITS - 1, linededup.ROWS, 2**64
+    hashed = {r["s"]: r["h"] % s64 for r in spark.createDataFrame([(s,) for s in {t[i : i + 5] for t in lines for i in range(max(1, len(t) - 4))}], "s string").select("s", F.xxhash64("s").alias("h")).collect()}
+    for t in lines:
+        u = {hashed[t[i : i + 5]] for i in range(max(1, len(t) - 4))}
+        m = [min(((x >> s) & mask) ^ c for x in u) for s, c in linededup.permutations()]
+        assert bands[t] == [m[rows * j] << 2 * linededup.BITS | m[rows * j + 1] << linededup.BITS | m[rows * j + 2] for j in range(linededup.BANDS)]
+    parts = {r["line"]: r["component"] for r in linededup.all_lines(df).join(linededup.alike_lines(df, 0.8), "node", "left").collect()}
+    found = Counter(c for c in parts.values() if c is not None)
+    want = [x for x in line_components(lines) if len(x) > 1]
+    assert sorted(sorted(t for t in lines if parts[t] == c) for c in found) == want and len(want) >= 7
+
+
 def test_clashing_columns(spark):
     df = docs(spark, [(1, "x y", "a"), (2, "x y", "a")]).withColumns({c: F.lit(1) for c in ("node", "key", "line", "pos", "gone", "row", "n", "id", "component")})
     assert linededup.dedup_lines(df, "doc_id", "text").count() == 2
