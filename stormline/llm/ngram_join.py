@@ -23,6 +23,7 @@ from stormline.llm.store import stored
 from stormline.llm.tokens import mix, shingles, slices, words
 
 BITS = 1024
+PIECE = 500
 U = np.uint64
 
 
@@ -104,8 +105,8 @@ def ngram_jaccard_components(df: DataFrame, doc_id: str, text: str, k: int = 5,
     lower-cased; a shorter text is one shingle). component_id is the smallest doc_id that
     links reach. A null, empty or wordless text has no shingles and links with nothing; so
     does a row with a null doc_id, whose component_id is null. Rows with equal sets are one
-    node, compared once, and repeated rows are all returned. n_links counts the partners of a node
-    whose similarity was computed, n_copies the rows with the same set. Other columns are dropped.
+    node, compared once, and repeated rows are all returned. n_links counts the different
+    sets that a row's set links with, n_copies the rows with the same set. Other columns are dropped.
     """
     spark = df.sparkSession
     longs = "array<bigint>"
@@ -149,18 +150,16 @@ def ngram_jaccard_components(df: DataFrame, doc_id: str, text: str, k: int = 5,
         )
 
     links = stored(verified(pairs), "links")
+    # The other members of each key meet each other, in pieces of some PIECE, each two pieces in a cell of their own.
+    sizes = shared.groupBy("key").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))
+    dealt = shared.select("key", "node").join(sizes, "key").join(about, "node").withColumn("piece", F.pmod(F.xxhash64("node", "key"), "pieces").cast("int"))
+    one = dealt.withColumn("other", F.explode(F.expr("sequence(piece, pieces - 1)"))).select("key", "piece", "other", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "bits")])
+    two = dealt.withColumn("other", F.explode(F.expr("sequence(0, piece)"))).select("key", F.col("other").alias("piece"), F.col("piece").alias("other"), *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "bits")])
+    once = (F.col("piece") != F.col("other")) | (F.col("node_a") < F.col("node_b"))
+    met = one.join(two, ["key", "piece", "other"]).where(once & near(F.col("n_a"), F.col("n_b"), F.col("bits_a"), F.col("bits_b")))
+    rest = met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    links = links.union(stored(verified(rest.join(pairs, ["a", "b"], "left_anti")), "links"))
     parts = connected_components(links)
-    # What is left: members of one key that are not in one component yet.
-    named = shared.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_keys = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    rest = stored(named.join(open_keys, "key").join(about, "node").select("key", "node", "component", "n", "bits"), "rest")
-    one = rest.toDF("key", "a", "ca", "na", "bits_a")
-    two = rest.toDF("key", "b", "cb", "nb", "bits_b")
-    more = one.join(two, "key").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & near(F.col("na"), F.col("nb"), F.col("bits_a"), F.col("bits_b")))
-    more = stored(verified(more.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")), "links")
-    if not more.isEmpty():
-        links = links.union(more)
-        parts = connected_components(links)
     degree = links.select(F.col("src").alias("node")).union(links.select("dst")).groupBy("node").agg(F.count("*").alias("n_links"))
     known = nodes.join(parts, "node", "left").join(degree, "node", "left").select(
         F.struct("n", "d1", "d2").alias("set"), F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies"

@@ -36,6 +36,17 @@ def test_ngram_components_match_a_plain_version(spark):
     assert by[(8, 56)] == 8 and by[(1, 0)] == 1 and by[(None, 1)] is None
 
 
+def test_ngram_links_are_all_counted(spark, monkeypatch):
+    """Near copies of one text link with each other too, not with their hub alone; keys are cut into pieces."""
+    monkeypatch.setattr(ngram_join, "PIECE", 4, raising=False)
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join(base)] + [" ".join([*base[: 6 * k], f"new{k}", *base[6 * k + 1 :]]) for k in range(1, 19)] + [" ".join(base[:m]) for m in (100, 108, 112)]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    want = {i: sum(x is not y and 100 * len(x & y) >= 80 * len(x | y) for y in sets) for i, x in enumerate(sets)}
+    got = ngram_join.ngram_jaccard_components(docs(spark, [(i, t, "a") for i, t in enumerate(texts)]), "doc_id", "text").collect()
+    assert {r["doc_id"]: r["n_links"] for r in got} == want and {r["component_id"] for r in got} == {0}
+
+
 def test_ngram_blocks_never_lose_a_link():
     """Sets just as alike as the limit share a key, whatever their sizes."""
     rng = np.random.RandomState(1)
