@@ -249,11 +249,11 @@ def test_lines_of_one_frame_meet_each_other(spark, monkeypatch):
     frame = "Subscribe to our weekly newsletter and get all of the latest updates from "
     ends = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 30)) for _ in range(60)]
     lines = [x for e in ends for x in (frame + e, frame + e + "s")]
-    monkeypatch.setattr(linededup, "signatures", lambda rows: rows.select("node", F.array(*[F.lit(7).cast("long")] * linededup.BANDS).alias("bands")).distinct())
+    monkeypatch.setattr(linededup, "signatures", lambda rows: rows.groupBy("node").agg(F.count("*").alias("n")).select("node", "n", F.array(F.lit(7).cast("long"), F.lit(8).cast("long")).alias("bands"), F.lit(0).cast("long").alias("near1"), F.lit(0).cast("long").alias("near2")))
     monkeypatch.setattr(linededup, "PIECE", 50, raising=False)
     df = docs(spark, [(i, t, "a") for i, t in enumerate(lines)]).select(F.col("doc_id").alias("doc"), "text")
     by = {}
-    seen = linededup.all_lines(df).join(linededup.alike_lines(df, 0.8), "node", "left")
+    seen = linededup.all_lines(df).join(linededup.alike_lines(df)[0], "node", "left")
     for r in seen.collect():
         by.setdefault(r["node"] if r["component"] is None else r["component"], []).append(r["line"])
     want = line_components([t.lower() for t in lines])
@@ -270,19 +270,57 @@ def test_signatures_are_of_the_shingles_compared(spark):
         lines += [t, t[:3] + "é" + t[4:]]
     lines += [f"https://www.example.org/{char(40)}" for _ in range(20)] + ["abcd", "abcde", "日本語の文章" * 50, "日本x語の文章" + "日本語の文章" * 49]
     df = docs(spark, [(i, t, "a") for i, t in enumerate(lines)]).select(F.col("doc_id").alias("doc"), "text")
-    bands = {r["line"]: r["bands"] for r in linededup.all_lines(df).join(linededup.signatures(linededup.all_lines(df)), "node").collect()}
-    mask, rows, s64 = 2**linededup.BITS - 1, linededup.ROWS, 2**64
-    hashed = {r["s"]: r["h"] % s64 for r in spark.createDataFrame([(s,) for s in {t[i : i + 5] for t in lines for i in range(max(1, len(t) - 4))}], "s string").select("s", F.xxhash64("s").alias("h")).collect()}
+    signed = {r["line"]: r for r in linededup.all_lines(df).join(linededup.signatures(linededup.all_lines(df)), "node").collect()}
+    s64 = lambda x: x - 2**64 if x >= 2**63 else x
+    shingles = {s for t in lines for s in (t[i : i + 5] for i in range(max(1, len(t) - 4)))}
+    hashed = {r["s"]: r["h"] % 2**64 for r in spark.createDataFrame([(s,) for s in shingles], "s string").select("s", F.xxhash64(F.encode("s", "UTF-32")).alias("h")).collect()}
+    salts = [c % 2**64 for c in linededup.salts()]
+    minima = {t: [min(s64(hashed[t[i : i + 5]] ^ c) for i in range(max(1, len(t) - 4))) for c in salts] for t in lines}
+    half = linededup.MINIMA // 2
+    for t, m in minima.items():
+        assert signed[t]["near1"] == sum((x & 15) << 4 * i for i, x in enumerate(m[:half])) and signed[t]["near2"] == sum((x & 15) << 4 * i for i, x in enumerate(m[half:]))
     for t in lines:
-        u = {hashed[t[i : i + 5]] for i in range(max(1, len(t) - 4))}
-        m = [min(((x >> s) & mask) ^ c for x in u) for s, c in linededup.permutations()]
-        assert bands[t] == [m[rows * j] << 2 * linededup.BITS | m[rows * j + 1] << linededup.BITS | m[rows * j + 2] for j in range(linededup.BANDS)]
-    parts = {r["line"]: r["component"] for r in linededup.all_lines(df).join(linededup.alike_lines(df, 0.8), "node", "left").collect()}
+        for u in lines:
+            same = [all(minima[t][k] == minima[u][k] for k in ks) for ks in linededup.band_members()]
+            assert same == [a == b for a, b in zip(signed[t]["bands"], signed[u]["bands"], strict=True)]
+    parts = {r["line"]: r["component"] for r in linededup.all_lines(df).join(linededup.alike_lines(df)[0], "node", "left").collect()}
     found = Counter(c for c in parts.values() if c is not None)
     want = [x for x in line_components(lines) if len(x) > 1]
     assert sorted(sorted(t for t in lines if parts[t] == c) for c in found) == want and len(want) >= 7
 
 
+def test_bands_find_nearly_all_pairs_at_the_limit(spark):
+    """Pairs of an exact similarity from 0.8 to 0.87, of prose, text without spaces, Chinese characters and changed starts: 0.9 of each kind share a band."""
+    rng = np.random.RandomState(8)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.randint(2, 10)))
+    kinds = {
+        "prose": lambda: " ".join(word() for _ in range(rng.randint(8, 60))), "plain": lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), rng.randint(50, 300))),
+        "chinese": lambda: "".join(chr(x) for x in rng.randint(0x4E00, 0x9000, rng.randint(50, 300))), "start": lambda: "https://www.example.org/" + "".join(word() for _ in range(12)),
+    }
+    gram = lambda t: {t[i : i + 5] for i in range(len(t) - 4)}
+    pairs = []
+    for kind, make in kinds.items():
+        n = 0
+        while n < 150:
+            a = make()
+            b = list(a)
+            for at in [0] if kind == "start" else []:
+                b[at] = "X"
+            while True:
+                x, y = gram(a), gram("".join(b))
+                like = len(x & y) / len(x | y)
+                if like < 0.87:
+                    break
+                b[rng.randint(len(b))] = "q"
+            if like >= 0.8:
+                pairs.append((kind, a, "".join(b)))
+                n += 1
+    lines = spark.createDataFrame([(t,) for _, a, b in pairs for t in (a, b)], "line string").distinct().withColumn("node", F.xxhash64("line"))
+    bands = {r["line"]: r["bands"] for r in lines.join(linededup.signatures(lines), "node").collect()}
+    found = Counter(kind for kind, a, b in pairs if any(x == y for x, y in zip(bands[a], bands[b], strict=True)))
+    assert all(found[kind] >= 0.9 * 150 for kind in kinds), found
+
+
 def test_clashing_columns(spark):
     df = docs(spark, [(1, "x y", "a"), (2, "x y", "a")]).withColumns({c: F.lit(1) for c in ("node", "key", "line", "pos", "gone", "row", "n", "id", "component")})
     assert linededup.dedup_lines(df, "doc_id", "text").count() == 2
