@@ -11,9 +11,8 @@ from stormline.llm.store import Scratch
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the (src, dst) links; component: its smallest node.
 
-    A round gives every node the smallest label among its neighbours; from the third round on also
-    the label of its label, so a long chain halves each time while stars, which are done
-    by then, don't pay for it. Rounds stop when no label moves. Loops and repeated links change
+    A round gives every node the smallest label among its neighbours; from the second round on also
+    the label of its label, so a long chain halves each time. Rounds stop when no label moves. Loops and repeated links change
     nothing; a link with a null end is ignored; no links give no rows. Each round is
     stored, so that a lost executor never restarts the rounds, and the round before is freed.
     """
@@ -28,7 +27,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         rounds += 1
         told = both.join(labels.toDF("dst", "c"), "dst").groupBy(F.col("src").alias("node")).agg(F.min("c").alias("m"))
         near = labels.join(told, "node").select("node", "component", F.least("component", "m").alias("m"))
-        if rounds > 2:
+        if rounds > 1:
             near = near.join(labels.toDF("m", "far"), "m").select("node", "component", F.least("m", "far").alias("m"))
         moved = scratch.put(near.select("node", F.col("m").alias("component"), (F.col("m") < F.col("component")).alias("moved")), "labels")
         labels = moved.select("node", "component")

@@ -21,7 +21,7 @@ GRAM = 5
 STEP = 4
 HUBS = 3
 PIECE = 500
-MOST_UNLIKE = 15
+MOST_UNLIKE = 12  # of 30 minima; a pair at the limit is over it with a probability of 0.002
 MOST_BROADCAST = 1_000_000
 
 
@@ -49,9 +49,10 @@ def gram(chars: Column, at: Column) -> Column:
     return F.xxhash64(F.substring(chars, at * 4 + 1, F.lit(4 * GRAM)))
 
 
-def grams(chars: Column) -> Column:
+def grams(line: Column) -> Column:
     """Hashes of the distinct runs of GRAM characters; of the whole line if it is shorter."""
-    return F.array_distinct(F.transform(F.sequence(F.lit(0), last_start(chars)), lambda i: gram(chars, i)))
+    runs = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
+    return F.array_distinct(F.when(F.length(line) < GRAM, F.array(F.xxhash64(line))).otherwise(F.transform(runs, lambda x: F.xxhash64(x))))
 
 
 def all_lines(rows: DataFrame) -> DataFrame:
@@ -174,8 +175,8 @@ def alike_lines(rows: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, Da
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         """Pairs whose exact similarity is enough."""
-        both = pairs.join(texts.select(F.col("node").alias("a"), wide(F.col("line")).alias("line_a")), "a")
-        both = both.join(texts.select(F.col("node").alias("b"), wide(F.col("line")).alias("line_b")), "b")
+        both = pairs.join(texts.toDF("a", "line_a"), "a")
+        both = both.join(texts.toDF("b", "line_b"), "b")
         both = both.select("a", "b", grams(F.col("line_a")).alias("x"), grams(F.col("line_b")).alias("y"))
         common = F.size(F.array_intersect("x", "y"))
         links = both.where(common >= (F.size("x") + F.size("y") - common) * F.lit(similarity))
@@ -202,8 +203,8 @@ def dedup_lines(df: DataFrame, doc_id: str, text: str, similarity: float = 0.8)
     Two lines are alike if they are equal (in lower case, trimmed) or if the exact Jaccard similarity of
     their runs of 5 characters is `similarity` or more; lines linked so form a component, of
     which the first line stays, by doc_id and then place; the others go from the text `kept`.
-    Pairs are found by MinHash: one at the limit of 0.8 shares a band with a probability of 0.94, at 0.85 of
-    0.98, at 0.9 of 0.998; equal lines always do.
+    Pairs are found by MinHash: one at the limit of 0.8 is found with a probability of 0.94, at 0.85 of
+    0.98, at 0.9 of 0.998; equal lines always are.
     Blank lines stay and a text never becomes null by this: one whose lines all go is left
     with its blank lines or empty. A null text stays null, a row with a null doc_id as it is; an empty
     table gives no rows. Rows with one doc_id count as one document: the same line at the same place stays
