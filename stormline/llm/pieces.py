@@ -25,17 +25,18 @@ MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 OCCUR_BITS = 20
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 U = np.uint64
 
 
 class Vocab(NamedTuple):
-    """Hashes of the pieces in order, with their ids and log weights; which low bits of hashes occur;
-    ids of the bytes; the bytes of each id."""
+    """Hashes of the pieces in order, with their ids and log weights; the first piece whose hash begins
+    with some bits, or -1; how many pieces share those bits at most; ids of the bytes; the bytes of each id."""
 
     hashes: np.ndarray
-    occurs: np.ndarray
+    begins: np.ndarray
+    crowd: int
     ids: np.ndarray
     weights: np.ndarray
     longest: int
@@ -76,12 +77,13 @@ def load_vocab(path: str = MODEL, alpha: float = 0.5) -> Vocab:
     first = np.concatenate([[0], np.cumsum(size)])
     sums, inverse = _sums(np.frombuffer("".join(pieces[i] for i in plain).encode("utf-32-le"), np.uint32))
     hashes = (sums[first[1:]] - sums[first[:-1]]) * inverse[first[:-1]] + size.astype(U)
-    occurs = np.zeros(1 << OCCUR_BITS, bool)
-    occurs[hashes >> U(64 - OCCUR_BITS)] = True
     order = np.argsort(hashes)
+    lead, first_of, crowd = np.unique(hashes[order] >> U(64 - OCCUR_BITS), return_index=True, return_counts=True)
+    begins = np.full(1 << OCCUR_BITS, -1, np.int32)
+    begins[lead] = first_of
     ids = np.array(plain, np.int32)[order]
     rank = np.array([-model.get_score(int(i)) for i in ids])
-    return Vocab(hashes[order], occurs, ids, -alpha * np.log(rank + 2), int(size.max()), byte_ids, -alpha * float(np.log(4 * n)), spelled)
+    return Vocab(hashes[order], begins, int(crowd.max()), ids, -alpha * np.log(rank + 2), int(size.max()), byte_ids, -alpha * float(np.log(4 * n)), spelled)
 
 
 class Lattice(NamedTuple):
@@ -116,9 +118,11 @@ def lattice(units: list[str], v: Vocab) -> Lattice:
     for n in range(1, min(v.longest, int(size.max(initial=1))) + 1):
         at = at[left[at] >= n]
         h = (sums[at + n] - sums[at]) * inverse[at] + U(n)
-        may = v.occurs[h >> U(64 - OCCUR_BITS)]
-        on, h = at[may], h[may]
-        spot = np.minimum(np.searchsorted(v.hashes, h), len(v.hashes) - 1)
+        spot = v.begins[h >> U(64 - OCCUR_BITS)]
+        may = np.flatnonzero(spot >= 0)
+        on, h, spot = at[may], h[may], spot[may]
+        for _ in range(v.crowd - 1):
+            spot += (v.hashes[spot] != h) & (spot < len(v.hashes) - 1)
         hit = v.hashes[spot] == h
         on, spot = on[hit], spot[hit]
         if n == 1:
@@ -137,6 +141,7 @@ def lattice(units: list[str], v: Vocab) -> Lattice:
     # Sums of all completions, from the units' ends backward: edges by how far from the end they start.
     rest, chance = np.zeros(len(codes) + 1), np.empty(len(place))
     away = left[place]
+    away = away.astype(np.uint16) if len(codes) < 1 << 16 or away.max(initial=0) < 1 << 16 else away  # two bytes sort fast
     order = np.argsort(away, kind="stable")
     cut = np.searchsorted(away[order], np.arange(1, int(away.max(initial=0)) + 2))
     for r in range(1, len(cut)):
@@ -244,19 +249,20 @@ def walk_values(lat: Lattice, kinds: np.ndarray, docs, first, unit, edge, barred
 
 def sample_texts(texts: list[str], seeds: np.ndarray, v: Vocab, k: int) -> Iterator[tuple[int, np.ndarray, list, np.ndarray, np.ndarray, np.ndarray]]:
     """(rank, texts, token ids, log probability, perturbed value, inclusion probability) of up to k distinct segmentations each."""
-    kinds_of: dict[str, int] = {}
-    kinds, count = [], []
+    found, count = [], []
     for t in texts:
-        found = UNIT.findall(MARK + t.replace(" ", MARK)) if t else []
-        count.append(len(found))
-        kinds += [kinds_of.setdefault(x, len(kinds_of)) for x in found]
+        units = UNIT.findall(MARK + t.replace(" ", MARK)) if t else []
+        count.append(len(units))
+        found += units
+    coded = pa.array(found, pa.large_string()).dictionary_encode()
+    kinds_of, kinds = coded.dictionary.to_pylist(), np.asarray(coded.indices).astype(np.int64)
+    del found, coded
     count = np.array(count, np.int64)
     unit_first = np.concatenate([[0], np.cumsum(count)])
-    kinds = np.array(kinds, np.int64)
     if not len(kinds):
         yield 1, np.arange(len(texts)), [np.zeros(0, np.int32)] * len(texts), np.zeros(len(texts)), np.zeros(len(texts)), np.ones(len(texts))
         return
-    lat = lattice(list(kinds_of), v)
+    lat = lattice(kinds_of, v)
     # A unit's seed: its text's, and its own place in the text.
     inside = np.arange(len(kinds)) - np.repeat(unit_first[:-1], count)
     key = mix(np.repeat(seeds, count) ^ mix(inside.astype(U)))
@@ -342,7 +348,8 @@ def token_ids(lat: Lattice, w: Walk, v: Vocab) -> list[np.ndarray]:
     return np.split(out, edge[1:-1]) if len(edge) > 2 else [out]
 
 
-def encoded(batches: Iterator[pa.RecordBatch], v: Vocab, k: int) -> Iterator[pa.RecordBatch]:
+def encoded(batches: Iterator[pa.RecordBatch], v: Vocab, k: int, spelled: bool = False) -> Iterator[pa.RecordBatch]:
+    sp = spelling(v.spelled)
     for piece in (p for whole in batches for p in slices(whole, most_bytes=SLICE_BYTES)):
         texts = piece.column("text").fill_null("").to_pylist()
         seeds = np.asarray(piece.column("seed")).astype(np.int64).view(U)
@@ -350,10 +357,11 @@ def encoded(batches: Iterator[pa.RecordBatch], v: Vocab, k: int) -> Iterator[pa.
             off = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(off, pa.array(np.concatenate(ids) if len(ids) else np.zeros(0, np.int32), pa.int32()))
             taken = pa.array(docs)
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("id").take(taken), pa.array(np.full(len(docs), rank, np.int32)), lists, pa.array(lp), pa.array(value), pa.array(inclusion)],
-                ["id", "rank", "ids", "log_prob", "value", "inclusion"],
-            )
+            out = {
+                "id": piece.column("id").take(taken), "rank": pa.array(np.full(len(docs), rank, np.int32)), "ids": lists,
+                "log_prob": pa.array(lp), "value": pa.array(value), "inclusion": pa.array(inclusion),
+            }
+            yield pa.RecordBatch.from_pydict(out | ({"text": spell(lists, sp)} if spelled else {}))
 
 
 class Spelling(NamedTuple):
@@ -397,9 +405,11 @@ def decoded(batches: Iterator[pa.RecordBatch], sp: Spelling, rows: int = 256) ->
             yield pa.RecordBatch.from_arrays([*batch.columns, spell(batch.column("ids"), sp)], [*batch.schema.names, "text"])
 
 
-def encode_samples(df: DataFrame, key: str, text: str, k: int = 2, model: str = MODEL, alpha: float = 0.5) -> DataFrame:
+def encode_samples(df: DataFrame, key: str, text: str, k: int = 2, model: str = MODEL, alpha: float = 0.5, spelled: bool = False) -> DataFrame:
     """key, rank (from 1), ids, log_prob, value and inclusion: k distinct sampled segmentations of every text.
 
+    With `spelled`, also `text`: what the ids spell, as `decode_ids` gives it, in the same pass.
+
     Samples are drawn without replacement with probabilities of the lattice's weights, the same
     in each run for the same key and text. `value` is the perturbed log probability,
     falling with rank; `inclusion` the probability of being among the k, given the next value.
@@ -411,7 +421,8 @@ def encode_samples(df: DataFrame, key: str, text: str, k: int = 2, model: str =
     vocab = spark.sparkContext.broadcast(load_vocab(model, alpha))  # as large as the vocabulary, whatever the input
     rows = df.select(F.col(key).alias("id"), F.xxhash64(F.lit("pieces"), F.col(key)).alias("seed"), F.col(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    out = rows.mapInArrow(lambda it: encoded(it, vocab.value, k), f"id {kind}, rank int, ids array<int>, log_prob double, value double, inclusion double")
+    schema = f"id {kind}, rank int, ids array<int>, log_prob double, value double, inclusion double" + (", text string" if spelled else "")
+    out = rows.mapInArrow(lambda it: encoded(it, vocab.value, k, spelled), schema)
     return out.withColumnRenamed("id", key)
 
 
@@ -426,7 +437,7 @@ def decode_ids(df: DataFrame, model: str = MODEL) -> DataFrame:
 def op7_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two segmentations of each text as digests, with the decoded text's hash beside the text's own."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    samples = decode_ids(encode_samples(docs, "doc_id", "text"))
+    samples = encode_samples(docs, "doc_id", "text", spelled=True)
     return samples.select(
         "doc_id", "rank", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "value", "inclusion",
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
