@@ -35,26 +35,49 @@ def sample(term: Column, log_weight: Column, k: int) -> Column:
 
 
 def term_hashes(text: Column) -> Column:
-    """Sorted hashes of the words of a text, repeats included."""
+    """Hashes of the words of a text, repeats included."""
     spaced = F.split(F.translate(text, "\t\n\x0b\f\r", "     "), " ")
-    return F.sort_array(F.transform(F.array_remove(spaced, ""), lambda w: F.xxhash64(w)))
+    return F.transform(F.array_remove(spaced, ""), lambda w: F.xxhash64(w))
 
 
-def fingerprints(rows: DataFrame, keys: list[str], text: str, samples: int = SAMPLES) -> DataFrame:
-    """`keys` and `samples`, an array of numbers, for each row; null for a text without words.
+def low_bits(found: str, samples: int) -> Column:
+    low = F.array(*[F.col(f"{found}_{k}").bitwiseAND(F.lit(16**DIGITS - 1)) for k in range(samples)])
+    return F.when(F.col(f"{found}_0").isNotNull(), low)
 
-    Where rows are already dealt out by some of the keys, nothing is shuffled.
+
+def fingerprints(rows: DataFrame, keys: list[str], texts: list[str], samples: int = SAMPLES) -> DataFrame:
+    """`keys` and an array of samples under the name of each of one or two text columns; null for a text without words.
+
+    Words of two texts of a row are counted together, so that a word that both have equally often is sampled once for both:
+    the last bit of a word's hash says which text it is from. Where rows are already dealt out by some of the keys, nothing is shuffled.
     """
-    terms = rows.select(*keys, term_hashes(F.col(text)).alias("_s"))
+
+    def tagged(text: str, tag: int) -> Column:
+        return F.transform(term_hashes(F.col(text)), lambda h: F.shiftleft(F.shiftright(h, 1), 1).bitwiseOR(F.lit(tag).cast("long")))
+
+    terms = rows.select(*keys, F.sort_array(F.concat(*[tagged(t, i) for i, t in enumerate(texts)])).alias("_s"))
     last = F.size("_s")
     ends = F.filter(F.sequence(F.lit(1), last), lambda i: (i == last) | (F.element_at("_s", i) != F.get("_s", i)))
     terms = terms.withColumn("_ends", F.when(last > 0, ends))
     terms = terms.select(*keys, "_s", "_ends", F.posexplode_outer("_ends").alias("_i", "_end"))
-    before = F.when(F.col("_i") > 0, F.get("_ends", F.col("_i") - 1)).otherwise(0)
-    terms = terms.select(*keys, F.get("_s", F.col("_end") - 1).alias("_term"), F.log((F.col("_end") - before).cast("double")).alias("_w"))
-    found = terms.groupBy(*keys).agg(*[F.min(sample(F.col("_term"), F.col("_w"), k)).alias(f"_{k}") for k in range(samples)])
-    low = F.array(*[F.col(f"_{k}").bitwiseAND(F.lit(16**DIGITS - 1)) for k in range(samples)])
-    return found.select(*keys, F.when(F.col("_0").isNotNull(), low).alias("samples"))
+    end = lambda back: F.when(F.col("_i") >= back, F.get("_ends", F.col("_i") - back)).otherwise(0)
+    at = lambda e: F.get("_s", e - 1)
+    terms = terms.select(*keys, "_s", "_i", "_end", end(1).alias("_before"), end(2).alias("_earlier"), F.get("_ends", F.col("_i") + 1).alias("_next"))
+    word = F.shiftright(at(F.col("_end")), 1)
+    # Of a word of both texts, the second run speaks for both.
+    terms = terms.where(F.col("_next").isNull() | (F.shiftright(at(F.col("_next")), 1) != word) | F.col("_end").isNull())
+    second = at(F.col("_end")).bitwiseAND(F.lit(1)) == 1
+    mine, other = F.col("_end") - F.col("_before"), F.when((F.col("_i") > 0) & (F.shiftright(at(F.col("_before")), 1) == word), F.col("_before") - F.col("_earlier"))
+    counts = [F.when(second, other).otherwise(mine), F.when(second, mine)]
+    # which: 0 and 1 for one text alone, 2 for both.
+    weighted = lambda which, n: F.struct(F.lit(which).alias("which"), n.alias("n"))
+    a, b = counts
+    uses = F.when(a == b, F.array(weighted(2, a))).when(a.isNull(), F.array(weighted(1, b))).when(b.isNull(), F.array(weighted(0, a))).otherwise(F.array(weighted(0, a), weighted(1, b)))
+    terms = terms.select(*keys, word.alias("_term"), F.explode(uses).alias("_use")).select(*keys, "_use.which", "_term", F.log(F.col("_use.n").cast("double")).alias("_w"))
+    found = terms.groupBy(*keys, "which").agg(*[F.min(sample(F.col("_term"), F.col("_w"), k)).alias(f"_{k}") for k in range(samples)])
+    mins = [F.min(F.when(F.col("which") != 1 - i, F.col(f"_{k}"))).alias(f"_{i}_{k}") for i in range(len(texts)) for k in range(samples)]
+    found = found.groupBy(*keys).agg(*mins)
+    return found.select(*keys, *[low_bits(f"_{i}", samples).alias(t) for i, t in enumerate(texts)])
 
 
 def as_text(samples: Column, n: int = SAMPLES) -> Column:
@@ -102,11 +125,9 @@ def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = with_next(docs, "doc_id", "text", 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     n, edited = F.length("text"), edited_text(F.col("text"), F.col("next_text"))
     at = ["bucket", "rank"]
-    both = ordered.select(*at, F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")), F.struct(F.lit(1).alias("which"), edited.alias("t")))).alias("x"))
-    found = fingerprints(both.select(*at, "x.which", "x.t"), [*at, "which"], "t")
-    line = Window.partitionBy("bucket").orderBy("rank", "which")
-    found = found.select(*at, "which", "samples", F.lead("samples", 1).over(line).alias("own"), F.lead("samples", 2).over(line).alias("next"))
-    found = found.where("which = 0").drop("which")
+    found = fingerprints(ordered.select(*at, "text", edited.alias("edited")), at, ["text", "edited"])
+    line = Window.partitionBy("bucket").orderBy("rank")
+    found = found.select(*at, "text", "edited", F.lead("text").over(line).alias("next")).toDF(*at, "samples", "own", "next")
     about = ordered.where("ghost = 0").select(*at, "id", n.cast("long").alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256"))
     return about.join(found, at).select(
         F.col("id").alias("doc_id"), "n_chars", "edited_sha256", as_text(F.col("samples")).alias("fingerprint"), as_text(F.col("own")).alias("edited_fingerprint"),

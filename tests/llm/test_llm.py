@@ -90,7 +90,7 @@ def test_fingerprints_estimate_the_weighted_jaccard(spark):
     rng, errors = np.random.RandomState(2), []
     texts = [" ".join(f"{v}_{x}" for x in rng.zipf(1.6, 300) % 80) for v in range(20) for _ in range(6)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
-    got = {r["id"]: r["samples"] for r in fingerprint.fingerprints(df, ["id"], "text").collect()}
+    got = {r["id"]: r["text"] for r in fingerprint.fingerprints(df, ["id"], ["text"]).collect()}
     for i in range(len(texts)):
         for j in range(i - i % 6, i):
             errors.append(np.mean([x == y for x, y in zip(got[i], got[j], strict=True)]) - jaccard(texts[i], texts[j]))
@@ -99,10 +99,22 @@ def test_fingerprints_estimate_the_weighted_jaccard(spark):
 
 def test_fingerprint_of_odd_texts(spark):
     df = spark.createDataFrame([(1, ""), (2, "a b"), (3, "a b"), (4, " \t")], "id long, text string")
-    got = {r["id"]: r["samples"] for r in fingerprint.fingerprints(df, ["id"], "text").collect()}
+    got = {r["id"]: r["text"] for r in fingerprint.fingerprints(df, ["id"], ["text"]).collect()}
     assert got[1] is None and got[4] is None and got[2] == got[3] and len(got[2]) == fingerprint.SAMPLES
 
 
+def test_fingerprints_of_two_texts_at_once(spark):
+    """Counted together, texts get the samples that each gets alone, whatever words they share; null counts as no words."""
+    rng = np.random.RandomState(4)
+    texts = [None, "", "a", "a b a", "b b b"] + [" ".join(f"w{x}" for x in rng.zipf(1.5, 60) % 30) for _ in range(20)]
+    df = spark.createDataFrame([(100 * i + j, a, b) for i, a in enumerate(texts) for j, b in enumerate(texts[: 1 + i])], "id long, a string, b string")
+    df = df.fillna("", ["a", "b"])
+    one = spark.createDataFrame([(i, t or "") for i, t in enumerate(texts)], "id long, t string")
+    alone = {r["id"]: r["t"] for r in fingerprint.fingerprints(one, ["id"], ["t"]).collect()}
+    for r in fingerprint.fingerprints(df, ["id"], ["a", "b"]).collect():
+        assert r["a"] == alone[r["id"] // 100] and r["b"] == alone[r["id"] % 100]
+
+
 def test_next_document_goes_down_and_around(spark):
     df = spark.createDataFrame([(i, f"t{i}") for i in range(37)], "doc_id long, text string")
     for buckets in (1, 5, 40):
