@@ -36,7 +36,7 @@ def j1(spark, sf):
 
 
 @query("j2_version_in_effect", """
-WITH v AS (SELECT o_custkey, o_orderkey, o_orderdate::DATE AS published FROM orders), d AS (SELECT l_orderkey, l_linenumber, o_custkey, l_shipdate::DATE AS service_date FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey % 10 = 0)
+WITH v AS (SELECT o_custkey, o_orderkey, o_orderdate::DATE AS published FROM orders), d AS (SELECT l_orderkey, l_linenumber, o_custkey, l_shipdate::DATE AS service_date FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
 SELECT l_orderkey, l_linenumber, service_date, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, d.o_custkey, service_date ORDER BY published DESC, o_orderkey) AS r
   FROM d JOIN v ON d.o_custkey = v.o_custkey AND published <= service_date + 1) WHERE r = 1""")
 def j2(spark, sf):
@@ -44,7 +44,7 @@ def j2(spark, sf):
 
     o = table(spark, sf, "orders")
     v = o.select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("published"))
-    d = table(spark, sf, "lineitem").join(o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey").where("o_custkey % 10 = 0")
+    d = table(spark, sf, "lineitem").join(o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
     d = d.select("l_orderkey", "l_linenumber", "o_custkey", F.to_date("l_shipdate").alias("service_date"))
     return in_effect(d.join(v, "o_custkey"), ["l_orderkey", "l_linenumber", "o_custkey"], "published", "service_date", "o_orderkey").select("l_orderkey", "l_linenumber", "service_date", "o_orderkey")
 
@@ -86,23 +86,23 @@ def j5(spark, sf):
 
 
 @query("j6_previous_other_vehicle", f"""
-WITH {PINGS}, a AS (SELECT * FROM pings WHERE seq BETWEEN 40 AND 90)
+WITH {PINGS}, a AS (SELECT * FROM pings)
 SELECT x.event_id, x.ts - max(y.ts) AS headway_s FROM a x LEFT JOIN a y ON x.stop_id = y.stop_id AND x.direction_id IS NOT DISTINCT FROM y.direction_id
   AND y.ts < x.ts AND y.vehicle_id <> x.vehicle_id AND y.trip_id <> x.trip_id GROUP BY x.event_id, x.ts""")
 def j6(spark, sf):
-    a = pings(spark, sf).where("seq BETWEEN 40 AND 90").select("event_id", "stop_id", "direction_id", "vehicle_id", "trip_id", "ts")
+    a = pings(spark, sf).select("event_id", "stop_id", "direction_id", "vehicle_id", "trip_id", "ts")
     r = w.previous_other(a, ["stop_id", "direction_id"], "ts", ["vehicle_id", "trip_id"], "before")
     return r.select("event_id", (F.col("ts") - F.col("before")).alias("headway_s"))
 
 
 @query("j7_prediction_at_horizon", """
-WITH e AS (SELECT o_custkey, o_orderkey, epoch(o_orderdate)::BIGINT // 86400 AS arr FROM orders WHERE o_custkey % 7 = 0), p AS (SELECT o_custkey, epoch(o_orderdate)::BIGINT // 86400 AS fetched_at, o_orderkey AS pred FROM orders WHERE o_custkey % 7 = 0)
+WITH e AS (SELECT o_custkey, o_orderkey, epoch(o_orderdate)::BIGINT // 86400 AS arr FROM orders), p AS (SELECT o_custkey, epoch(o_orderdate)::BIGINT // 86400 AS fetched_at, o_orderkey AS pred FROM orders)
 SELECT o_custkey, o_orderkey, arr, arg_max(pred, (fetched_at, pred)) FILTER (WHERE fetched_at <= arr - 600) - arr AS pred_err_s, arg_max(pred, (fetched_at, pred)) - arr AS pred_last_off_s, max(pred) - min(pred) AS pred_range_s FROM e JOIN p USING (o_custkey) GROUP BY o_custkey, o_orderkey, arr""")
 def j7(spark, sf):
     from stormline.plans.passages import at_horizon
 
     day = F.expr("unix_timestamp(CAST(o_orderdate AS TIMESTAMP)) div 86400")
-    o = table(spark, sf, "orders").where("o_custkey % 7 = 0")
+    o = table(spark, sf, "orders")
     e = o.select("o_custkey", "o_orderkey", day.alias("arr"))
     p = o.select("o_custkey", day.alias("fetched_at"), F.col("o_orderkey").alias("pred"))
     return at_horizon(e, p, ["o_custkey"], "arr", 600)
@@ -118,12 +118,12 @@ def j8(spark, sf):
 
 
 @query("j9_range_join", """
-WITH s AS (SELECT o_orderkey, epoch(o_orderdate)::BIGINT // 86400 AS a, epoch(o_orderdate)::BIGINT // 86400 + o_orderkey % 9 AS b FROM orders WHERE o_orderkey % 11 = 0), p AS (SELECT l_orderkey, l_linenumber, epoch(l_shipdate)::BIGINT // 86400 AS d FROM lineitem WHERE l_orderkey % 5 = 0)
+WITH s AS (SELECT o_orderkey, epoch(o_orderdate)::BIGINT // 86400 AS a, epoch(o_orderdate)::BIGINT // 86400 + o_orderkey % 9 AS b FROM orders), p AS (SELECT l_orderkey, l_linenumber, epoch(l_shipdate)::BIGINT // 86400 AS d FROM lineitem)
 SELECT o_orderkey, count(*) AS n FROM p JOIN s ON d >= a AND d < b GROUP BY o_orderkey""")
 def j9(spark, sf):
     day = lambda c: F.expr(f"unix_timestamp(CAST({c} AS TIMESTAMP)) div 86400")
-    s = table(spark, sf, "orders").where("o_orderkey % 11 = 0").select("o_orderkey", day("o_orderdate").alias("a"), (day("o_orderdate") + F.col("o_orderkey") % 9).alias("b"))
-    p = table(spark, sf, "lineitem").where("l_orderkey % 5 = 0").select("l_orderkey", day("l_shipdate").alias("d"))
+    s = table(spark, sf, "orders").select("o_orderkey", day("o_orderdate").alias("a"), (day("o_orderdate") + F.col("o_orderkey") % 9).alias("b"))
+    p = table(spark, sf, "lineitem").select("l_orderkey", day("l_shipdate").alias("d"))
     return j.range_join(p, s, "d", "a", "b", 7).groupBy("o_orderkey").agg(F.count("*").alias("n"))
 
 

@@ -11,11 +11,11 @@ from stormline.functions import lookups, shapes
 from stormline.plans import alerts, routes
 from stormline.registry import query, table
 
-LINE = "line AS (SELECT vehicle_id AS shape, seq AS k, lon, lat FROM pings WHERE seq % 10 = 0)"
+LINE = "line AS (SELECT vehicle_id AS shape, seq AS k, lon, lat FROM pings)"
 
 
 def line(spark, sf):
-    return pings(spark, sf).where("seq % 10 = 0").select(F.col("vehicle_id").alias("shape"), F.col("seq").alias("k"), "lon", "lat")
+    return pings(spark, sf).select(F.col("vehicle_id").alias("shape"), F.col("seq").alias("k"), "lon", "lat")
 
 
 @query("w24_distance_along_shape", f"""
@@ -98,14 +98,14 @@ def d5(spark, sf):
 
 @query("d6_passage_facts", f"""
 WITH {PINGS}, o AS (SELECT *, lag(stop_id) OVER w AS passed, lag(ts) OVER w AS ts0 FROM pings WHERE trip_id IS NOT NULL WINDOW w AS (PARTITION BY vehicle_id, trip_id, start_date ORDER BY ts, fetched_at, stop_id)),
-f AS (SELECT vehicle_id, trip_id, route_id, passed AS stop_id, ((ts0 + ts) / 2.0)::DOUBLE AS arr, row_number() OVER (PARTITION BY vehicle_id, trip_id, start_date, passed ORDER BY ts0) AS r FROM o WHERE passed <> stop_id), p AS (SELECT * FROM f WHERE r = 1)
-SELECT x.vehicle_id, x.trip_id, x.stop_id, x.arr, x.arr - max(y.arr) AS headway_s FROM p x LEFT JOIN p y ON y.stop_id = x.stop_id AND y.arr < x.arr AND y.vehicle_id <> x.vehicle_id AND y.trip_id <> x.trip_id GROUP BY x.vehicle_id, x.trip_id, x.stop_id, x.arr""")
+f AS (SELECT vehicle_id, trip_id, start_date, route_id, passed AS stop_id, ((ts0 + ts) / 2.0)::DOUBLE AS arr, row_number() OVER (PARTITION BY vehicle_id, trip_id, start_date, passed ORDER BY ts0) AS r FROM o WHERE passed <> stop_id), p AS (SELECT * FROM f WHERE r = 1)
+SELECT x.vehicle_id, x.trip_id, x.stop_id, x.arr, x.arr - max(y.arr) AS headway_s FROM p x LEFT JOIN p y ON y.stop_id = x.stop_id AND y.start_date = x.start_date AND y.arr < x.arr AND y.vehicle_id <> x.vehicle_id AND y.trip_id <> x.trip_id GROUP BY x.vehicle_id, x.trip_id, x.stop_id, x.arr""")
 def d6(spark, sf):
     from stormline.operators.windows import previous_other
     from stormline.plans.passages import observed
 
-    p = observed(pings(spark, sf)).select("vehicle_id", "trip_id", "stop_id", "arr")
-    r = previous_other(p, ["stop_id"], "arr", ["vehicle_id", "trip_id"], "before")
+    p = observed(pings(spark, sf)).select("vehicle_id", "trip_id", "start_date", "stop_id", "arr")
+    r = previous_other(p, ["stop_id", "start_date"], "arr", ["vehicle_id", "trip_id"], "before")
     return r.select("vehicle_id", "trip_id", "stop_id", "arr", (F.col("arr") - F.col("before")).alias("headway_s"))
 
 

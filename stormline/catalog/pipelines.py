@@ -47,8 +47,7 @@ def sched(spark, sf):
 
 
 @query("d3_passages_matched", f"""
-WITH {PINGS}, {SCHED}, every_third AS (SELECT * FROM pings WHERE seq % 13 = 0),
-m AS (SELECT p.*, s.stop_sequence AS sq FROM every_third p LEFT JOIN sched s USING (trip_id, stop_id)),
+WITH {PINGS}, {SCHED}, m AS (SELECT p.*, s.stop_sequence AS sq FROM pings p LEFT JOIN sched s USING (trip_id, stop_id)),
 e AS (SELECT *, max(sq) OVER (PARTITION BY vehicle_id, trip_id, start_date ORDER BY ts, fetched_at, stop_id) AS env FROM m),
 g AS (SELECT *, lag(env) OVER w AS env0, lag(ts) OVER w AS ts0 FROM e WINDOW w AS (PARTITION BY vehicle_id, trip_id, start_date ORDER BY ts, fetched_at, stop_id)),
 x AS (SELECT vehicle_id, trip_id, env0, env, ts, (ts0 + ts) / 2.0 AS mid, unnest(range(env0, env)) AS k FROM g WHERE env > env0),
@@ -58,8 +57,7 @@ FROM y WHERE k = env0 OR known IS NOT NULL""")
 def d3(spark, sf):
     from stormline.plans.passages import matched
 
-    p = pings(spark, sf).where("seq % 13 = 0")
-    return matched(p, sched(spark, sf)).select("vehicle_id", "trip_id", F.col("stop_sequence").cast("int").alias("stop_sequence"), "arr", "interpolated")
+    return matched(pings(spark, sf), sched(spark, sf)).select("vehicle_id", "trip_id", F.col("stop_sequence").cast("int").alias("stop_sequence"), "arr", "interpolated")
 
 
 @query("d4_passages_observed", f"""
@@ -86,7 +84,7 @@ def d7(spark, sf):
 @query("d8_service_days", """
 WITH c AS (SELECT n_nationkey AS service_id, DATE '2024-01-01' + n_nationkey AS a, DATE '2024-01-01' + n_nationkey + 27 AS b FROM nation),
 s AS (SELECT service_id, unnest(generate_series(a::TIMESTAMP, b::TIMESTAMP, INTERVAL 1 DAY))::DATE AS d FROM c),
-x AS (SELECT DISTINCT (o_orderkey % 25)::INTEGER AS service_id, DATE '2024-01-01' + (o_orderkey % 50)::INTEGER AS d, CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS kind FROM orders WHERE o_orderkey % 11 = 0)
+x AS (SELECT DISTINCT (o_orderkey % 25)::INTEGER AS service_id, DATE '2024-01-01' + (o_orderkey % 50)::INTEGER AS d, CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS kind FROM orders)
 SELECT service_id, d AS service_date FROM (SELECT service_id, d FROM s WHERE isodow(d) <= 5 OR service_id % 2 = 0 UNION SELECT service_id, d FROM x WHERE kind = 1) t WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.kind = 2 AND x.service_id = t.service_id AND x.d = t.d)""")
 def d8(spark, sf):
     from stormline.plans.schedule import WEEKDAYS, service_days
@@ -94,7 +92,7 @@ def d8(spark, sf):
     start = F.expr("date_add(DATE '2024-01-01', n_nationkey)")
     weekend = (F.col("n_nationkey") % 2 == 0).cast("int")
     cal = table(spark, sf, "nation").select(F.col("n_nationkey").alias("service_id"), start.alias("start_date"), F.date_add(start, 27).alias("end_date"), *[(weekend if d in ("saturday", "sunday") else F.lit(1)).alias(d) for d in WEEKDAYS])
-    ex = table(spark, sf, "orders").where("o_orderkey % 11 = 0").select(F.expr("CAST(o_orderkey % 25 AS INT)").alias("service_id"), F.expr("date_add(DATE '2024-01-01', CAST(o_orderkey % 50 AS INT))").alias("date"), F.expr("CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END").alias("exception_type"))
+    ex = table(spark, sf, "orders").select(F.expr("CAST(o_orderkey % 25 AS INT)").alias("service_id"), F.expr("date_add(DATE '2024-01-01', CAST(o_orderkey % 50 AS INT))").alias("date"), F.expr("CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END").alias("exception_type"))
     return service_days(cal, ex)
 
 
@@ -195,15 +193,15 @@ def d17(spark, sf):
 
 
 @query("d18_schedule_versions", """
-WITH v AS (SELECT o_orderkey AS version, 'C' || (o_orderkey % 5) AS code, o_orderdate::DATE AS published, o_orderdate::DATE AS valid_from, o_orderdate::DATE + 60 AS valid_to FROM orders WHERE o_orderkey % 50 = 0),
-d AS (SELECT DISTINCT 'C' || (l_orderkey % 6) AS code, l_shipdate::DATE AS day FROM lineitem WHERE l_orderkey % 9 = 0)
+WITH v AS (SELECT o_orderkey AS version, 'C' || (o_orderkey % 5) AS code, o_orderdate::DATE AS published, o_orderdate::DATE AS valid_from, o_orderdate::DATE + 60 AS valid_to FROM orders),
+d AS (SELECT DISTINCT 'C' || (l_orderkey % 6) AS code, l_shipdate::DATE AS day FROM lineitem)
 SELECT code, day, version FROM (SELECT d.code, day, version, row_number() OVER (PARTITION BY d.code, day ORDER BY published DESC NULLS LAST, version) AS r FROM d LEFT JOIN v ON v.code = d.code AND published <= day + 1 AND day BETWEEN valid_from AND valid_to) WHERE r = 1""")
 def d18(spark, sf):
     from stormline.plans.versions import resolved
 
     day = F.to_date("o_orderdate")
-    v = table(spark, sf, "orders").where("o_orderkey % 50 = 0").select(F.col("o_orderkey").alias("version"), F.expr("concat('C', o_orderkey % 5)").alias("code"), day.alias("published"), day.alias("valid_from"), F.date_add(day, 60).alias("valid_to"))
-    d = table(spark, sf, "lineitem").where("l_orderkey % 9 = 0").select(F.expr("concat('C', l_orderkey % 6)").alias("code"), F.to_date("l_shipdate").alias("day")).distinct()
+    v = table(spark, sf, "orders").select(F.col("o_orderkey").alias("version"), F.expr("concat('C', o_orderkey % 5)").alias("code"), day.alias("published"), day.alias("valid_from"), F.date_add(day, 60).alias("valid_to"))
+    d = table(spark, sf, "lineitem").select(F.expr("concat('C', l_orderkey % 6)").alias("code"), F.to_date("l_shipdate").alias("day")).distinct()
     return resolved(d, v, "code", "day")
 
 
@@ -236,7 +234,7 @@ def d21(spark, sf):
 
 @query("d22_label_attachment", f"""
 WITH {SPOTS}, {PLACES}, x AS (SELECT spot_id, place_id, depth, s.zone AS z1, p.zone AS z2, s.lon AS lon1, s.lat AS lat1, p.lon AS lon2, p.lat AS lat2 FROM spots s JOIN places p ON abs(s.lat - p.lat) < 0.01 AND abs(s.lon - p.lon) < 0.02), {distance_sql('x')},
-u AS (SELECT place_id, spot_id % 12 AS event, 1 AS bit, 'radius' AS support, depth FROM d WHERE dist_m <= 300 UNION ALL SELECT place_id, spot_id % 12, 2, 'zone', NULL FROM spots s JOIN places p ON s.zone = p.zone WHERE spot_id % 10 = 0)
+u AS (SELECT place_id, spot_id % 12 AS event, 1 AS bit, 'radius' AS support, depth FROM d WHERE dist_m <= 300 UNION ALL SELECT place_id, spot_id % 12, 2, 'zone', NULL FROM spots s JOIN places p ON s.zone = p.zone)
 SELECT place_id, event, bit_or(bit)::INTEGER AS source_mix, array_to_string(list_sort(list_distinct(list(support))), ',') AS label_support, max(depth) AS depth FROM u GROUP BY ALL""")
 def d22(spark, sf):
     from stormline.operators.joins import radius_join
@@ -245,7 +243,7 @@ def d22(spark, sf):
     s, p = spots(spark, sf), places(spark, sf)
     near = radius_join(s.select("spot_id", "depth", F.col("lon").alias("lon1"), F.col("lat").alias("lat1")), p.select("place_id", F.col("lon").alias("lon2"), F.col("lat").alias("lat2")), ("lon1", "lat1"), ("lon2", "lat2"), 300.0)
     by_radius = near.select("place_id", (F.col("spot_id") % 12).alias("event"), F.lit(1).alias("source_bit"), F.lit("radius").alias("support"), "depth")
-    by_zone = s.where("spot_id % 10 = 0").select("zone", "spot_id").join(p.select("zone", "place_id"), "zone").select("place_id", (F.col("spot_id") % 12).alias("event"), F.lit(2).alias("source_bit"), F.lit("zone").alias("support"), F.lit(None).cast("double").alias("depth"))
+    by_zone = s.select("zone", "spot_id").join(p.select("zone", "place_id"), "zone").select("place_id", (F.col("spot_id") % 12).alias("event"), F.lit(2).alias("source_bit"), F.lit("zone").alias("support"), F.lit(None).cast("double").alias("depth"))
     return attached(by_radius.unionByName(by_zone), "place_id", "event").withColumn("label_support", F.array_join("label_support", ","))
 
 

@@ -110,20 +110,20 @@ def units(spark, sf):
 
 
 def asked(spark, sf):
-    return table(spark, sf, "part").select(F.col("p_partkey").alias("asset_id")).where("asset_id % 4 = 0")
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("asset_id"))
 
 
 @query("q1_events_for_assets", """
 WITH u AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 10 <> 0 THEN c_custkey - c_custkey % 10 END AS parent FROM customer), m AS (SELECT id AS unit, id AS member FROM u UNION SELECT parent, id FROM u WHERE parent IS NOT NULL),
-a AS (SELECT p_partkey AS asset_id FROM part WHERE p_partkey % 4 = 0), l AS (SELECT o_custkey AS member, strftime(o_orderdate, '%Y%m%d') AS event_id FROM orders WHERE o_orderkey % 9 = 0)
+a AS (SELECT p_partkey AS asset_id FROM part), l AS (SELECT o_custkey AS member, strftime(o_orderdate, '%Y%m%d') AS event_id FROM orders)
 SELECT asset_id, CASE WHEN asset_id NOT IN (SELECT id FROM u) THEN 'unknown_asset' WHEN count(DISTINCT event_id) = 0 THEN 'no_events' END AS reason, count(DISTINCT event_id) AS n_events, max(event_id) AS last_event FROM a LEFT JOIN m ON unit = asset_id LEFT JOIN l USING (member) GROUP BY asset_id""")
 def q1(spark, sf):
-    labels = table(spark, sf, "orders").where("o_orderkey % 9 = 0").select(F.col("o_custkey").alias("asset_id"), F.date_format("o_orderdate", "yyyyMMdd").alias("event_id"))
+    labels = table(spark, sf, "orders").select(F.col("o_custkey").alias("asset_id"), F.date_format("o_orderdate", "yyyyMMdd").alias("event_id"))
     return s.events_for_assets(asked(spark, sf), units(spark, sf), labels)
 
 
 @query("q2_exposure_of", """
-SELECT p_partkey AS asset_id, CASE WHEN c_custkey IS NULL THEN 'unknown_asset' WHEN c_acctbal <= 0 THEN 'not_a_unit' END AS reason, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS score FROM part LEFT JOIN customer ON c_custkey = p_partkey WHERE p_partkey % 4 = 0""")
+SELECT p_partkey AS asset_id, CASE WHEN c_custkey IS NULL THEN 'unknown_asset' WHEN c_acctbal <= 0 THEN 'not_a_unit' END AS reason, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS score FROM part LEFT JOIN customer ON c_custkey = p_partkey""")
 def q2(spark, sf):
     u = units(spark, sf)
     return s.exposure_of(asked(spark, sf), u.where("score > 0"), u)

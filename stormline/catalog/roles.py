@@ -39,20 +39,20 @@ def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RAIN = """rain AS (
   SELECT cell, h, CASE WHEN n > 0 THEN mm END AS mm FROM (
-    SELECT c.cell, h.h, count(o.cell) AS n, round(sum(o.mm), 6) AS mm
+    SELECT c.cell, h.h, count(o.mm) AS n, round(sum(o.mm), 6) AS mm
     FROM (SELECT DISTINCT c_nationkey AS cell FROM customer) c
     CROSS JOIN (SELECT unnest(range(0, 240)) AS h) h
-    LEFT JOIN (SELECT c_nationkey AS cell, o_orderkey % 240 AS h, ((o_orderkey % 11) * 0.4)::DOUBLE AS mm FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 7 < 3) o
+    LEFT JOIN (SELECT c_nationkey AS cell, o_orderkey % 240 AS h, (CASE WHEN o_orderkey % 7 < 3 THEN (o_orderkey % 11) * 0.4 END)::DOUBLE AS mm FROM orders JOIN customer ON o_custkey = c_custkey) o
       ON o.cell = c.cell AND o.h = h.h
     GROUP BY ALL)
 )"""
 
 
 def rain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense (cell, hour) rain: nations are cells, orders bring amounts, and an hour without any is missing."""
+    """Dense (cell, hour) rain: nations are cells, orders bring readings, four of seven of them none, and an hour without any is missing."""
     customer, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
-    falls = orders.where("o_orderkey % 7 < 3").join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("c_nationkey").alias("cell"), F.expr("o_orderkey % 240").alias("h"), F.expr("(o_orderkey % 11) * 0.4D").alias("mm")
+    falls = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("c_nationkey").alias("cell"), F.expr("o_orderkey % 240").alias("h"), F.expr("CASE WHEN o_orderkey % 7 < 3 THEN (o_orderkey % 11) * 0.4D END").alias("mm")
     )
     cells = customer.select(F.col("c_nationkey").alias("cell")).distinct()
     spine = cells.withColumn("h", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(239).cast("long"))))

@@ -27,14 +27,14 @@ def dated(spark, sf) -> DataFrame:
     return p.withColumn("date", F.date_format(F.timestamp_seconds("ts"), "yyyy-MM-dd")).withColumn("hour", F.date_format(F.timestamp_seconds("ts"), "HH"))
 
 
-@query("s1_service_day_read", f"WITH {PINGS} SELECT count(*) AS n, count(DISTINCT vehicle_id) AS n_vehicles, 0::BIGINT AS n_relation FROM pings WHERE ts < 1704067200 + 172800")
+@query("s1_service_day_read", f"WITH {PINGS} SELECT count(*) AS n, count(DISTINCT vehicle_id) AS n_vehicles, count(CASE WHEN ts % 86400 >= 21600 AND event_id % 2 = 0 THEN 1 END) AS n_relation FROM pings WHERE ts < 1704067200 + 172800")
 def s1(spark, sf):
     path = folder(spark, "bronze")
     d = dated(spark, sf)
     d.where("hour < '06'").write.partitionBy("date", "hour").parquet(path)
     # A later era has one column more.
-    d.where("hour >= '06'").withColumn("relation", F.lit(None).cast("string")).write.mode("append").partitionBy("date", "hour").parquet(path)
-    day = lake.service_day(spark, path, "2024-01-01", ["relation"])
+    d.where("hour >= '06'").withColumn("relation", F.when(F.col("event_id") % 2 == 0, F.col("event_id"))).write.mode("append").partitionBy("date", "hour").parquet(path)
+    day = lake.service_day(spark, path, "2024-01-01", ["relation"], {"relation": "bigint"})
     return day.agg(F.count("*").alias("n"), F.countDistinct("vehicle_id").alias("n_vehicles"), F.count("relation").alias("n_relation"))
 
 

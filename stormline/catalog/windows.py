@@ -43,12 +43,12 @@ def w4(spark, sf):
 
 
 @query("w5_previous_other", f"""
-WITH {PINGS}, a AS (SELECT event_id, stop_id, direction_id, vehicle_id, trip_id, ts FROM pings WHERE seq < 40)
+WITH {PINGS}, a AS (SELECT event_id, stop_id, direction_id, vehicle_id, trip_id, ts FROM pings)
 SELECT x.event_id, max(y.ts) AS prev_other FROM a x LEFT JOIN a y
   ON x.stop_id = y.stop_id AND x.direction_id = y.direction_id AND y.ts < x.ts AND y.vehicle_id <> x.vehicle_id AND y.trip_id <> x.trip_id
 GROUP BY x.event_id""")
 def w5(spark, sf):
-    a = pings(spark, sf).where("seq < 40").select("event_id", "stop_id", "direction_id", "vehicle_id", "trip_id", "ts")
+    a = pings(spark, sf).select("event_id", "stop_id", "direction_id", "vehicle_id", "trip_id", "ts")
     return w.previous_other(a, ["stop_id", "direction_id"], "ts", ["vehicle_id", "trip_id"], "prev_other").select("event_id", "prev_other")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,22 +64,61 @@ def day_runs(df: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def previous_other(df: DataFrame, keys: Sequence[str], order: str, differ: Sequence[str], name: str) -> DataFrame:
-    """The latest earlier `order` value in the group whose row differs in ALL of `differ`.
+    """The latest earlier `order` value in the group whose row differs in ALL of the `differ` columns.
 
-    "Differs in both" isn't transitive, so runs can't give it: the earlier rows of the group are held in
-    an array in order and searched. Groups are one place and day, some 100 rows.
+    "Differs in both" isn't transitive, so runs can't give it. A walk through a group in order needs just the last row of a few
+    of the newest tuples: one is dropped as soon as every row that it could serve is served by newer ones. For two
+    columns at most four remain (a row can rule out newer tuples in two ways only), so the walk is linear in the group.
+    A group (say, a place and service day) is one task's; rows without an earlier other one get null, as do rows
+    with a null in `order` or `differ`, which are no one's predecessor either.
     """
-    w = Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
-    before = F.collect_list(F.struct(F.col(order).alias("o"), *[F.col(c).alias(c) for c in differ])).over(w)
-
-    def other(x: Column) -> Column:
-        ok = F.lit(True)
-        for c in differ:
-            ok = ok & (x[c] != F.col(c))
-        return ok
-
-    held = df.withColumn("_before", before)
-    return held.withColumn(name, F.array_max(F.transform(F.filter("_before", other), lambda x: x["o"]))).drop("_before")
+    kind = df.schema[order].dataType.simpleString()
+    fields = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
+    names = list(df.columns)
+
+    def walked(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(order, kind="stable").reset_index(drop=True)
+        tuples = list(zip(*[rows[c] for c in differ], strict=True))
+        times = rows[order].tolist()
+        whole = rows[[order, *differ]].notna().all(axis=1).tolist()
+        out: list[object] = [None] * len(rows)
+        newest: list[tuple[tuple, object]] = []
+        at = 0
+        while at < len(rows):
+            end = at
+            while end < len(rows) and times[end] == times[at]:
+                end += 1
+            end = max(end, at + 1)
+            for i in range(at, end):
+                if whole[i]:
+                    out[i] = next((t for seen, t in newest if all(a != b for a, b in zip(seen, tuples[i], strict=True))), None)
+            for i in range(at, end):
+                if whole[i]:
+                    newest = needed([(tuples[i], times[i]), *[x for x in newest if x[0] != tuples[i]]])
+            at = end
+        rows[name] = pd.Series(out, dtype=object)
+        return rows[[*names, name]]
+
+    return df.groupBy(*keys).applyInPandas(walked, f"{fields}, `{name}` {kind}")
+
+
+def needed(newest: list[tuple[tuple, object]]) -> list[tuple[tuple, object]]:
+    """Tuples, newest first, without those that no row can need: a row that rules out all newer ones rules them out too.
+
+    A row rules a tuple out by sharing one of its values. Ways to rule out all tuples so far are kept as partial
+    rows (a value or nothing for each place); a tuple is needed if some of them leaves it standing.
+    """
+    kept: list[tuple[tuple, object]] = []
+    ways: list[dict[int, object]] = [{}]
+    for seen, at in newest:
+        standing = [w for w in ways if all(w.get(i) != v for i, v in enumerate(seen))]
+        if not standing:
+            continue
+        kept.append((seen, at))
+        ways = [w for w in ways if w not in standing] + [w | {i: v} for w in standing for i, v in enumerate(seen) if i not in w]
+        if not ways:
+            break
+    return kept
 
 
 def with_envelope(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:

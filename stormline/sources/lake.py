@@ -11,19 +11,21 @@ from pyspark.sql import functions as F
 from stormline.functions.scores import need_columns
 
 
-def read_days(spark: SparkSession, base: str, days: Sequence[str], need: Sequence[str] = ()) -> DataFrame:
+def read_days(spark: SparkSession, base: str, days: Sequence[str], need: Sequence[str] = (), eras: Mapping[str, str] | None = None) -> DataFrame:
     """The partitions date= of the days, columns united by name over eras; `need` columns must be there.
 
-    Filters on the partition column prune before any file is opened. Keys stay strings.
+    Only the folders of these days are listed and opened. `eras` declares the columns (name to type) that later eras
+    added: where no file of the days has them, as on a day without rows of that era, they are typed nulls. At least one of the days must have
+    a folder.
     """
-    df = spark.read.option("mergeSchema", "true").parquet(base)
-    return need_columns(df.where(F.col("date").cast("string").isin(*days)), need)
+    df = spark.read.option("mergeSchema", "true").option("basePath", base).parquet(f"{base}/date={{{','.join(days)}}}")
+    return need_columns(with_columns(df, eras or {}), need)
 
 
-def service_day(spark: SparkSession, base: str, day: str, need: Sequence[str] = ()) -> DataFrame:
+def service_day(spark: SparkSession, base: str, day: str, need: Sequence[str] = (), eras: Mapping[str, str] | None = None) -> DataFrame:
     """A service day's rows are captured on that date and, past midnight, on the next."""
     d = date.fromisoformat(day)
-    return read_days(spark, base, [d.isoformat(), (d + timedelta(days=1)).isoformat()], need)
+    return read_days(spark, base, [d.isoformat(), (d + timedelta(days=1)).isoformat()], need, eras)
 
 
 def read_picks(spark: SparkSession, base: str, picks: Sequence[str]) -> DataFrame:

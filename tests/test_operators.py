@@ -166,3 +166,30 @@ def test_bootstrap_brackets_the_ratio_and_agrees(spark):
 def test_route_class(spark):
     rows = spark.createDataFrame([("x1",), ("BxM2",), ("M15+",), ("B6",), (None,)], "r string")
     assert [r[0] for r in rows.select(texts.route_class(F.col("r"))).collect()] == ["express", "express", "sbs", "local", None]
+
+
+def test_previous_other_matches_a_plain_search(spark):
+    """Few vehicles and trips, equal times and nulls: the bounded walk finds what a search of all earlier rows finds."""
+    import random
+
+    from stormline.operators.windows import previous_other
+
+    rnd = random.Random(11)
+    rows = [(i, rnd.choice("ab"), rnd.randint(0, 60), rnd.choice([None, *"uvwx"]), rnd.choice("1234")) for i in range(600)]
+    df = spark.createDataFrame(rows, "id int, place string, at long, vehicle string, trip string")
+    got = {r["id"]: r["before"] for r in previous_other(df, ["place"], "at", ["vehicle", "trip"], "before").collect()}
+    for i, place, at, vehicle, trip in rows:
+        want = [a for _, p, a, v, t in rows if p == place and a < at and None not in (v, vehicle) and v != vehicle and t != trip]
+        assert got[i] == max(want, default=None)
+
+
+def test_days_without_rows_of_a_later_era(spark, tmp_path):
+    from stormline.sources import lake
+
+    path = str(tmp_path / "lake")
+    spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "v long, date string").write.partitionBy("date").parquet(path)
+    spark.createDataFrame([(3, 7, "2024-01-03")], "v long, extra long, date string").write.mode("append").partitionBy("date").parquet(path)
+    quiet = lake.service_day(spark, path, "2024-01-01", ["extra"], {"extra": "bigint"})
+    assert sorted((r["v"], r["extra"]) for r in quiet.collect()) == [(1, None), (2, None)]
+    busy = lake.service_day(spark, path, "2024-01-02", ["extra"], {"extra": "bigint"})
+    assert sorted((r["v"], r["extra"]) for r in busy.collect()) == [(2, None), (3, 7)]
