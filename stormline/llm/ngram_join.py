@@ -15,11 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormline.llm.graph import connected_components
-from stormline.llm.store import stored
+from stormline.llm.store import Scratch
 from stormline.llm.tokens import mix, shingles, slices, words
 
 BITS = 1024
@@ -74,16 +74,17 @@ def set_keys(u: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def sketches(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, what: str) -> Iterator[pa.RecordBatch]:
-    """Of (row, text): what = "keys" gives size, digest, parity sketch and keys; "sets" the hashes themselves."""
+    """Of (row, text): what = "keys" gives size, digest, parity sketch and keys; "sets" size, digest and the hashes themselves."""
     for batch in (piece for whole in batches for piece in slices(whole)):
         h, off = shingles(words(batch.column("text")), k)
         sets = [np.unique(h[a:b]) for a, b in zip(off[:-1], off[1:], strict=True)]
         size = pa.array([len(u) for u in sets], pa.int64())
-        if what == "sets":
-            yield pa.RecordBatch.from_arrays([batch.column("node"), size, pa.array([u.view(np.int64) for u in sets], pa.list_(pa.int64()))], ["node", "n", "hashes"])
-            continue
         d1 = [int(np.bitwise_xor.reduce(u).astype(U).view(np.int64)) if len(u) else 0 for u in sets]
         d2 = [int(mix(u).sum(dtype=U).view(np.int64)) if len(u) else 0 for u in sets]
+        if what == "sets":
+            hashes = pa.array([u.view(np.int64) for u in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), size, pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), hashes], ["id", "n", "d1", "d2", "hashes"])
+            continue
         bits = [np.packbits((np.bincount((u & U(BITS - 1)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).view(np.int64) for u in sets]
         keys = [set_keys(u, num, den).view(np.int64) if len(u) else u.view(np.int64) for u in sets]
         longs = pa.list_(pa.int64())
@@ -105,35 +106,36 @@ def ngram_jaccard_components(df: DataFrame, doc_id: str, text: str, k: int = 5,
     lower-cased; a shorter text is one shingle). component_id is the smallest doc_id that
     links reach. A null, empty or wordless text has no shingles and links with nothing; so
     does a row with a null doc_id, whose component_id is null. Rows with equal sets are one
-    node, compared once, and repeated rows are all returned. n_links counts the different
-    sets that a row's set links with, n_copies the rows with the same set. Other columns are dropped.
+    node, named by the set's digest and compared once; repeated rows are all returned, and rows that share a doc_id but not a
+    text belong to the component of both texts. n_links counts the different
+    sets that a row's set links with, n_copies the rows with the same set. Other columns are dropped; an empty table gives no
+    rows. A text is held whole, with some 20 times its size in memory.
     """
-    spark = df.sparkSession
+    scratch = Scratch(df.sparkSession)
     longs = "array<bigint>"
     rows = df.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     made = rows.mapInArrow(lambda it: sketches(it, k, num, den, "keys"), f"id long, n long, d1 long, d2 long, bits {longs}, keys {longs}")
-    made = stored(made, "sketches")
+    made = scratch.put(made.withColumn("node", F.xxhash64("n", "d1", "d2")), "sketches")
     linkable = made.where((F.col("n") > 0) & F.col("id").isNotNull())
-    nodes = stored(linkable.groupBy("n", "d1", "d2").agg(F.min("id").alias("node"), F.count("*").alias("n_copies")), "nodes")
-    first = F.struct("id", "n", "d1", "d2")
-    own = linkable.join(nodes.select(F.struct("node", "n", "d1", "d2").alias("first")), first == F.col("first"), "left_semi")
-    # Exact repeats of one row give one key twice; the count below is of distinct nodes only after `distinct` pairs.
-    keyed = own.select(F.explode("keys").alias("key"), F.col("id").alias("node"))
-    alike = Window.partitionBy("key")
-    shared = keyed.withColumn("members", F.count("*").over(alike)).where(F.col("members") > 1)
-    shared = stored(shared, "shared")
+    nodes = scratch.put(linkable.groupBy("node").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n_copies")), "nodes")
+    # Of equal sets one row brings the keys; exact repeats of that row bring them again, which `distinct` undoes.
+    own = linkable.join(nodes.select("node", F.col("first").alias("id")), ["node", "id"], "left_semi")
+    keyed = own.select(F.explode("keys").alias("key"), "node").distinct()
+    several = keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    shared = scratch.put(keyed.join(several, "key"), "shared")
     # The hub of a key is its member with the most company; every member is compared with the hub first.
     company = shared.groupBy("node").agg(F.sum("members").alias("company"))
     ranked = shared.join(company, "node")
-    hubs = ranked.groupBy("key").agg(F.max(F.struct("company", (-F.col("node")).alias("minus"))).alias("h"))
-    hubs = hubs.select("key", (-F.col("h.minus")).alias("hub"))
-    pairs = shared.join(hubs, "key").where(F.col("node") != F.col("hub")).select(
-        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")
-    ).distinct()
-    about = stored(own.select(F.col("id").alias("node"), "n", "bits").join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "about")
-    sets = rows.select(F.col("id").alias("node"), "text").join(about.select("node"), "node", "left_semi")
-    sets = sets.mapInArrow(lambda it: sketches(it, k, num, den, "sets"), f"node long, n long, hashes {longs}")
-    sets = stored(sets.dropDuplicates(["node"]), "sets")
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("company", "node")).alias("h")).select("key", F.col("h.node").alias("hub"))
+    pairs = shared.join(hubs, "key").where(F.col("node") != F.col("hub")).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    pairs = scratch.put(pairs, "pairs")
+    wanted = scratch.put(shared.select("node").distinct(), "wanted")
+    about = scratch.put(own.select("node", "n", "bits").join(wanted, "node", "left_semi").groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("bits").alias("bits")), "about")
+    # Of equal sets one text is read: the smallest of those with the smallest id.
+    ids = scratch.put(nodes.join(wanted, "node", "left_semi").select(F.col("first").alias("id")).distinct(), "ids")
+    sets = rows.join(ids, "id", "left_semi").mapInArrow(lambda it: sketches(it, k, num, den, "sets"), f"id long, n long, d1 long, d2 long, hashes {longs}")
+    sets = sets.withColumn("node", F.xxhash64("n", "d1", "d2")).join(wanted, "node", "left_semi").select("node", "n", "hashes").distinct()
+    sets = scratch.put(sets, "sets")
 
     def near(na: Column, nb: Column, a: Column, b: Column) -> Column:
         """What sizes and sketches allow."""
@@ -149,7 +151,7 @@ def ngram_jaccard_components(df: DataFrame, doc_id: str, text: str, k: int = 5,
             F.col("a").alias("src"), F.col("b").alias("dst")
         )
 
-    links = stored(verified(pairs), "links")
+    links = scratch.put(verified(pairs), "links")
     # The other members of each key meet each other, in pieces of some PIECE, each two pieces in a cell of their own.
     sizes = shared.groupBy("key").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))
     dealt = shared.select("key", "node").join(sizes, "key").join(about, "node").withColumn("piece", F.pmod(F.xxhash64("node", "key"), "pieces").cast("int"))
@@ -158,15 +160,22 @@ def ngram_jaccard_components(df: DataFrame, doc_id: str, text: str, k: int = 5,
     once = (F.col("piece") != F.col("other")) | (F.col("node_a") < F.col("node_b"))
     met = one.join(two, ["key", "piece", "other"]).where(once & near(F.col("n_a"), F.col("n_b"), F.col("bits_a"), F.col("bits_b")))
     rest = met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
-    links = links.union(stored(verified(rest.join(pairs, ["a", "b"], "left_anti")), "links"))
-    parts = connected_components(links)
+    links = links.union(scratch.put(verified(rest.join(pairs, ["a", "b"], "left_anti")), "more"))
+    scratch.drop("shared", "pairs", "wanted", "about", "ids", "sets")
+    # Sets of rows that share a doc_id are in one component too: each row's set is tied to the set named by the id's smallest node.
+    twins = linkable.groupBy("id").agg(F.min("node").alias("src"), F.max("node").alias("other")).where("src < other").select("id", "src")
+    tied = linkable.join(twins, "id").select("src", F.col("node").alias("dst")).where("src < dst")
+    parts = connected_components(links.union(tied))
     degree = links.select(F.col("src").alias("node")).union(links.select("dst")).groupBy("node").agg(F.count("*").alias("n_links"))
-    known = nodes.join(parts, "node", "left").join(degree, "node", "left").select(
-        F.struct("n", "d1", "d2").alias("set"), F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies"
-    )
-    out = made.select("id", "n", F.struct("n", "d1", "d2").alias("mine")).join(known, (F.col("mine") == F.col("set")) & (F.col("n") > 0) & F.col("id").isNotNull(), "left")
+    known = nodes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = known.groupBy("component").agg(F.min("first").alias("component_id"))
+    known = known.join(least, "component").join(degree, "node", "left").select("node", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
+    known = scratch.put(known, "known")
+    scratch.drop("nodes", "links", "more")
+    mine = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("node"))
+    out = made.select("id", "n", mine.alias("mine")).join(known, F.col("mine") == F.col("node"), "left")
     return out.select(
-        F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"),
+        F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"),
     )
 

@@ -73,20 +73,20 @@ def top_inner_products(df: DataFrame, vec_id: str, vector: str, every: int = 50,
     (Cauchy-Schwarz), and in it rows only get a full product if their partial sum on the
     leading SVD axes plus the product of the residual lengths does. Both bounds are exact.
     Queries (id divisible by `every`) and rows meet in blocks of fixed size. Rows with a null
-    id, vector or component, a component that isn't finite or another dimension than
-    most rows take no part; an id that repeats stands for each of its rows, and rows with the query's
+    id, vector or component or a component that isn't finite take no part; a shorter vector than the longest one counts
+    as followed by zeros, so scores are sums over the components that both have; an id that repeats stands for each of its rows, and rows with the query's
     own id are no candidates. Ties go to the smaller vec_id.
     """
     spark = df.sparkSession
     base = df.select(F.col(vec_id).cast("long").alias("vec_id"), scaled(F.col(vector)).alias("v")).where(
         F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)
     )
-    base = stored(base.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))), "vectors")
-    shape = base.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    base = stored(base.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))), "vectors")
+    shape = base.agg(F.max(F.size("v")).alias("d"), F.count("*").alias("count")).first()
     schema = "query_id long, rank int, vec_id long, score long"
-    if shape is None:
+    if shape["d"] is None:
         return spark.createDataFrame([], schema)
-    base = base.where(F.size("v") == shape["d"])
+    base = base.withColumn("v", F.concat("v", F.array_repeat(F.lit(0).cast("long"), F.lit(shape["d"]) - F.size("v"))))
     turn, n = rotation(base), shape["count"]
     head = min(head, shape["d"])
     levels = min(LEVELS, max(1, -(-n // block_rows)))

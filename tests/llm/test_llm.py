@@ -47,6 +47,35 @@ def test_ngram_links_are_all_counted(spark, monkeypatch):
     assert {r["doc_id"]: r["n_links"] for r in got} == want and {r["component_id"] for r in got} == {0}
 
 
+def plain_components(rows):
+    """component_id and set size by brute force: rows are tied by links and by shared ids."""
+    words = [WORD.findall((t or "").translate({c: c + 32 for c in range(65, 91)})) for _, t in rows]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
+    at = list(range(len(rows)))
+    for i, (x, (a, _)) in enumerate(zip(sets, rows, strict=True)):
+        for j, (y, (b, _)) in enumerate(zip(sets[:i], rows[:i], strict=True)):
+            if x and y and a is not None and b is not None and (a == b or 100 * len(x & y) >= 80 * len(x | y)):
+                at = [at[j] if c == at[i] else c for c in at]
+    return Counter((r[0], len(s), min((q[0] for q, d in zip(rows, at, strict=True) if d == c), default=None) if s and r[0] is not None else r[0]) for r, s, c in zip(rows, sets, at, strict=True))
+
+
+def test_ngram_components_match_brute_force(spark):
+    """Random near copies, repeated rows, ids with several texts, short and odd texts."""
+    rng = np.random.RandomState(9)
+    rows = []
+    for family in range(12):
+        base = [f"v{family}_{x}" for x in rng.randint(0, 40, rng.randint(3, 90))]
+        for _ in range(8):
+            w = list(base)
+            for _ in range(rng.randint(0, 4)):
+                w[rng.randint(len(w))] = f"e{rng.randint(1000)}"
+            rows.append((int(rng.randint(10, 80)), " ".join(w)))
+    rows += rows[:5] + [(i, t) for i, t, _ in ODD if t is None or len(t) < 1000]
+    got = ngram_join.ngram_jaccard_components(docs(spark, [(i, t, "a") for i, t in rows]), "doc_id", "text").collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == plain_components(rows)
+    assert ngram_join.ngram_jaccard_components(docs(spark, []), "doc_id", "text").count() == 0
+
+
 def test_ngram_blocks_never_lose_a_link():
     """Sets just as alike as the limit share a key, whatever their sizes."""
     rng = np.random.RandomState(1)
@@ -333,6 +362,19 @@ def test_bands_find_nearly_all_pairs_at_the_limit(spark):
     assert all(found[kind] >= 0.9 * 150 for kind in kinds), found
 
 
+def test_topk_of_mixed_lengths_and_large_components(spark):
+    rng = np.random.RandomState(3)
+    rows = [(i, [float(x) for x in rng.randint(-9, 9, 3 if i % 5 == 0 else 4)]) for i in range(120)] + [(500, [2e7, 2e7, 2e7, 2e7]), (501, [float("inf")] * 4), (502, None), (None, [1.0])]
+    got = topk.top_inner_products(spark.createDataFrame(rows, "vec_id long, v array<double>"), "vec_id", "v").collect()
+    v = {i: [math.floor(256 * x) for x in x] for i, x in rows if x is not None and i is not None and all(map(math.isfinite, x))}
+    want = set()
+    for q in v:
+        if q % 50 == 0:
+            best = sorted((-sum(a * b for a, b in zip(v[q], v[c])), c) for c in v if c != q)[:5]
+            want |= {(q, n, c, -score) for n, (score, c) in enumerate(best, 1)}
+    assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got} == want
+
+
 def test_clashing_columns(spark):
     df = docs(spark, [(1, "x y", "a"), (2, "x y", "a")]).withColumns({c: F.lit(1) for c in ("node", "key", "line", "pos", "gone", "row", "n", "id", "component")})
     assert linededup.dedup_lines(df, "doc_id", "text").count() == 2
