@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stormline.llm.graph import connected_components
-from stormline.llm.store import Scratch
+from stormline.llm.store import Scratch, narrowed
 
 MINIMA = 30
 ROWS = 6
@@ -22,7 +22,6 @@ STEP = 4
 HUBS = 3
 PIECE = 500
 MOST_UNLIKE = 12  # of 30 minima; a pair at the limit is over it with a probability of 0.002
-MOST_BROADCAST = 1_000_000
 
 
 def normal(line: Column) -> Column:
@@ -30,11 +29,6 @@ def normal(line: Column) -> Column:
     return F.lower(F.btrim(line, F.lit(" \t\r\x0b\f")))
 
 
-def narrowed(big: DataFrame, small: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
-    """A join with a stored table of one or two longs a row: broadcast up to a million rows (16 MB), shuffled beyond."""
-    return big.join(F.broadcast(small) if small.count() <= MOST_BROADCAST else small, on, how)
-
-
 def wide(line: Column) -> Column:
     """Four bytes for each character, so that the n-th is found at once."""
     return F.encode(line, "UTF-32")

@@ -14,16 +14,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormline.llm.graph import connected_components
-from stormline.llm.store import Scratch
+from stormline.llm.store import Scratch, narrowed
 from stormline.llm.tokens import mix, shingles, slices, words
 
 BITS = 1024
 PIECE = 500
+CELL_SETS, CELL_HASHES, COLUMNS = 2000, 500_000, 4096
 U = np.uint64
 
 
@@ -99,15 +101,64 @@ def distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x.cast("int"))
 
 
-def ngram_jaccard_components(df: DataFrame, doc_id: str, text: str, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id and n_links for every row of df.
+def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set of `a` with each of `b`, some columns of hashes at a time."""
+    sets = a if a is b else a + b
+    hashes, place, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.cumsum(seen > 1) - 1  # a hash of one set alone is in no intersection
+    row, keep = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), seen[place] > 1
+    row, column = row[keep], column[place[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(a), len(b)), np.float32)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        i, j = np.searchsorted(column, [lo, lo + COLUMNS])
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[row[i:j], column[i:j] - lo] = 1
+        out += has[: len(a)] @ (has if a is b else has[len(a) :]).T
+    return out
+
+
+def link_counts(members: DataFrame, num: int, den: int) -> DataFrame:
+    """(node, n_links) of (node, component, n, hashes): the other sets of its component that each set links with.
+
+    A component is dealt over pieces of bounded size, and each two pieces meet in a cell of their own, which gives
+    counts and no pairs: so rows stay linear in the sets, and no task holds a component.
+    """
+    sizes = members.groupBy("component").agg(F.greatest(F.ceil(F.sum("n") / CELL_HASHES), F.ceil(F.count("*") / CELL_SETS)).cast("int").alias("pieces"), F.count("*").alias("size"))
+    dealt = members.join(sizes.where("size > 1").select("component", "pieces"), "component")
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("node", "component"), "pieces").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, pieces - 1)")))
+    cells = dealt.select("component", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), (F.col("mine") <= F.col("other")).alias("left"), "node", "hashes")
+
+    def counted(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        one, two = rows[rows["left"]], rows[~rows["left"]]
+        a = list(one["hashes"])
+        same = key[1] == key[2]
+        b = a if same else list(two["hashes"])
+        if not a or not b:
+            return pd.DataFrame({"node": [], "links": []}).astype("int64")
+        both = overlaps(a, b)
+        n, m = np.array([len(x) for x in a], np.float64), np.array([len(x) for x in b], np.float64)
+        linked = both * float(den) >= (n[:, None] + m - both) * num
+        if same:
+            np.fill_diagonal(linked, False)
+            return pd.DataFrame({"node": one["node"], "links": linked.sum(1)})
+        return pd.DataFrame({"node": np.concatenate([one["node"], two["node"]]), "links": np.concatenate([linked.sum(1), linked.sum(0)])})
+
+    found = cells.groupBy("component", "p", "q").applyInPandas(counted, "node long, links long")
+    return found.groupBy("node").agg(F.sum("links").alias("n_links"))
+
+
+def ngram_jaccard_components(df: DataFrame, doc_id: str, text: str, k: int = 5, num: int = 80, den: int = 100, count_links: bool = True) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links and n_copies for every row of df.
 
     Rows link when den * |A and B| >= num * |A or B| for their sets of k-word shingles (A-Z
     lower-cased; a shorter text is one shingle). component_id is the smallest doc_id that
     links reach. A null, empty or wordless text has no shingles and links with nothing; so
     does a row with a null doc_id, whose component_id is null. Rows with equal sets are one
     node, named by the set's digest and compared once; repeated rows are all returned, and rows that share a doc_id but not a
-    text belong to the component of both texts. n_links counts the different
+    text belong to the component of both texts. n_links (unless not wanted) counts the different
     sets that a row's set links with, n_copies the rows with the same set. Other columns are dropped; an empty table gives no
     rows. A text is held whole, with some 20 times its size in memory.
     """
@@ -118,11 +169,11 @@ def ngram_jaccard_components(df: DataFrame, doc_id: str, text: str, k: int = 5,
     made = scratch.put(made.withColumn("node", F.xxhash64("n", "d1", "d2")), "sketches")
     linkable = made.where((F.col("n") > 0) & F.col("id").isNotNull())
     nodes = scratch.put(linkable.groupBy("node").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n_copies")), "nodes")
-    # Of equal sets one row brings the keys; exact repeats of that row bring them again, which `distinct` undoes.
+    # Of equal sets one row brings the keys; exact repeats of that row bring them again, which `distinct` undoes where it matters.
     own = linkable.join(nodes.select("node", F.col("first").alias("id")), ["node", "id"], "left_semi")
-    keyed = own.select(F.explode("keys").alias("key"), "node").distinct()
-    several = keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    shared = scratch.put(keyed.join(several, "key"), "shared")
+    keyed = own.select(F.explode("keys").alias("key"), "node")
+    several = scratch.put(keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "several")
+    shared = scratch.put(narrowed(keyed, several, "key", "inner").distinct(), "shared")
     # The hub of a key is its member with the most company; every member is compared with the hub first.
     company = shared.groupBy("node").agg(F.sum("members").alias("company"))
     ranked = shared.join(company, "node")
@@ -152,31 +203,41 @@ def ngram_jaccard_components(df: DataFrame, doc_id: str, text: str, k: int = 5,
         )
 
     links = scratch.put(verified(pairs), "links")
-    # The other members of each key meet each other, in pieces of some PIECE, each two pieces in a cell of their own.
-    sizes = shared.groupBy("key").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))
-    dealt = shared.select("key", "node").join(sizes, "key").join(about, "node").withColumn("piece", F.pmod(F.xxhash64("node", "key"), "pieces").cast("int"))
-    one = dealt.withColumn("other", F.explode(F.expr("sequence(piece, pieces - 1)"))).select("key", "piece", "other", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "bits")])
-    two = dealt.withColumn("other", F.explode(F.expr("sequence(0, piece)"))).select("key", F.col("other").alias("piece"), F.col("piece").alias("other"), *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "bits")])
-    once = (F.col("piece") != F.col("other")) | (F.col("node_a") < F.col("node_b"))
-    met = one.join(two, ["key", "piece", "other"]).where(once & near(F.col("n_a"), F.col("n_b"), F.col("bits_a"), F.col("bits_b")))
-    rest = met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
-    links = links.union(scratch.put(verified(rest.join(pairs, ["a", "b"], "left_anti")), "more"))
-    scratch.drop("shared", "pairs", "wanted", "about", "ids", "sets")
-    # Sets of rows that share a doc_id are in one component too: each row's set is tied to the set named by the id's smallest node.
+    # Sets of rows that share a doc_id are in one component too.
     twins = linkable.groupBy("id").agg(F.min("node").alias("src"), F.max("node").alias("other")).where("src < other").select("id", "src")
     tied = linkable.join(twins, "id").select("src", F.col("node").alias("dst")).where("src < dst")
-    parts = connected_components(links.union(tied))
-    degree = links.select(F.col("src").alias("node")).union(links.select("dst")).groupBy("node").agg(F.count("*").alias("n_links"))
+    links = scratch.put(links.union(tied), "ties")
+    parts = connected_components(links)
+    # The members of a key that are still in different components meet each other, in pieces of some PIECE, each two pieces in a cell of their own.
+    at = shared.select("key", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    still_open = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.count("*") / PIECE).cast("int").alias("pieces")).where("lo < hi")
+    dealt = at.join(still_open.select("key", "pieces"), "key").join(about, "node").withColumn("piece", F.pmod(F.xxhash64("node", "key"), "pieces").cast("int"))
+    dealt = scratch.put(dealt.select("key", "pieces", "piece", "node", "component", "n", "bits"), "dealt")
+    fields = ("node", "component", "n", "bits")
+    one = dealt.withColumn("other", F.explode(F.expr("sequence(piece, pieces - 1)"))).select("key", "piece", "other", *[F.col(c).alias(f"{c}_a") for c in fields])
+    two = dealt.withColumn("other", F.explode(F.expr("sequence(0, piece)"))).select("key", F.col("other").alias("piece"), F.col("piece").alias("other"), *[F.col(c).alias(f"{c}_b") for c in fields])
+    once = (F.col("piece") != F.col("other")) | (F.col("node_a") < F.col("node_b"))
+    apart = F.col("component_a") != F.col("component_b")
+    met = one.join(two, ["key", "piece", "other"]).where(once & apart & near(F.col("n_a"), F.col("n_b"), F.col("bits_a"), F.col("bits_b")))
+    rest = met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    more = scratch.put(verified(rest.join(pairs, ["a", "b"], "left_anti")), "more")
+    if not more.isEmpty():
+        parts = connected_components(links.union(more))
+    scratch.drop("several", "shared", "pairs", "wanted", "about", "ids", "dealt")
     known = nodes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = known.groupBy("component").agg(F.min("first").alias("component_id"))
-    known = known.join(least, "component").join(degree, "node", "left").select("node", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
+    known = known.join(least, "component").select("node", "component_id", "n_copies")
+    if count_links:
+        known = known.join(link_counts(parts.join(sets, "node"), num, den), "node", "left")
+    else:
+        known = known.withColumn("n_links", F.lit(None).cast("long"))
     known = scratch.put(known, "known")
-    scratch.drop("nodes", "links", "more")
+    scratch.drop("nodes", "links", "ties", "more", "sets")
     mine = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("node"))
     out = made.select("id", "n", mine.alias("mine")).join(known, F.col("mine") == F.col("node"), "left")
     return out.select(
         F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"),
+        *([F.coalesce("n_links", F.lit(0)).alias("n_links")] if count_links else []), F.coalesce("n_copies", F.lit(1)).alias("n_copies"),
     )
 
 
@@ -186,7 +247,7 @@ def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     Rows without words link with nothing and stay, as do rows with a null doc_id. Rows that share a
     doc_id stay or go together, and equal ones of them are one row.
     """
-    found = ngram_jaccard_components(docs, doc_id, text)
+    found = ngram_jaccard_components(docs, doc_id, text, count_links=False)
     keep = found.where(F.col(doc_id) == F.col("component_id")).select(F.col(doc_id).alias("_id")).distinct()
     kept = docs.join(keep, F.col(doc_id) == F.col("_id"), "left_semi")
     return kept.dropDuplicates([doc_id, text]).unionByName(docs.where(F.col(doc_id).isNull()))

@@ -39,6 +39,8 @@ def test_ngram_components_match_a_plain_version(spark):
 def test_ngram_links_are_all_counted(spark, monkeypatch):
     """Near copies of one text link with each other too, not with their hub alone; keys are cut into pieces."""
     monkeypatch.setattr(ngram_join, "PIECE", 4, raising=False)
+    monkeypatch.setattr(ngram_join, "CELL_SETS", 5)
+    monkeypatch.setattr(ngram_join, "COLUMNS", 64)
     base = [f"w{i}" for i in range(120)]
     texts = [" ".join(base)] + [" ".join([*base[: 6 * k], f"new{k}", *base[6 * k + 1 :]]) for k in range(1, 19)] + [" ".join(base[:m]) for m in (100, 108, 112)]
     sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
