@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormline.llm.graph import connected_components
-from stormline.llm.store import Scratch, narrowed
+from stormline.llm.store import Scratch
 from stormline.llm.tokens import mix, shingles, slices, words
 
 BITS = 1024
@@ -173,7 +173,7 @@ def ngram_jaccard_components(df: DataFrame, doc_id: str, text: str, k: int = 5,
     own = linkable.join(nodes.select("node", F.col("first").alias("id")), ["node", "id"], "left_semi")
     keyed = own.select(F.explode("keys").alias("key"), "node")
     several = scratch.put(keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "several")
-    shared = scratch.put(narrowed(keyed, several, "key", "inner").distinct(), "shared")
+    shared = scratch.put(keyed.join(several, "key").distinct(), "shared")
     # The hub of a key is its member with the most company; every member is compared with the hub first.
     company = shared.groupBy("node").agg(F.sum("members").alias("company"))
     ranked = shared.join(company, "node")
