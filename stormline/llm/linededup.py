@@ -21,6 +21,7 @@ GRAM = 5
 STEP = 4
 HUBS = 3
 PIECE = 500
+PARITIES = 8  # numbers of 64 parities
 MOST_UNLIKE = 12  # of 30 minima; a pair at the limit is over it with a probability of 0.002
 
 
@@ -129,22 +130,52 @@ def hub_pairs(members: DataFrame) -> DataFrame:
     return met.where((F.col("node_a") != F.col("node_b")) & (unlike("_a", "_b") <= MOST_UNLIKE)).select(*ordered("node_a", "node_b"))
 
 
-def open_pairs(members: DataFrame) -> DataFrame:
-    """(a, b) of all members of a key that are in different components, if their minima allow a link.
+def parities(texts: DataFrame) -> DataFrame:
+    """(node, n, p0..p7): the number of distinct runs of each line, and for each of 512 places the parity of those that hash there."""
+    runs = texts.select("node", F.explode(grams(F.col("line"))).alias("h"))
+    place, bit = F.col("h").bitwiseAND(F.lit(PARITIES - 1)), F.expr(f"shiftleft(1L, cast(shiftright(h, {PARITIES.bit_length() - 1}) & 63 AS INT))")
+    sketch = [F.bit_xor(F.when(place == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"p{k}") for k in range(PARITIES)]
+    return runs.groupBy("node").agg(F.count("*").alias("n"), *sketch)
 
-    A key's members are dealt over pieces of some PIECE, and each two pieces meet in a cell of their own,
-    so no task holds all pairs of a key.
+
+def may_link(a: str, b: str, similarity: float) -> Column:
+    """What sizes and parities allow; never false for two lines that are alike.
+
+    A run in just one of two lines flips one parity, so no more parities differ than the symmetric difference
+    has runs, and at a similarity of s that has (n + m)(1 - s) / (1 + s) at most.
+    """
+    n, m = F.col(f"n{a}"), F.col(f"n{b}")
+    differ = sum((F.bit_count(F.col(f"p{k}{a}").bitwiseXOR(F.col(f"p{k}{b}"))) for k in range(1, PARITIES)), F.bit_count(F.col(f"p0{a}").bitwiseXOR(F.col(f"p0{b}"))))
+    slack = F.lit(1e-6)
+    return (F.least(n, m) + slack >= F.greatest(n, m) * F.lit(similarity)) & (differ * F.lit(1 + similarity) <= (n + m) * F.lit(1 - similarity) + slack)
+
+
+def open_members(at: DataFrame) -> DataFrame:
+    """The members (key, node, component, ..) of keys with several components: `minor`, the members outside the key's largest
+    component, get true; `pieces` and `minor_pieces` say in how many pieces of some PIECE all of a key and the minor ones are dealt."""
+    parts = at.groupBy("key", "component").agg(F.count("*").alias("size"))
+    keys = parts.groupBy("key").agg(F.max(F.struct("size", "component")).alias("main"), F.sum("size").alias("all"), F.count("*").alias("components"))
+    keys = keys.where("components > 1").select(
+        "key", F.col("main.component").alias("main"), F.ceil(F.col("all") / PIECE).cast("int").alias("pieces"),
+        F.ceil((F.col("all") - F.col("main.size")) / PIECE).cast("int").alias("minor_pieces"),
+    )
+    return at.join(keys, "key").withColumn("minor", F.col("component") != F.col("main")).drop("main")
+
+
+def open_pairs(members: DataFrame, similarity: float) -> DataFrame:
+    """(a, b), once each, of the `open_members` of a key that are in different components, if minima, sizes and parities allow a link.
+
+    One of such a pair is outside the key's largest component, so just those meet all others: in cells, each of
+    a piece of the one and a piece of the other, so no task holds all pairs of a key.
     """
-    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))
-    dealt = members.join(sizes, "key").withColumn("piece", F.pmod(F.xxhash64("node", "key"), "pieces").cast("int"))
-    dealt = dealt.select("key", "pieces", "piece", "node", "component", "near1", "near2")
-    one = named(dealt.withColumn("other", F.explode(F.expr("sequence(piece, pieces - 1)"))).drop("pieces"), "_a", ("key", "piece", "other"))
-    two = dealt.withColumn("other", F.explode(F.expr("sequence(0, piece)")))
-    two = two.select("key", F.col("other").alias("piece"), F.col("piece").alias("other"), "node", "component", "near1", "near2")
-    two = named(two, "_b", ("key", "piece", "other"))
-    once = (F.col("piece") != F.col("other")) | (F.col("node_a") < F.col("node_b"))
-    met = one.join(two, ["key", "piece", "other"])
-    return met.where((F.col("component_a") != F.col("component_b")) & once & (unlike("_a", "_b") <= MOST_UNLIKE)).select(*ordered("node_a", "node_b"))
+    piece = F.xxhash64("node", "key")
+    one = members.where("minor").withColumn("p", F.pmod(piece, "minor_pieces").cast("int")).withColumn("q", F.explode(F.expr("sequence(0, pieces - 1)")))
+    two = members.withColumn("q", F.pmod(piece, "pieces").cast("int")).withColumn("p", F.explode(F.expr("sequence(0, minor_pieces - 1)")))
+    one, two = (named(side.drop("pieces", "minor_pieces"), suffix, ("key", "p", "q")) for side, suffix in ((one, "_a"), (two, "_b")))
+    once = ~F.col("minor_b") | (F.col("node_a") < F.col("node_b"))
+    allowed = (unlike("_a", "_b") <= MOST_UNLIKE) & may_link("_a", "_b", similarity)
+    first = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key")  # a pair is made in one of the keys it shares
+    return one.join(two, ["key", "p", "q"]).where((F.col("component_a") != F.col("component_b")) & once & allowed & first).select(*ordered("node_a", "node_b"))
 
 
 def alike_lines(rows: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -152,7 +183,7 @@ def alike_lines(rows: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, Da
 
     All members of a band key are compared with the key's hubs first, which is linear in the members and joins
     what was copied from one text. Then the members of a key that are still in different components are
-    all compared with each other. So any two lines that share a band and are alike end in one component.
+    all compared with each other, by parity sketches before whole texts. So any two lines that share a band and are alike end in one component.
     """
     scratch = Scratch(rows.sparkSession)
     lines = all_lines(rows)
@@ -180,14 +211,15 @@ def alike_lines(rows: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, Da
     links = verified(tried, "links")
     parts = connected_components(links)
     at = members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_keys = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    still = scratch.put(at.join(open_keys, "key", "left_semi").drop("company"), "open")
+    still = scratch.put(open_members(at.drop("company")), "open")
     scratch.drop("members", "wanted")
-    rest = scratch.put(open_pairs(still).distinct().join(tried, ["a", "b"], "left_anti"), "rest")
+    sketched = scratch.put(parities(texts.join(still.select("node").distinct(), "node", "left_semi")), "parities")
+    known = sketched.join(still.groupBy("node").agg(F.collect_set("key").alias("keys")), "node")
+    rest = scratch.put(open_pairs(still.join(known, "node"), similarity).join(tried, ["a", "b"], "left_anti"), "rest")
     more = verified(rest, "more")
     if not more.isEmpty():
         parts = connected_components(links.union(more))
-    scratch.drop("open", "rest", "tried", "texts", "links", "more")
+    scratch.drop("open", "parities", "rest", "tried", "texts", "links", "more")
     return parts, repeated
 
 

@@ -303,6 +303,41 @@ def test_lines_of_one_frame_meet_each_other(spark, monkeypatch):
     assert len(want) == 60 and sorted(map(sorted, by.values())) == want
 
 
+def test_parities_never_rule_out_a_link(spark):
+    """Differing parities are no more than the symmetric difference, and pairs down to the limit are allowed."""
+    rng = np.random.RandomState(9)
+    a = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 300))
+    lines = ["abcd", "abcd ", "q" * 50, "日本語の文章" * 30]
+    for n in (6, 12, 30, 80, 300):
+        b = list(a[:n])
+        lines.append(a[:n])
+        for _ in range(12):
+            b[rng.randint(n)] = "Q"
+            lines.append("".join(b))
+    lines = list(dict.fromkeys(lines))
+    sketched = linededup.parities(spark.createDataFrame(list(enumerate(lines)), "node long, line string"))
+    one, two = (linededup.named(sketched, x, ()) for x in ("_a", "_b"))
+    allowed = {(r["node_a"], r["node_b"]) for r in one.join(two, linededup.may_link("_a", "_b", 0.8)).select("node_a", "node_b").collect()}
+    gram = [{t[i : i + 5] for i in range(len(t) - 4)} or {t} for t in lines]
+    like = {(i, j): len(gram[i] & gram[j]) / len(gram[i] | gram[j]) for i in range(len(lines)) for j in range(len(lines))}
+    assert {r["node"]: r["n"] for r in sketched.collect()} == {i: len(g) for i, g in enumerate(gram)}
+    assert {p for p, x in like.items() if x >= 0.8} <= allowed and sum(p in allowed for p, x in like.items() if x < 0.5) < 20
+
+
+def test_open_pairs_are_all_pairs_between_components(spark, monkeypatch):
+    """One large component, some small ones and lone lines share two keys: each pair between components is made, once."""
+    monkeypatch.setattr(linededup, "PIECE", 7)
+    at = [(key, n, 0 if n < 40 else n // 3) for key in (1, 2) for n in range(60 if key == 1 else 50)] + [(3, n, 1) for n in range(5)]
+    zeros = [F.lit(0).cast("long").alias(c) for c in ("near1", "near2", *(f"p{k}" for k in range(linededup.PARITIES)))]
+    df = spark.createDataFrame(at, "key long, node long, component long").select("*", F.lit(9).alias("n"), *zeros)
+    still = linededup.open_members(df)
+    keys = still.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    got = [(r["a"], r["b"]) for r in linededup.open_pairs(still.join(keys, "node"), 0.8).collect()]
+    component = {n: c for key, n, c in at if key == 1}
+    want = [(a, b) for a in range(60) for b in range(a + 1, 60) if component[a] != component[b]]
+    assert sorted(got) == want
+
+
 def test_signatures_are_of_the_shingles_compared(spark):
     """Lines without white space, short ones and long ones share bands as their exact similarity says."""
     rng = np.random.RandomState(6)
