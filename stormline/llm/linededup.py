@@ -152,10 +152,12 @@ def may_link(a: str, b: str, similarity: float) -> Column:
 
 def open_members(at: DataFrame) -> DataFrame:
     """The members (key, node, component, ..) of keys with several components: `minor`, the members outside the key's largest
-    component, get true; `pieces` and `minor_pieces` say in how many pieces of some PIECE all of a key and the minor ones are dealt."""
+    component, get true; `pieces` and `minor_pieces` say in how many pieces of some PIECE all of a key and the minor ones are dealt.
+
+    Keys of two members are left out: one of the two is a hub, so `hub_pairs` holds their only pair."""
     parts = at.groupBy("key", "component").agg(F.count("*").alias("size"))
     keys = parts.groupBy("key").agg(F.max(F.struct("size", "component")).alias("main"), F.sum("size").alias("all"), F.count("*").alias("components"))
-    keys = keys.where("components > 1").select(
+    keys = keys.where("components > 1 AND all > 2").select(
         "key", F.col("main.component").alias("main"), F.ceil(F.col("all") / PIECE).cast("int").alias("pieces"),
         F.ceil((F.col("all") - F.col("main.size")) / PIECE).cast("int").alias("minor_pieces"),
     )
@@ -178,6 +180,14 @@ def open_pairs(members: DataFrame, similarity: float) -> DataFrame:
     return one.join(two, ["key", "p", "q"]).where((F.col("component_a") != F.col("component_b")) & once & allowed & first).select(*ordered("node_a", "node_b"))
 
 
+def merged(parts: DataFrame, more: DataFrame) -> DataFrame:
+    """(node, component) after further links (src, dst): the components they connect are joined, by rounds over those alone."""
+    ends = more.join(parts.toDF("src", "c"), "src", "left").join(parts.toDF("dst", "d"), "dst", "left")
+    roots = connected_components(ends.select(F.coalesce("c", "src").alias("src"), F.coalesce("d", "dst").alias("dst")))
+    moved = narrowed(parts, roots.toDF("component", "root"), "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    return moved.unionByName(roots.join(parts.select("node"), "node", "left_anti"))
+
+
 def alike_lines(rows: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """(node, component) of the lines that are like another one, and the nodes of lines that occur more than once.
 
@@ -218,7 +228,7 @@ def alike_lines(rows: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, Da
     rest = scratch.put(open_pairs(still.join(known, "node"), similarity).join(tried, ["a", "b"], "left_anti"), "rest")
     more = verified(rest, "more")
     if not more.isEmpty():
-        parts = connected_components(links.union(more))
+        parts = merged(parts, more)
     scratch.drop("open", "parities", "rest", "tried", "texts", "links", "more")
     return parts, repeated
 
@@ -245,10 +255,10 @@ def dedup_lines(df: DataFrame, doc_id: str, text: str, similarity: float = 0.8)
     known = scratch.put(narrowed(all_lines(rows).select("node", "doc", "pos"), named_nodes, "node", "inner"), "known")
     first = known.groupBy("component").agg(F.min(F.struct("doc", "pos")).alias("first"))
     gone = known.join(first, "component").where(F.struct("doc", "pos") != F.col("first"))
-    gone = scratch.put(gone.groupBy("doc").agg(F.collect_set(F.struct("pos", "node")).alias("gone")), "gone")
+    gone = scratch.put(gone.groupBy("doc").agg(F.collect_set(F.xxhash64("pos", "node")).alias("gone")), "gone")
     scratch.drop("nodes", "known")
     lines = F.split("text", "\n", -1)
-    stays = F.filter(lines, lambda x, i: ~F.array_contains("gone", F.struct(i.alias("pos"), F.xxhash64(normal(x)).alias("node"))))
+    stays = F.filter(lines, lambda x, i: ~F.array_contains("gone", F.xxhash64(i, F.xxhash64(normal(x)))))
     edited = rows.join(gone, "doc", "left").select("row", "text", F.size(lines).cast("long").alias("n_lines"), F.when(F.col("gone").isNotNull(), stays).alias("stays"))
     return edited.select(
         "row", F.coalesce(F.greatest("n_lines", F.lit(0)), F.lit(0)).alias("n_lines"),
