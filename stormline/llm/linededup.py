@@ -254,7 +254,8 @@ def dedup_lines(df: DataFrame, doc_id: str, text: str, similarity: float = 0.8)
     named_nodes = scratch.put(named_nodes, "nodes")
     known = scratch.put(narrowed(all_lines(rows).select("node", "doc", "pos"), named_nodes, "node", "inner"), "known")
     first = known.groupBy("component").agg(F.min(F.struct("doc", "pos")).alias("first"))
-    gone = known.join(first, "component").where(F.struct("doc", "pos") != F.col("first"))
+    # By all three columns, so that a component with a great part of all lines is spread over the tasks.
+    gone = known.join(first.select("component", "first.doc", "first.pos"), ["component", "doc", "pos"], "left_anti")
     gone = scratch.put(gone.groupBy("doc").agg(F.collect_set(F.xxhash64("pos", "node")).alias("gone")), "gone")
     scratch.drop("nodes", "known")
     lines = F.split("text", "\n", -1)
