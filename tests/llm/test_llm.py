@@ -324,6 +324,14 @@ def test_parities_never_rule_out_a_link(spark):
     assert {p for p, x in like.items() if x >= 0.8} <= allowed and sum(p in allowed for p, x in like.items() if x < 0.5) < 20
 
 
+def test_further_links_join_components(spark):
+    parts = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (8, 8), (9, 8)], "node long, component long")
+    more = spark.createDataFrame([(6, 2), (4, 9), (3, 7)], "src long, dst long")
+    got = {tuple(r) for r in linededup.merged(parts, more).collect()}
+    assert got == {(1, 1), (2, 1), (5, 1), (6, 1), (4, 4), (8, 4), (9, 4), (3, 3), (7, 3)}
+    assert {tuple(r) for r in linededup.merged(parts, more.limit(0)).collect()} == {tuple(r) for r in parts.collect()}
+
+
 def test_open_pairs_are_all_pairs_between_components(spark, monkeypatch):
     """One large component, some small ones and lone lines share two keys: each pair between components is made, once."""
     monkeypatch.setattr(linededup, "PIECE", 7)
