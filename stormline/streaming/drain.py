@@ -38,18 +38,14 @@ def drain(writer) -> None:
 
 def hourly(stream: DataFrame, ts: str, late: str, *aggregates: Column, keys: tuple[str, ...] = ()) -> DataFrame:
     """Tumbling hours, labelled by their end; rows later than `late` no longer count."""
-    w = F.window(ts, "1 hour")
-    return stream.withWatermark(ts, late).groupBy(w.alias("w"), *keys).agg(*aggregates).select(F.col("w.end").alias("hour_end"), *keys, *[c for c in _names(aggregates)])
+    out = stream.withWatermark(ts, late).groupBy(F.window(ts, "1 hour").alias("w"), *keys).agg(*aggregates)
+    return out.select(F.col("w.end").alias("hour_end"), *out.columns[1:])
 
 
 def sessions(stream: DataFrame, ts: str, late: str, gap: str, *aggregates: Column, keys: tuple[str, ...]) -> DataFrame:
     """Sessions that a silence longer than `gap` ends."""
-    w = F.session_window(ts, gap)
-    return stream.withWatermark(ts, late).groupBy(w.alias("w"), *keys).agg(*aggregates).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *keys, *[c for c in _names(aggregates)])
-
-
-def _names(aggregates: tuple[Column, ...]) -> list[str]:
-    return [a._jc.toString().rsplit(" AS ", 1)[-1].strip("`") for a in aggregates]
+    out = stream.withWatermark(ts, late).groupBy(F.session_window(ts, gap).alias("w"), *keys).agg(*aggregates)
+    return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *out.columns[1:])
 
 
 LATCH = "unit string, anchor long, h long, level int, latched int"
