@@ -12,6 +12,7 @@ from stormline.operators import aggregates, joins, windows
 from stormline.plans.legs import LegRules, legs
 from stormline.plans.model import cross_validated, fit_logistic
 from stormline.plans.passages import matched
+from stormline.sources import archives
 
 
 def one(spark, col):
@@ -193,3 +194,17 @@ def test_days_without_rows_of_a_later_era(spark, tmp_path):
     assert sorted((r["v"], r["extra"]) for r in quiet.collect()) == [(1, None), (2, None)]
     busy = lake.service_day(spark, path, "2024-01-02", ["extra"], {"extra": "bigint"})
     assert sorted((r["v"], r["extra"]) for r in busy.collect()) == [(2, None), (3, 7)]
+
+
+def test_snapshots_are_thinned_in_order_of_time(spark):
+    rows = [("a", 1, 0, 10), ("a", 1, 5, 11), ("a", 1, 10, 10), ("a", 1, 12, 12), ("a", 1, 12, 13), ("a", 1, 30, 12), ("a", 2, 13, 12), ("b", 1, 3, 9), ("b", 1, 3, 9)]
+    df = spark.createDataFrame(rows, "feed string, day int, fetched_at long, header_ts long")
+    want, last = [], {}
+    for feed, day, at, head in sorted(set(rows)):
+        before = last.get((feed, day))
+        if before is None or (at - before[0] >= 10 and head != before[1]):
+            last[feed, day] = (at, head)
+            want.append((feed, day, at, head))
+    got = archives.chosen_snapshots(df, "header_ts", 10)
+    assert sorted(tuple(r) for r in got.collect()) == want == [("a", 1, 0, 10), ("a", 1, 12, 12), ("a", 2, 13, 12), ("b", 1, 3, 9)]
+    assert archives.chosen_snapshots(df.limit(0), "header_ts", 10).count() == 0
