@@ -109,7 +109,11 @@ def d6(spark, sf):
     return r.select("vehicle_id", "trip_id", "stop_id", "arr", (F.col("arr") - F.col("before")).alias("headway_s"))
 
 
-@query("d13_cell_pixel_crosswalk", "SELECT s_suppkey AS cell, 1.0::DOUBLE AS total, true AS all_positive FROM supplier")
+@query("d13_cell_pixel_crosswalk", """
+SELECT cell, count(*) AS n_pixels, round(sum(w), 9) AS total, round(max(w), 9) AS most FROM (
+  SELECT cell, greatest(least(cx + 400, (i + 1) * 300.0::DOUBLE) - greatest(cx - 400, i * 300.0::DOUBLE), 0) * greatest(least(cy + 400, (j + 1) * 300.0::DOUBLE) - greatest(cy - 400, j * 300.0::DOUBLE), 0) / 640000.0::DOUBLE AS w
+  FROM (SELECT s_suppkey AS cell, (s_suppkey * 37 % 1000)::DOUBLE AS cx, (s_suppkey * 91 % 1000)::DOUBLE AS cy FROM supplier), (SELECT unnest(range(-3, 6)) AS i), (SELECT unnest(range(-3, 6)) AS j))
+WHERE w > 0 GROUP BY cell""")
 def d13(spark, sf):
     from stormline.functions.geo import box_share
 
@@ -121,7 +125,7 @@ def d13(spark, sf):
     pixel = (F.col("i") * step, F.col("j") * step, (F.col("i") + 1) * step, (F.col("j") + 1) * step)
     box = (F.col("cx") - 400, F.col("cy") - 400, F.col("cx") + 400, F.col("cy") + 400)
     w = p.withColumn("weight", box_share(box, pixel)).where("weight > 0")
-    return w.groupBy("cell").agg(F.round(F.sum("weight"), 9).alias("total"), F.bool_and(F.col("weight") > 0).alias("all_positive"))
+    return w.groupBy("cell").agg(F.count("*").alias("n_pixels"), F.round(F.sum("weight"), 9).alias("total"), F.round(F.max("weight"), 9).alias("most"))
 
 
 @query("d20_alert_mentions", """

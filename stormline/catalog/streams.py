@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormline.catalog.joins import crosswalk, pixels  # noqa: F401
+from stormline.catalog.joins import cell_sql, crosswalk, pixels  # noqa: F401
 from stormline.catalog.roles import PINGS, RAIN, pings, rain
+from stormline.operators import joins
 from stormline.plans import live
 from stormline.registry import query, table
 from stormline.sources import archives, lake
@@ -151,12 +152,16 @@ def x3(spark, sf):
 
 
 @query("x4_enriched_positions", f"""
-WITH {RAIN}, {PINGS}, r AS (SELECT max(h) AS h FROM rain WHERE h <= 100) SELECT count(*) AS n, 0::BIGINT AS n_zone, max(r.h) AS rain_hour FROM pings, r""")
+WITH {RAIN}, {PINGS}, {cell_sql('pings')}, k AS (SELECT DISTINCT cell FROM g), newest AS (SELECT max(h) AS h FROM rain WHERE h <= 100),
+z AS (SELECT cell, cell % 7 AS zone FROM k WHERE cell % 5 <> 0), fell AS (SELECT k.cell, rain.mm FROM k JOIN rain ON rain.cell = k.cell % 25 JOIN newest USING (h))
+SELECT zone, count(*) AS n, count(mm) AS n_rain, round(sum(mm), 6) AS mm, max(newest.h) AS rain_hour FROM g LEFT JOIN z USING (cell) LEFT JOIN fell USING (cell), newest GROUP BY zone""")
 def x4(spark, sf):
-    r = rain(spark, sf).withColumn("fetched_at", F.lit(1)).withColumn("cell", F.col("cell").cast("long"))
-    z = r.select("cell", F.col("cell").alias("zone")).distinct()
-    e = live.enriched(pings(spark, sf), z, r, 100)
-    return e.agg(F.count("*").alias("n"), F.count("zone").alias("n_zone"), F.max("rain_hour").alias("rain_hour"))
+    p = pings(spark, sf)
+    cells = joins.with_cell(p).select("cell").distinct()
+    falls = rain(spark, sf).withColumnRenamed("cell", "area").join(cells, F.col("area") == F.col("cell") % 25)
+    zones = cells.where("cell % 5 <> 0").withColumn("zone", F.expr("cell % 7"))
+    e = live.enriched(p, zones, falls.withColumn("fetched_at", F.lit(1)), 100)
+    return e.groupBy("zone").agg(F.count("*").alias("n"), F.count("mm_1h").alias("n_rain"), F.round(F.sum("mm_1h"), 6).alias("mm"), F.max("rain_hour").alias("rain_hour"))
 
 
 @query("x5_json_stream", f"WITH {PINGS} SELECT vehicle_id, count(*) AS n FROM pings WHERE event_id % 50 <> 0 GROUP BY vehicle_id")
