@@ -35,9 +35,10 @@ def legs(pings: DataFrame, rules: LegRules = LegRules()) -> DataFrame:  # noqa:
     run = ["vehicle_id", "run_id"]
     p = with_next(p, run, ["ts"], ["ts", "lat", "lon", "stop_id"]).where(F.col("ts_next").isNotNull())
     changes = ~F.col("stop_id").eqNullSafe(F.col("stop_id_next"))
+    # Distances come before the window of flips: filters on them aren't pushed through it, so each is computed once.
+    p = p.withColumn("dist_m", geodesic_m(F.col("lon"), F.col("lat"), F.col("lon_next"), F.col("lat_next")))
     p = with_flips(p.withColumn("flip", changes), run, ["ts"], F.col("flip"))
     p = p.withColumn("dt_s", (F.col("ts_next") - F.col("ts")).cast("long"))
-    p = p.withColumn("dist_m", geodesic_m(F.col("lon"), F.col("lat"), F.col("lon_next"), F.col("lat_next")))
     at_end = (F.col("flips_so_far") == 0) | (~F.col("flip") & (F.col("flips_so_far") == F.col("flips_total")))
     terminal = F.lit(rules.drop_terminal) & (F.col("dist_m") < rules.still_m) & at_end
     dark = F.col("dt_s") > rules.dark_s
