@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stormline.llm.conversations import op13_conversation_repair
 from stormline.llm.fingerprint import op2_fingerprint
 from stormline.llm.langid import op10_language_id
 from stormline.llm.linededup import op8_line_dedup
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_language_id": op10_language_id,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES: dict[str, str] = {
