@@ -13,6 +13,7 @@ from stormline.llm.pieces import op7_piece_sampling
 from stormline.llm.secrets import op3_secret_scan
 from stormline.llm.sharding import op5_sharding
 from stormline.llm.topk import op6_topk
+from stormline.llm.variants import op12_spelling_variants
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_language_id": op10_language_id,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
