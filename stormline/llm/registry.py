@@ -9,6 +9,7 @@ from stormline.llm.linededup import op8_line_dedup
 from stormline.llm.lm import op9_lm_score
 from stormline.llm.mixing import op4_mixing
 from stormline.llm.ngram_join import op1_ngram_jaccard_join
+from stormline.llm.passages import op11_passage_dedup
 from stormline.llm.pieces import op7_piece_sampling
 from stormline.llm.secrets import op3_secret_scan
 from stormline.llm.sharding import op5_sharding
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_language_id": op10_language_id,
+    "op11_passage_dedup": op11_passage_dedup,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_conversation_repair": op13_conversation_repair,
 }
