@@ -30,12 +30,16 @@ def enum_name(code: Column, names: list[str]) -> Column:
     return F.when(code.between(0, len(names) - 1), F.element_at(F.lit(names), code.cast("int") + 1))
 
 
-def norm_words(text: Column, canon: dict[str, str]) -> Column:
-    """Upper case, no apostrophes, ordinals without their endings, words in their canonical form."""
+def norm_words(text: Column, canon: dict[str, str], between: bool = False) -> Column:
+    """Upper case, no apostrophes, slashes and hyphens as spaces, ordinals without their endings, words in their canonical form.
+
+    `between` also writes out the words B T as BETWEEN.
+    """
     bare = F.regexp_replace(F.upper(F.regexp_replace(text, "['’]", "")), r"\b(\d+)(ST|ND|RD|TH)\b", "$1")
     words = F.filter(F.split(F.regexp_replace(bare, "[^A-Z0-9]+", " "), " "), lambda w: w != "")
     pairs = F.create_map(*[F.lit(x) for kv in canon.items() for x in kv])
-    return F.array_join(F.transform(words, lambda w: F.coalesce(F.get(F.transform(F.array(w), lambda x: pairs[x]), 0), w)), " ")
+    joined = F.array_join(F.transform(words, lambda w: F.coalesce(F.get(F.transform(F.array(w), lambda x: pairs[x]), 0), w)), " ")
+    return F.regexp_replace(joined, r"\bB T\b", "BETWEEN") if between else joined
 
 
 def mask_names(mask: Column, names: list[str]) -> Column:
