@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -121,3 +123,99 @@ def ring_points(lon: Column, lat: Column, n: int, radius_m: float) -> Column:
             (lat + F.sin(k * step) * (radius_m / M_PER_DEGREE)).alias("lat"),
         ),
     )
+
+
+def xy(x: Column, y: Column) -> Column:
+    return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+
+
+def cell_ring(cell: Column) -> Column:
+    """A cell's six corners in the local plane as a closed ring, counter-clockwise."""
+    q, r = F.floor(cell / (2 * BIAS)) - BIAS, cell % (2 * BIAS) - BIAS
+    x, y = (q * 3**0.5 + r * (3**0.5 / 2)) * EDGE_M, r * 1.5 * EDGE_M
+    half = 3**0.5 / 2 * EDGE_M
+    corners = [(half, EDGE_M / 2), (0.0, EDGE_M), (-half, EDGE_M / 2), (-half, -EDGE_M / 2), (0.0, -EDGE_M), (half, -EDGE_M / 2), (half, EDGE_M / 2)]
+    return F.array(*[xy(x + dx, y + dy) for dx, dy in corners])
+
+
+CELL_AREA = 1.5 * 3**0.5 * EDGE_M**2
+
+
+def cells_over(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """All cells whose box meets a box of the local plane."""
+    wide, tall = 3**0.5 * EDGE_M, 1.5 * EDGE_M
+    rows = F.sequence(F.ceil((y0 - EDGE_M) / tall), F.floor((y1 + EDGE_M) / tall))
+
+    def row(r: Column) -> Column:
+        first, last = F.ceil((x0 - wide / 2) / wide - r / 2), F.floor((x1 + wide / 2) / wide - r / 2)
+        return F.transform(F.sequence(first, last), lambda q: ((q + BIAS) * (2 * BIAS) + (r + BIAS)).cast("long"))
+
+    return F.flatten(F.transform(rows, row))
+
+
+def _left_of(a: Column, b: Column, p: Column) -> Column:
+    """Positive where p lies left of the line from a to b."""
+    return (b["x"] - a["x"]) * (p["y"] - a["y"]) - (b["y"] - a["y"]) * (p["x"] - a["x"])
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _sides(ring: Column) -> Column:
+    """The sides of a closed ring as structs of two points."""
+    return let(ring, lambda r: F.zip_with(F.slice(r, 1, F.size(r) - 1), F.slice(r, 2, F.size(r) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
+
+
+def clip_convex(ring: Column, clip: Column) -> Column:
+    """The part of a closed ring inside a convex closed ring (counter-clockwise): one cut a side of the latter, as a fold.
+
+    Gives a closed ring, empty if nothing is left. A ring that isn't convex may come back with sides that run to and fro
+    along the border; its area is right all the same.
+    """
+
+    def cut(points: Column, side: Column) -> Column:
+        def corner(p: Column, k: Column) -> Column:
+            def kept(m: Column) -> Column:
+                part = m["t"] / (m["t"] - m["s"])
+                cross = xy(m["q"]["x"] + part * (p["x"] - m["q"]["x"]), m["q"]["y"] + part * (p["y"] - m["q"]["y"]))
+                return F.when((m["s"] >= 0) & (m["t"] >= 0), F.array(p)).when(m["s"] >= 0, F.array(cross, p)).when(m["t"] >= 0, F.array(cross)).otherwise(F.slice(points, 1, 0))
+
+            before = F.get(points, F.when(k == 0, F.size(points) - 1).otherwise(k - 1))
+            measured = let(before, lambda q: F.struct(q.alias("q"), _left_of(side["a"], side["b"], p).alias("s"), _left_of(side["a"], side["b"], q).alias("t")))
+            return let(measured, kept)
+
+        return F.flatten(F.transform(points, corner))
+
+    whole = F.transform(F.slice(ring, 1, F.size(ring) - 1), lambda p: xy(p["x"], p["y"]))
+    return let(F.aggregate(_sides(clip), whole, cut), lambda left: F.concat(left, F.slice(left, 1, 1)))
+
+
+def area_inside(ring: Column, clip: Column) -> Column:
+    """The area that a closed ring shares with a convex one (counter-clockwise)."""
+
+    def shoelace(part: Column) -> Column:
+        parts = F.zip_with(part, F.slice(part, 2, F.size(part)), lambda a, b: F.coalesce(a["x"] * b["y"] - b["x"] * a["y"], F.lit(0.0)))
+        return F.when(F.size(part) > 3, F.abs(F.aggregate(parts, F.lit(0.0), lambda s, v: s + v)) / 2).otherwise(0.0)
+
+    return let(clip_convex(ring, clip), shoelace)
+
+
+def share_inside(a: Column, b: Column, clip: Column) -> Column:
+    """The part (0 to 1) of the segment from point a to point b inside a convex closed ring (counter-clockwise)."""
+
+    def cut(acc: Column, side: Column) -> Column:
+        def narrowed(m: Column) -> Column:
+            at = m["s"] / (m["s"] - m["t"])
+            return (
+                F.when((m["s"] < 0) & (m["t"] < 0), F.struct(F.lit(1.0).alias("lo"), F.lit(0.0).alias("hi")))
+                .when((m["s"] < 0) & (m["t"] >= 0), F.struct(F.greatest(acc["lo"], at).alias("lo"), acc["hi"].alias("hi")))
+                .when((m["s"] >= 0) & (m["t"] < 0), F.struct(acc["lo"].alias("lo"), F.least(acc["hi"], at).alias("hi")))
+                .otherwise(acc)
+            )
+
+        return let(F.struct(_left_of(side["a"], side["b"], a).alias("s"), _left_of(side["a"], side["b"], b).alias("t")), narrowed)
+
+    start = F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"))
+    return F.aggregate(_sides(clip), start, cut, lambda acc: F.greatest(acc["hi"] - acc["lo"], F.lit(0.0)))
