@@ -60,6 +60,7 @@ def dead_hours(polls: DataFrame, keys: list[str], cadence_s: int, need: int) ->
     return by.where((F.col("n_polls") >= need) & (F.col("n_headers") == 1) & (F.coalesce("longest_gap", F.lit(0)) <= cadence_s))
 
 
-def stream_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A stream of the Parquet files that land in a folder."""
-    return spark.readStream.schema(schema).parquet(path)
+def stream_table(spark: SparkSession, path: str, schema: StructType, most_files: int | None = None) -> DataFrame:
+    """A stream of the Parquet files that land in a folder, at most `most_files` a batch."""
+    reader = spark.readStream.schema(schema)
+    return (reader if most_files is None else reader.option("maxFilesPerTrigger", most_files)).parquet(path)
