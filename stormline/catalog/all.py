@@ -1,4 +1,4 @@
 """Imports every catalogue, so that all queries are registered."""
 
-from stormline.catalog import aggregates, alerting, detecting, flows, functions, joins, more, overlays, pipelines, quality, streams, windows  # noqa: F401
+from stormline.catalog import aggregates, alerting, detecting, flows, functions, joins, modelling, more, overlays, pipelines, quality, streams, windows  # noqa: F401
 from stormline.registry import ORACLES, QUERIES  # noqa: F401

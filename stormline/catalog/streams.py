@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from stormline.catalog.joins import cell_sql, crosswalk, pixels  # noqa: F401
 from stormline.catalog.roles import PINGS, RAIN, pings, rain
 from stormline.operators import joins
+from stormline.operators.scratch import shared_dir
 from stormline.plans import live
 from stormline.registry import query, table
 from stormline.sources import archives, lake
@@ -18,9 +18,8 @@ from stormline.streaming import drain
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared checkpoint folder; where none is set, in a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder in the folder that driver and executors share."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def dated(spark, sf) -> DataFrame:

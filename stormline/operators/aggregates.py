@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stormline.operators.ranks import running_totals
+
 # The 97.5 % points of Student's t for 1 to 30 degrees of freedom; 1.96 beyond.
 T_975 = (
     12.706, 4.303, 3.182, 2.776, 2.571, 2.447, 2.365, 2.306, 2.262, 2.228, 2.201, 2.179, 2.160, 2.145, 2.131,
@@ -84,11 +86,15 @@ def skill(df: DataFrame) -> DataFrame:
 
 
 def score_curve(df: DataFrame, score: str, truth: str, keys: Sequence[str] = ()) -> DataFrame:
-    """One row a distinct score, highest first: tp, fp at or above it, and all positives."""
+    """One row a distinct score, highest first: tp, fp at or above it, all positives and all rows of the keys."""
     at = df.groupBy(*keys, score).agg(F.sum(F.col(truth).cast("long")).alias("p"), F.count("*").alias("n"))
-    down = Window.partitionBy(*keys).orderBy(F.desc(score))
-    out = at.withColumn("tp", F.sum("p").over(down)).withColumn("fp", F.sum("n").over(down) - F.sum("p").over(down))
-    return out.withColumn("positives", F.sum("p").over(Window.partitionBy(*keys)))
+    total = at.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.sum("p").alias("positives"), F.sum("n").alias("rows"))
+    run = running_totals(at, keys, score, ["p", "n"], descending=True)
+    run = run.select(*keys, score, "p", "n", F.col("run_p").alias("tp"), (F.col("run_n") - F.col("run_p")).alias("fp"))
+    if not keys:
+        return run.crossJoin(total)  # one row
+    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return run.join(total, on).drop(*[f"_k_{k}" for k in keys])
 
 
 def average_precision(df: DataFrame, score: str, truth: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -101,9 +107,8 @@ def average_precision(df: DataFrame, score: str, truth: str, keys: Sequence[str]
 def best_threshold(df: DataFrame, score: str, truth: str, keys: Sequence[str] = ()) -> DataFrame:
     """The score with the highest CSI (ties: the higher score), that CSI and the alert rate."""
     c = score_curve(df, score, truth, keys)
-    total = Window.partitionBy(*keys)
     csi = F.col("tp") / (F.col("fp") + F.col("positives"))
-    c = c.withColumn("csi", csi).withColumn("alert_rate", (F.col("tp") + F.col("fp")) / F.sum("n").over(total))
+    c = c.withColumn("csi", csi).withColumn("alert_rate", (F.col("tp") + F.col("fp")) / F.col("rows"))
     best = c.groupBy(*keys).agg(F.max(F.struct("csi", score, "alert_rate")).alias("b"))
     return best.select(*keys, F.col(f"b.{score}").alias("threshold"), "b.csi", "b.alert_rate")
 
@@ -153,12 +158,12 @@ def knots(value: str, n: int = 101) -> Column:
 def rank_correlation(df: DataFrame, a: str, b: str) -> DataFrame:
     """Spearman's: the correlation of mean ranks, which ties share.
 
-    Ranks come from the counts of distinct values, so only those are put in one order.
+    Ranks come from the counts of distinct values, summed along ranges of them.
     """
     def ranked(c: str) -> DataFrame:
         by = df.groupBy(c).agg(F.count("*").alias("n"))
-        upto = F.sum("n").over(Window.orderBy(c))
-        return by.select(F.col(c), (upto - (F.col("n") - 1) / 2).alias(f"rank_{c}"))
+        run = running_totals(by, [], c, ["n"])
+        return run.select(F.col(c), (F.col("run_n") - (F.col("n") - 1) / 2).alias(f"rank_{c}"))
 
     return df.join(ranked(a), a).join(ranked(b), b).agg(F.corr(f"rank_{a}", f"rank_{b}").alias("spearman"))
 
