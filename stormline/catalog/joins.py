@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stormline.catalog.roles import PINGS, PLACES, RAIN, SPOTS, pings, places, rain, spots
 from stormline.operators import joins as j
 from stormline.operators import windows as w
+from stormline.operators.ranks import range_counts
 from stormline.operators.sets import key_diff, multiset_diff, top_n
 from stormline.registry import query, table
 
@@ -123,8 +124,19 @@ SELECT o_orderkey, count(*) AS n FROM p JOIN s ON d >= a AND d < b GROUP BY o_or
 def j9(spark, sf):
     day = lambda c: F.expr(f"unix_timestamp(CAST({c} AS TIMESTAMP)) div 86400")
     s = table(spark, sf, "orders").select("o_orderkey", day("o_orderdate").alias("a"), (day("o_orderdate") + F.col("o_orderkey") % 9).alias("b"))
-    p = table(spark, sf, "lineitem").select("l_orderkey", day("l_shipdate").alias("d"))
-    return j.range_join(p, s, "d", "a", "b", 7).groupBy("o_orderkey").agg(F.count("*").alias("n"))
+    p = table(spark, sf, "lineitem").select(day("l_shipdate").alias("d"))
+    return range_counts(p, s, "d", "a", "b").where("n > 0").select("o_orderkey", "n")
+
+
+@query("j9_keyed_range_join", """
+WITH s AS (SELECT o_custkey, o_orderkey, epoch(o_orderdate)::BIGINT // 86400 AS a, epoch(o_orderdate)::BIGINT // 86400 + 30 + o_orderkey % 90 AS b FROM orders)
+SELECT s.o_orderkey, p.o_orderkey AS inside FROM s JOIN s p ON s.o_custkey = p.o_custkey AND p.a >= s.a AND p.a < s.b""")
+def j9_keyed(spark, sf):
+    day = F.expr("unix_timestamp(CAST(o_orderdate AS TIMESTAMP)) div 86400")
+    o = table(spark, sf, "orders")
+    s = o.select("o_custkey", "o_orderkey", day.alias("a"), (day + 30 + F.col("o_orderkey") % 90).alias("b"))
+    p = o.select("o_custkey", F.col("o_orderkey").alias("inside"), day.alias("at"))
+    return j.range_join(p, s, "at", "a", "b", 30, ["o_custkey"]).select("o_orderkey", "inside")
 
 
 @query("j10_trailing_density", """

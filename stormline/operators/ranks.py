@@ -26,9 +26,28 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: str, sums: Sequenc
     within = Window.partitionBy(*keys, "_range").orderBy(way(order))
     part = parted.groupBy(*keys, "_range").agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
     before = Window.partitionBy(*keys).orderBy(way("_range")).rowsBetween(Window.unboundedPreceding, -1)  # at most a row a range
-    offsets = part.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_range").alias("_at"), *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sums])
-    on = F.col("_range") == F.col("_at")
+    offsets = part.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_range").alias("_range_at"), *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sums])
+    on = F.col("_range") == F.col("_range_at")
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     summed = parted.select("*", *[F.sum(c).over(within).alias(f"_in_{c}") for c in sums])
     return summed.join(offsets, on).select(*df.columns, *[(F.col(f"_in_{c}") + F.col(f"_off_{c}")).alias(f"run_{c}") for c in sums])
+
+
+def range_counts(points: DataFrame, spans: DataFrame, at: str, start: str, end: str, keys: Sequence[str] = (), name: str = "n") -> DataFrame:
+    """`spans` with the number of points of the same keys in [start, end), by prefix sums: no point meets a span.
+
+    Points and both ends of all spans are put in one order, each value once; a span's count is what lies before its end less
+    what lies before its start. Work is linear in points and spans, whatever the spans' lengths. Spans without length or with a missing end hold 0.
+    """
+    marks = points.select(*keys, F.col(at).alias("_at"), F.lit(1).alias("_n"))
+    for c in (start, end):
+        marks = marks.union(spans.select(*keys, F.col(c).alias("_at"), F.lit(0).alias("_n")))
+    total = marks.where(F.col("_at").isNotNull()).groupBy(*keys, "_at").agg(F.sum("_n").alias("_n"))
+    run = running_totals(total, keys, "_at", ["_n"])
+    out = spans
+    for c, before in ((start, "_lo"), (end, "_hi")):
+        side = run.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_at").alias("_v"), (F.col("run__n") - F.col("_n")).alias(before))
+        out = out.join(side, [out[c] == side["_v"], *[out[k].eqNullSafe(side[f"_k_{k}"]) for k in keys]], "left").drop("_v", *[f"_k_{k}" for k in keys])
+    held = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(0))
+    return out.withColumn(name, F.coalesce(F.when(F.col(end) > F.col(start), held), F.lit(0)).cast("long")).drop("_lo", "_hi")

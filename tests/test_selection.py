@@ -134,3 +134,16 @@ def test_ranks_and_curves_over_ranges(spark):
     o = df.toPandas()
     assert math.isclose(rank_correlation(df, "s", "o").first()[0], o["s"].rank().corr(o["o"].rank()), abs_tol=1e-12)
     assert df.where(F.lit(False)).count() == 0
+
+
+def test_range_counts_match_a_plain_count(spark):
+    from stormline.operators.ranks import range_counts
+
+    rng = random.Random(7)
+    points = [(rng.choice("xy") if k % 7 else None, rng.randint(0, 200) if k % 11 else None) for k in range(400)]
+    spans = [(i, rng.choice("xyz") if i % 5 else None, rng.randint(-20, 220), rng.choice([None, 0, 5, 60])) for i in range(120)]
+    spans = [(i, k, a, None if w is None else a + w - (1 if i % 13 == 0 else 0)) for i, k, a, w in spans]
+    p, s = spark.createDataFrame(points, "k string, at long"), spark.createDataFrame(spans, "id int, k string, a long, b long")
+    for keys in ([], ["k"]):
+        got = {r["id"]: r["n"] for r in range_counts(p, s, "at", "a", "b", keys).collect()}
+        assert got == {i: sum(at is not None and b is not None and a <= at < b and (not keys or pk == k) for pk, at in points) for i, k, a, b in spans}
