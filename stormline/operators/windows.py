@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stormline.functions.geo import let
+
 
 def cols(names: Sequence[str]) -> list[Column]:
     return [F.col(n) for n in names]
@@ -63,62 +64,74 @@ def day_runs(df: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
     ).drop("_island")
 
 
-def previous_other(df: DataFrame, keys: Sequence[str], order: str, differ: Sequence[str], name: str) -> DataFrame:
-    """The latest earlier `order` value in the group whose row differs in ALL of the `differ` columns.
+def _ruled_out(kept: Column, blank: Column) -> Column:
+    """Tuples (at, a, b), newest first, without those that no row can need.
 
-    "Differs in both" isn't transitive, so runs can't give it. A walk through a group in order needs just the last row of a few
-    of the newest tuples: one is dropped as soon as every row that it could serve is served by newer ones. For two
-    columns at most four remain (a row can rule out newer tuples in two ways only), so the walk is linear in the group.
-    A group (say, a place and service day) is one task's; rows without an earlier other one get null, as do rows
-    with a null in `order` or `differ`, which are no one's predecessor either.
+    A row that differs from a tuple in both values is served by the newest such tuple. A tuple is needed if some row shares a value with
+    every newer one, but none with it. The ways to share with all so far are kept as partial rows (a, b; null: free), two at most, so at
+    most four tuples remain.
     """
-    kind = df.schema[order].dataType.simpleString()
-    fields = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
-    names = list(df.columns)
-
-    def walked(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable").reset_index(drop=True)
-        tuples = list(zip(*[rows[c] for c in differ], strict=True))
-        times = rows[order].tolist()
-        whole = rows[[order, *differ]].notna().all(axis=1).tolist()
-        out: list[object] = [None] * len(rows)
-        newest: list[tuple[tuple, object]] = []
-        at = 0
-        while at < len(rows):
-            end = at
-            while end < len(rows) and times[end] == times[at]:
-                end += 1
-            end = max(end, at + 1)
-            for i in range(at, end):
-                if whole[i]:
-                    out[i] = next((t for seen, t in newest if all(a != b for a, b in zip(seen, tuples[i], strict=True))), None)
-            for i in range(at, end):
-                if whole[i]:
-                    newest = needed([(tuples[i], times[i]), *[x for x in newest if x[0] != tuples[i]]])
-            at = end
-        rows[name] = pd.Series(out, dtype=object)
-        return rows[[*names, name]]
-
-    return df.groupBy(*keys).applyInPandas(walked, f"{fields}, `{name}` {kind}")
-
-
-def needed(newest: list[tuple[tuple, object]]) -> list[tuple[tuple, object]]:
-    """Tuples, newest first, without those that no row can need: a row that rules out all newer ones rules them out too.
-
-    A row rules a tuple out by sharing one of its values. Ways to rule out all tuples so far are kept as partial
-    rows (a value or nothing for each place); a tuple is needed if some of them leaves it standing.
+    none = F.slice(kept, 1, 0)
+
+    def step(acc: Column, t: Column) -> Column:
+        standing = F.filter(acc["ways"], lambda w: (w["a"].isNull() | (w["a"] != t["a"])) & (w["b"].isNull() | (w["b"] != t["b"])))
+        rest = F.array_except(acc["ways"], standing)
+        more = F.flatten(F.transform(standing, lambda w: F.concat(
+            F.when(w["a"].isNull(), F.array(F.struct(t["a"].alias("a"), w["b"].alias("b")))).otherwise(F.slice(standing, 1, 0)),
+            F.when(w["b"].isNull(), F.array(F.struct(w["a"].alias("a"), t["b"].alias("b")))).otherwise(F.slice(standing, 1, 0)),
+        )))
+        return F.when(F.size(standing) > 0, F.struct(F.concat(acc["kept"], F.array(t)).alias("kept"), F.concat(rest, more).alias("ways"))).otherwise(acc)
+
+    return F.aggregate(kept, F.struct(none.alias("kept"), F.array(blank).alias("ways")), step, lambda acc: acc["kept"])
+
+
+def previous_other(df: DataFrame, keys: Sequence[str], order: str, differ: Sequence[str], name: str, slice_width: float = 86_400) -> DataFrame:
+    """The latest earlier `order` value in the group whose row differs in BOTH of the two `differ` columns.
+
+    "Differs in both" isn't transitive, so runs can't give it. But whatever came before, at most four of the newest tuples can
+    still matter, and the four of two stretches follow from the four of each. So a group is cut into slices of `slice_width` along `order`: each gives
+    its few tuples, a fold over slices gives those before each, and rows are then walked slice by slice. A slice's rows (of a place and a day, say)
+    are one array in a task; a group's slices are four tuples each. Rows without an earlier other one get null, as do rows with a null in `order` or
+    `differ`, which are no one's predecessor either.
     """
-    kept: list[tuple[tuple, object]] = []
-    ways: list[dict[int, object]] = [{}]
-    for seen, at in newest:
-        standing = [w for w in ways if all(w.get(i) != v for i, v in enumerate(seen))]
-        if not standing:
-            continue
-        kept.append((seen, at))
-        ways = [w for w in ways if w not in standing] + [w | {i: v} for w in standing for i, v in enumerate(seen) if i not in w]
-        if not ways:
-            break
-    return kept
+    first, second = differ
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    whole = F.col(order).isNotNull() & F.col(first).isNotNull() & F.col(second).isNotNull()
+    known = df.where(whole).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.floor(F.col(order) / slice_width).alias("_slice"), F.struct(F.col(order).alias("at"), F.col(first).alias("a"), F.col(second).alias("b"), F.struct("*").alias("row")).alias("_r"))
+    names = [f"_k{i}" for i in range(len(keys))]
+    blank = F.struct(F.lit(None).cast(kinds[first]).alias("a"), F.lit(None).cast(kinds[second]).alias("b"))
+    # each tuple once, at its newest, before anything is gathered
+    newest = known.groupBy(*names, "_slice", "_r.a", "_r.b").agg(F.max("_r.at").alias("at"))
+    parts = newest.groupBy(*names, "_slice").agg(F.sort_array(F.collect_list(F.struct("at", "a", "b")), False).alias("_t")).select(*names, "_slice", _ruled_out(F.col("_t"), blank).alias("_t"))
+    sliced = parts.groupBy(*names).agg(F.sort_array(F.collect_list(F.struct("_slice", "_t"))).alias("_s"))
+
+    def later(acc: Column, s: Column) -> Column:
+        merged = F.concat(s["_t"], F.filter(acc["held"], lambda t: ~F.exists(s["_t"], lambda u: (u["a"] == t["a"]) & (u["b"] == t["b"]))))
+        return F.struct(_ruled_out(merged, blank).alias("held"), F.concat(acc["out"], F.array(F.struct(s["_slice"].alias("_slice"), acc["held"].alias("_held")))).alias("out"))
+
+    tuples = f"array<struct<at:{kinds[order]},a:{kinds[first]},b:{kinds[second]}>>"
+    start = F.struct(F.array().cast(tuples).alias("held"), F.array().cast(f"array<struct<_slice:bigint,_held:{tuples}>>").alias("out"))
+    before = sliced.select(*[F.col(n).alias(f"{n}_") for n in names], F.explode(F.aggregate("_s", start, later, lambda acc: acc["out"])).alias("_b")).select(*[f"{n}_" for n in names], F.col("_b._slice").alias("_slice_"), "_b._held")
+    rows = known.groupBy(*names, "_slice").agg(F.collect_list("_r").alias("_rows"))
+    on = [F.col("_slice") == F.col("_slice_"), *[F.col(n).eqNullSafe(F.col(f"{n}_")) for n in names]]
+    ordered = rows.join(before, on).withColumn("_rows", F.array_sort("_rows", lambda x, y: F.when(x["at"] < y["at"], -1).when(x["at"] > y["at"], 1).otherwise(0)))
+    tuple_of = lambda r: F.struct(r["at"].alias("at"), r["a"].alias("a"), r["b"].alias("b"))
+    none = F.slice(F.col("_held"), 1, 0)
+
+    def walk(acc: Column, r: Column) -> Column:
+        """`same` holds the rows of the newest time, which don't see each other."""
+        moved = r["at"] > acc["now"]
+        merged = F.concat(acc["same"], F.filter(acc["held"], lambda t: ~F.exists(acc["same"], lambda u: (u["a"] == t["a"]) & (u["b"] == t["b"]))))
+        held = F.when(moved & (F.size(acc["same"]) > 0), _ruled_out(merged, blank)).otherwise(acc["held"])
+        state = F.struct(r["at"].alias("now"), held.alias("held"), F.concat(F.when(moved, none).otherwise(acc["same"]), F.array(tuple_of(r))).alias("same"), acc["out"].alias("out"))
+        found = lambda s: F.get(F.filter(s["held"], lambda t: (t["a"] != r["a"]) & (t["b"] != r["b"])), 0)["at"]
+        return let(state, lambda s: F.struct(s["now"].alias("now"), s["held"].alias("held"), s["same"].alias("same"), F.concat(s["out"], F.array(found(s))).alias("out")))
+
+    begin = F.struct((F.get("_rows", 0)["at"]).alias("now"), F.col("_held").alias("held"), none.alias("same"), F.array().cast(f"array<{kinds[order]}>").alias("out"))
+    walked = ordered.select("_rows", F.aggregate("_rows", begin, walk, lambda acc: acc["out"]).alias("_out"))
+    zipped = walked.select(F.explode(F.arrays_zip(F.col("_rows").alias("r"), F.col("_out").alias("o"))).alias("_z"))
+    found = zipped.select("_z.r.row.*", F.col("_z.o").alias(name))
+    return found.unionByName(df.where(~whole).withColumn(name, F.lit(None).cast(kinds[order])))
 
 
 def with_envelope(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:

@@ -178,10 +178,19 @@ def test_previous_other_matches_a_plain_search(spark):
     rnd = random.Random(11)
     rows = [(i, rnd.choice("ab"), rnd.randint(0, 60), rnd.choice([None, *"uvwx"]), rnd.choice("1234")) for i in range(600)]
     df = spark.createDataFrame(rows, "id int, place string, at long, vehicle string, trip string")
-    got = {r["id"]: r["before"] for r in previous_other(df, ["place"], "at", ["vehicle", "trip"], "before").collect()}
-    for i, place, at, vehicle, trip in rows:
-        want = [a for _, p, a, v, t in rows if p == place and a < at and None not in (v, vehicle) and v != vehicle and t != trip]
-        assert got[i] == max(want, default=None)
+    for width in (86_400, 7, 1):  # slices of many rows and of few
+        got = {r["id"]: r["before"] for r in previous_other(df, ["place"], "at", ["vehicle", "trip"], "before", width).collect()}
+        for i, place, at, vehicle, trip in rows:
+            want = [a for _, p, a, v, t in rows if p == place and a < at and None not in (v, vehicle) and v != vehicle and t != trip]
+            assert got[i] == max(want, default=None)
+    assert previous_other(df.limit(0), ["place"], "at", ["vehicle", "trip"], "before").count() == 0
+
+
+def test_bunching_is_below_half_of_the_plan(spark):
+    from stormline.plans.passages import bunched
+
+    rows = spark.createDataFrame([(299, 600), (300, 600), (None, 600), (10, None)], "h long, p long")
+    assert [r[0] for r in rows.select(bunched(F.col("h"), F.col("p"))).collect()] == [True, False, None, None]
 
 
 def test_days_without_rows_of_a_later_era(spark, tmp_path):
