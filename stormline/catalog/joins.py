@@ -370,3 +370,11 @@ def u5(spark, sf):
 
     e = table(spark, sf, "events").select(F.to_date("ts").alias("day"), "value", "event_type")
     return triggered({"high": e.where("value > 95").select("day").distinct(), "error": e.where("event_type = 'error'").select("day").distinct()})
+
+
+@query("j25_nearest_of_many", f"""
+WITH {PLACES}, st AS (SELECT s_suppkey AS site, -74.05::DOUBLE + 0.0031::DOUBLE * (s_suppkey * 37 % 101) AS lon2, 40.62::DOUBLE + 0.0027::DOUBLE * (s_suppkey * 53 % 97) AS lat2 FROM supplier), x AS (SELECT place_id, lon AS lon1, lat AS lat1, site, lon2, lat2 FROM places, st), {distance_sql('x')}
+SELECT place_id, site, round(dist_m, 4) AS dist_m FROM (SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY round(dist_m, 6), site) AS rk FROM d) WHERE rk = 1""")
+def j25_many(spark, sf):
+    sites = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("site"), F.expr("-74.05D + 0.0031D * (s_suppkey * 37 % 101)").alias("lon2"), F.expr("40.62D + 0.0027D * (s_suppkey * 53 % 97)").alias("lat2"))
+    return j.nearest(places(spark, sf), sites, ["place_id"], ("lon", "lat"), ("lon2", "lat2"), "site", few=16).withColumn("dist_m", F.round("dist_m", 4))

@@ -217,3 +217,18 @@ def test_snapshots_are_thinned_in_order_of_time(spark):
     got = archives.chosen_snapshots(df, "header_ts", 10)
     assert sorted(tuple(r) for r in got.collect()) == want == [("a", 1, 0, 10), ("a", 1, 12, 12), ("a", 2, 13, 12), ("b", 1, 3, 9)]
     assert archives.chosen_snapshots(df.limit(0), "header_ts", 10).count() == 0
+
+
+def test_nearest_in_rings_matches_all_pairs(spark):
+    """Sites in clusters and far away, rows between them, equal places and missing ones."""
+    import random
+
+    rnd = random.Random(3)
+    sites = [(i, -74 + rnd.gauss(0, 0.01) + (i % 3) * 0.3, 40.7 + rnd.gauss(0, 0.01) - (i % 2) * 0.2) for i in range(300)] + [(900, -73.0, 42.0), (901, -73.0, 42.0), (902, None, 40.0)]
+    rows = [(i, -74.2 + rnd.random() * 1.4, 40.3 + rnd.random() * 1.8) for i in range(200)] + [(500, -73.0, 42.0), (501, None, 1.0)]
+    left, right = spark.createDataFrame(rows, "id int, lon double, lat double"), spark.createDataFrame(sites, "site int, x double, y double")
+    few = {r["id"]: (r["site"], r["dist_m"]) for r in joins.nearest(left, right, ["id"], ("lon", "lat"), ("x", "y"), "site", few=1000).collect()}
+    many = {r["id"]: (r["site"], r["dist_m"]) for r in joins.nearest(left, right, ["id"], ("lon", "lat"), ("x", "y"), "site", few=10).collect()}
+    assert few == many and len(few) == 201 and few[500] == (900, 0.0)
+    assert joins.nearest(left.limit(0), right, ["id"], ("lon", "lat"), ("x", "y"), "site", few=10).count() == 0
+    assert joins.nearest(left, right.limit(0), ["id"], ("lon", "lat"), ("x", "y"), "site").count() == 0
