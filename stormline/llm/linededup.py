@@ -256,10 +256,14 @@ def dedup_lines(df: DataFrame, doc_id: str, text: str, similarity: float = 0.8)
     first = known.groupBy("component").agg(F.min(F.struct("doc", "pos")).alias("first"))
     # By all three columns, so that a component with a great part of all lines is spread over the tasks.
     gone = known.join(first.select("component", "first.doc", "first.pos"), ["component", "doc", "pos"], "left_anti")
-    gone = scratch.put(gone.groupBy("doc").agg(F.collect_set(F.xxhash64("pos", "node")).alias("gone")), "gone")
+    # One long a line: its place above, half of its hash below, so that a document's lines are told apart by one set operation.
+    packed = lambda pos, node: F.shiftleft(pos.cast("long"), 32).bitwiseOR(node.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))
+    gone = scratch.put(gone.groupBy("doc").agg(F.collect_set(packed(F.col("pos"), F.col("node"))).alias("gone")), "gone")
     scratch.drop("nodes", "known")
     lines = F.split("text", "\n", -1)
-    stays = F.filter(lines, lambda x, i: ~F.array_contains("gone", F.xxhash64(i, F.xxhash64(normal(x)))))
+    keys = lambda ls: F.transform(ls, lambda x, i: packed(i, F.xxhash64(normal(x))))
+    kept = lambda ls: F.transform(F.array_except(keys(ls), "gone"), lambda k: F.get(ls, F.shiftrightunsigned(k, 32).cast("int")))
+    stays = F.get(F.transform(F.array(lines), kept), 0)  # the text is split once
     edited = rows.join(gone, "doc", "left").select("row", "text", F.size(lines).cast("long").alias("n_lines"), F.when(F.col("gone").isNotNull(), stays).alias("stays"))
     return edited.select(
         "row", F.coalesce(F.greatest("n_lines", F.lit(0)), F.lit(0)).alias("n_lines"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -19,6 +20,7 @@ REACH = 160
 ASSIGN = re.compile(r"""((?:(?i:password|passwd|secret|token|api_?key)))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
+BREAK = re.compile("\n\n")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+")
 NAMED = re.compile(r"""\b(?i:user(?:_?name)?|login|client_?id|account(?:_?id)?|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@+-]{3,})""", re.ASCII)
@@ -68,7 +70,10 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
     if any(x in low for x in ("host", "endpoint", "server", "url")):
         parts += [(5, *m.span()) for m in HOST.finditer(text)]
     kinds = {p[0] for p in parts}
-    parts = [(*p, text.count("\n\n", 0, p[1])) for p in parts] if {3, 4} <= kinds else []
+    if not {3, 4} <= kinds:
+        return sorted(base, key=lambda x: (x[1], x[0])), []
+    breaks = [m.end() for m in BREAK.finditer(text)]
+    parts = [(*p, bisect_right(breaks, p[1])) for p in parts]
     return sorted(base, key=lambda x: (x[1], x[0])), parts
 
 

@@ -18,10 +18,11 @@ SCALE = 256
 
 
 def scaled(vector: Column, scale: int = SCALE) -> Column:
-    """floor(scale * x) of each component as long; null if a component is null or not finite."""
+    """floor(scale * x) of each component as long; null if a component is null or not finite; one of 2^62 or more raises."""
     d = vector.cast("array<double>")
+    fits = lambda x: F.when(F.abs(x) < F.lit(2.0**62), F.floor(x).cast("long")).otherwise(F.raise_error(F.lit("a scaled component doesn't fit a long")).cast("long"))
     bad = F.exists(d, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
-    return F.when(~bad, F.transform(d, lambda x: F.floor(x * F.lit(float(scale))).cast("long")))
+    return F.when(~bad, F.transform(d, lambda x: fits(x * F.lit(float(scale)))))
 
 
 def rotation(vectors: DataFrame) -> np.ndarray:
@@ -47,20 +48,26 @@ def rotation(vectors: DataFrame) -> np.ndarray:
 
 
 def search_block(rows: pd.DataFrame, asks: pd.DataFrame, turn: np.ndarray, k: int, head: int) -> pd.DataFrame:
-    """The k best of a block of rows for each query, by partial sums on the first rotated axes."""
+    """The k best of a block of rows for each query, by partial sums on the first rotated axes.
+
+    Products that may not fit a long are taken in whole numbers of any size; a score among the best that doesn't fit one raises.
+    """
     out = []
     x, ids = np.stack(rows["v"].to_numpy()), rows["vec_id"].to_numpy()
-    z = x @ turn
+    z = x.astype(float) @ turn
     tail = np.sqrt(np.maximum((z[:, head:] ** 2).sum(1), 0))
     q = np.stack(asks["v"].to_numpy())
-    y = q @ turn
+    y = q.astype(float) @ turn
+    if np.linalg.norm(z, axis=1).max() * np.linalg.norm(y, axis=1).max() >= 2.0**62:
+        x, q = x.astype(object), q.astype(object)
     rest = np.sqrt(np.maximum((y[:, head:] ** 2).sum(1), 0))
     upper = y[:, :head] @ z[:, :head].T + np.outer(rest, tail) + 1e-6 * (1 + np.outer(np.linalg.norm(y, axis=1), np.linalg.norm(z, axis=1)))
     for i, (query, least) in enumerate(zip(asks["query_id"].to_numpy(), asks["least"].to_numpy(), strict=True)):
         may = np.flatnonzero((upper[i] >= least) & (ids != query))
         score = x[may] @ q[i]
-        best = np.lexsort((ids[may], -score))[:k]
-        out.append(pd.DataFrame({"query_id": query, "vec_id": ids[may][best], "score": score[best]}))
+        by_id = np.argsort(ids[may], kind="stable")
+        best = by_id[np.argsort(-score[by_id], kind="stable")][:k]
+        out.append(pd.DataFrame({"query_id": query, "vec_id": ids[may][best], "score": score[best].astype("int64")}))
     return pd.concat(out, ignore_index=True)
 
 
@@ -75,7 +82,7 @@ def top_inner_products(df: DataFrame, vec_id: str, vector: str, every: int = 50,
     Queries (id divisible by `every`) and rows meet in blocks of fixed size. Rows with a null
     id, vector or component or a component that isn't finite take no part; a shorter vector than the longest one counts
     as followed by zeros, so scores are sums over the components that both have; an id that repeats stands for each of its rows, and rows with the query's
-    own id are no candidates. Ties go to the smaller vec_id.
+    own id are no candidates. Ties go to the smaller vec_id. A score that would be reported and doesn't fit a long raises.
     """
     spark = df.sparkSession
     base = df.select(F.col(vec_id).cast("long").alias("vec_id"), scaled(F.col(vector)).alias("v")).where(
@@ -128,7 +135,7 @@ def top_inner_products(df: DataFrame, vec_id: str, vector: str, every: int = 50,
         by = "level", "part", "ask"
         return met.groupBy(*by).cogroup(pairs.groupBy(*by)).applyInPandas(run, "query_id long, vec_id long, score long")
 
-    none = F.lit(-(2.0**62))
+    none = F.lit(float("-inf"))
     all_first = asks.withColumn("least", none).withColumn("levels", F.array(F.lit(top)))
     first = stored(best(searched(all_first, rows.where(F.col("level") == top))), "first")
     kth = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("kth"))
