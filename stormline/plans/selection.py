@@ -22,13 +22,14 @@ PENALTIES = (0.01, 0.1, 1.0, 10.0, 100.0)
 
 @dataclass(frozen=True)
 class Spec:
-    """One fit: rows outside an outer and an inner fold (None: all), the features left out, the penalty on standardised coefficients."""
+    """One fit: rows outside an outer and an inner fold (None: all) or of one part alone, the features left out, the penalty on standardised coefficients."""
 
     name: str
     outer: int | None
     inner: int | None
     l2: float
     drop: tuple[str, ...] = field(default=())
+    only: int | None = None
 
 
 def folded(df: DataFrame, features: Sequence[str], label: str, group: str, split: str, folds: int = FOLDS) -> DataFrame:
@@ -46,6 +47,8 @@ def training_rows(spec: Spec, outer: np.ndarray, inner: np.ndarray) -> np.ndarra
         used &= outer != spec.outer
     if spec.inner is not None:
         used &= inner != spec.inner
+    if spec.only is not None:
+        used &= outer == spec.only
     return used
 
 
