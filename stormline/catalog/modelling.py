@@ -31,3 +31,23 @@ def d28_nested(spark, sf):
 def d31_configs(spark, sf):
     out = selection.sweep(labelled(spark, sf), FEATURES, "y", "family", "family", 1.0, {"size": ["length", "words"], "language": ["english"], "layout": ["lines"]})
     return out.select("config", F.round("average_precision", 9).alias("average_precision"), F.round("delta", 9).alias("delta"))
+
+
+def evaluated(spark, sf):
+    from stormline.plans.evaluation import evaluation_table
+
+    d = labelled(spark, sf).join(table(spark, sf, "documents").select("doc_id", "source", "lang"), "doc_id")
+    return evaluation_table(d, FEATURES, "y", "family", "family", ["length", "words"], "lines", ["source"], "source")
+
+
+@query("d30_model_evaluation")
+def d30_models(spark, sf):
+    r = evaluated(spark, sf)[0]
+    return r.select("model", "tp", "fp", "fn", "tn", *[F.round(c, 6).alias(c) for c in ("csi", "pod", "far", "lift", "lo", "hi", "average_precision")], "ship")
+
+
+@query("d30_events")
+def d30_events(spark, sf):
+    from stormline.plans.evaluation import event_rows
+
+    return event_rows(evaluated(spark, sf)[1], "y", "source").withColumn("csi", F.round("csi", 6))

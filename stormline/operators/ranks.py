@@ -51,3 +51,19 @@ def range_counts(points: DataFrame, spans: DataFrame, at: str, start: str, end:
         out = out.join(side, [out[c] == side["_v"], *[out[k].eqNullSafe(side[f"_k_{k}"]) for k in keys]], "left").drop("_v", *[f"_k_{k}" for k in keys])
     held = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(0))
     return out.withColumn(name, F.coalesce(F.when(F.col(end) > F.col(start), held), F.lit(0)).cast("long")).drop("_lo", "_hi")
+
+
+def quantiles_at(df: DataFrame, keys: Sequence[str], value: str, wanted: DataFrame, q: str) -> DataFrame:
+    """(keys, q, quantile): for each row of `wanted` (keys and a quantile from 0 to 1) the interpolated quantile of `value` in its keys.
+
+    From running counts of distinct values, so no task holds all values. Missing values don't count; keys without any give no row.
+    """
+    at = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    total = at.groupBy(*keys).agg(F.sum("_n").alias("_of"))
+    run = running_totals(at, keys, value, ["_n"])
+    asked = wanted.select(*keys, q).distinct().join(total, list(keys)).withColumn("_h", F.col(q) * (F.col("_of") - 1))
+    low, high = F.floor("_h"), F.ceil("_h")
+    holds = lambda rank: (F.col("run__n") - F.col("_n") <= rank) & (rank < F.col("run__n"))
+    met = asked.join(run, list(keys)).where(holds(low) | holds(high))
+    ends = met.groupBy(*keys, q, "_h").agg(F.max(F.when(holds(low), F.col(value))).alias("_a"), F.max(F.when(holds(high), F.col(value))).alias("_b"))
+    return ends.select(*keys, q, (F.col("_a") + (F.col("_h") - F.floor("_h")) * (F.col("_b") - F.col("_a"))).alias("quantile"))
