@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stormline.plans import selection
+from stormline.plans import evaluation, selection
 from stormline.registry import query, table
 
 FEATURES = ["length", "words", "english", "lines"]
@@ -33,21 +33,17 @@ def d31_configs(spark, sf):
     return out.select("config", F.round("average_precision", 9).alias("average_precision"), F.round("delta", 9).alias("delta"))
 
 
-def evaluated(spark, sf):
-    from stormline.plans.evaluation import evaluation_table
-
-    d = labelled(spark, sf).join(table(spark, sf, "documents").select("doc_id", "source", "lang"), "doc_id")
-    return evaluation_table(d, FEATURES, "y", "family", "family", ["length", "words"], "lines", ["source"], "source")
+def sourced(spark, sf) -> DataFrame:
+    return labelled(spark, sf).join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id")
 
 
 @query("d30_model_evaluation")
 def d30_models(spark, sf):
-    r = evaluated(spark, sf)[0]
+    r, _ = evaluation.evaluation_table(sourced(spark, sf), FEATURES, "y", "family", "family", ["length", "words"], "lines", ["source"], "source")
     return r.select("model", "tp", "fp", "fn", "tn", *[F.round(c, 6).alias(c) for c in ("csi", "pod", "far", "lift", "lo", "hi", "average_precision")], "ship")
 
 
 @query("d30_events")
 def d30_events(spark, sf):
-    from stormline.plans.evaluation import event_rows
-
-    return event_rows(evaluated(spark, sf)[1], "y", "source").withColumn("csi", F.round("csi", 6))
+    v = selection.nested_cv(sourced(spark, sf), FEATURES, "y", "family", "family")
+    return evaluation.event_rows(evaluation.decided(evaluation.of_validation(v)), "y", "source").withColumn("csi", F.round("csi", 6))
