@@ -47,4 +47,25 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op11_passage_dedup": """
+        WITH d AS (
+          SELECT row_number() OVER () AS k, doc_id, coalesce(doc_id, 9223372036854775807) AS o, hex(encode(coalesce(text, ''))) AS x FROM documents
+        ), g AS (
+          SELECT k, o, 500 * c + j AS i, substr(y, 2 * j + 1, 100) AS w
+          FROM (SELECT k, o, c, y, unnest(range(length(y) // 2 - 49)) AS j FROM (SELECT k, o, c, substr(x, 1000 * c + 1, 1098) AS y FROM (SELECT k, o, x, unnest(range((length(x) // 2 - 50) // 500 + 1)) AS c FROM d WHERE length(x) >= 100)))
+        ), m AS (SELECT w, min(o) AS o FROM g GROUP BY w
+        ), r AS (
+          SELECT k, i, lag(i) OVER (PARTITION BY k ORDER BY i) AS p FROM (SELECT g.k, g.i FROM g JOIN m ON g.w = m.w WHERE m.o < g.o)
+        ), s AS (
+          SELECT k, min(i) AS a, max(i) + 50 AS b
+          FROM (SELECT *, sum(CASE WHEN p IS NULL OR i > p + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY i) AS run FROM r) GROUP BY k, run
+        ), t AS (
+          SELECT k, count(*) AS n_spans, sum(b - a) AS n_removed, string_agg(before, '' ORDER BY a) AS kept, max(b) AS last
+          FROM (SELECT s.k, a, b, substr(x, 2 * coalesce(lag(b) OVER (PARTITION BY s.k ORDER BY a), 0) + 1, 2 * (a - coalesce(lag(b) OVER (PARTITION BY s.k ORDER BY a), 0))) AS before FROM s JOIN d ON s.k = d.k)
+          GROUP BY k
+        )
+        SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+               sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+        FROM d LEFT JOIN t ON d.k = t.k
+    """,
 }
