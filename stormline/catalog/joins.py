@@ -61,7 +61,7 @@ def crosswalk(spark, sf):
 
 def pixels(spark, sf):
     c = crosswalk(spark, sf).select("i", "j", ((F.col("i") + F.col("j")) % 25).alias("cell"))
-    return rain(spark, sf).where("mm IS NOT NULL").join(F.broadcast(c), "cell").select("i", "j", "h", (F.col("mm") * (1 + F.col("j"))).alias("mm"))
+    return rain(spark, sf).where("mm IS NOT NULL").join(c, "cell").select("i", "j", "h", (F.col("mm") * (1 + F.col("j"))).alias("mm"))
 
 
 @query("j3_pixel_remap", f"""

@@ -31,7 +31,7 @@ def window_features(rain: DataFrame, anchors: DataFrame, hours: int, antecedent:
     """
     want = anchors.withColumn("k", F.explode(F.sequence(F.lit(-antecedent).cast("long"), F.lit(hours - 1).cast("long")))).withColumn("h", F.col("anchor") + F.col("k"))
     inside = F.col("k") >= 0
-    return rain.join(F.broadcast(want), "h").groupBy("cell", "anchor").agg(
+    return rain.join(want, "h").groupBy("cell", "anchor").agg(
         F.max(F.when(inside, F.col("mm"))).alias("mm_max"), F.sum(F.when(inside, F.col("mm"))).alias("mm_total"),
         F.sum(F.when(~inside, F.col("mm"))).alias("mm_antecedent"), count_if(inside & F.col("mm").isNotNull()).alias("n_hours"),
     )

@@ -30,5 +30,5 @@ def scored(units: DataFrame, kind: str, model: Mapping[str, float], intercept: f
 def surge_margins(units: DataFrame, sites: DataFrame, key: str) -> DataFrame:
     """Each unit's nearest site and how far it stands above that site's threshold."""
     near = nearest(units.select(key, "lon", "lat"), sites, [key], ("lon", "lat"), ("lon2", "lat2"), "site")
-    both = units.join(near, key).join(F.broadcast(sites.select("site", "threshold")), "site")  # a short list
+    both = units.join(near, key).join(sites.select("site", "threshold"), "site")
     return both.withColumn("margin", datum_margin(F.col("elevation"), F.col("threshold")))

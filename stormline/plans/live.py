@@ -30,17 +30,16 @@ def next_stop(predictions: DataFrame, at: str = "header_ts") -> DataFrame:
 def enriched(batch: DataFrame, zones: DataFrame | None, rain: DataFrame | None, now_hour: int | None = None) -> DataFrame:
     """Cell, zone and the rain of the newest whole hour beside each position; a missing table gives nulls.
 
-    Zones have a row a cell, and rain is cut to one hour with a row a cell, before they go out with the tasks:
-    both are as large as the city's grid.
+    Zones have a row a cell, and rain is cut to one hour with a row a cell; the planner sends them out or deals them by cell as their sizes ask.
     """
     df = with_cell(batch)
-    df = df.join(F.broadcast(zones.select("cell", "zone")), "cell", "left") if zones is not None else df.withColumn("zone", F.lit(None).cast("int"))
+    df = df.join(zones.select("cell", "zone"), "cell", "left") if zones is not None else df.withColumn("zone", F.lit(None).cast("int"))
     if rain is None:
         return df.withColumn("mm_1h", F.lit(None).cast("double")).withColumn("rain_hour", F.lit(None).cast("long"))
     known = rain if now_hour is None else rain.where(F.col("h") <= now_hour)
     newest = known.agg(F.max("h").alias("h"))
     hour = latest_by(known.join(F.broadcast(newest), "h"), ["cell"], [F.desc("fetched_at")])  # one row
-    return df.join(F.broadcast(hour.select("cell", F.col("mm").alias("mm_1h"))), "cell", "left").crossJoin(F.broadcast(newest.withColumnRenamed("h", "rain_hour")))
+    return df.join(hour.select("cell", F.col("mm").alias("mm_1h")), "cell", "left").crossJoin(F.broadcast(newest.withColumnRenamed("h", "rain_hour")))
 
 
 def live_view(positions: DataFrame, predictions: DataFrame, now_s: int, most_age_s: int = 900) -> DataFrame:
