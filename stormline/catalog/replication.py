@@ -40,3 +40,37 @@ def d42_rebuild(spark, sf):
     u = spark.createDataFrame(UNIVERSES, universe.PARAMETERS)
     out = universe.universe_table(reports(spark, sf), spots(spark, sf), assets(spark, sf), FEATURES, u, 0)
     return out.select("universe", "q", "radius_m", "n_days", "n_events", "n_labels", "delta_events", "delta_labels")
+
+
+SPANS = [("reports", "2024-01-01", "2024-01-31"), ("alerts", "2024-01-10", "2024-01-31"), ("storms", "2024-01-01", "2024-01-20"), ("tides", "2023-01-01", "2025-01-01")]
+
+
+@query("d21_dated_events", f"""
+WITH c AS (SELECT user_id % 2 AS dataset, ts::DATE AS day, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY ALL), q AS (SELECT dataset, quantile_disc(n, 0.9) AS cut FROM c GROUP BY dataset),
+h AS (SELECT user_id % 3 AS station, floor(epoch(ts) / 3600)::BIGINT * 3600 AS ts, max(value) AS level FROM events GROUP BY ALL), hi AS (SELECT *, ts - 3600 * row_number() OVER (PARTITION BY station ORDER BY ts) AS run FROM h WHERE level >= 215),
+hr AS (SELECT station, run, min(ts) AS a, max(ts) AS b FROM hi GROUP BY ALL HAVING count(*) >= 2),
+t AS (SELECT 'reports' AS source, day FROM c JOIN q USING (dataset) WHERE n >= cut UNION SELECT 'alerts', ts::DATE FROM events WHERE event_type = 'click' AND value > 300
+  UNION SELECT 'tides', make_timestamp((unnest(range(a, b + 1, 3600)) - 18000) * 1000000)::DATE FROM hr UNION SELECT 'storms', ts::DATE + unnest([0, 1])::INTEGER FROM events WHERE event_type = 'view' AND value > 290 AND user_id % 4 IN (1, 2)),
+d AS (SELECT day, bool_or(source = 'reports') AS reports, bool_or(source = 'alerts') AS alerts, bool_or(source = 'storms') AS storms, bool_or(source = 'tides') AS tides, day(day) % 9 - 4 <= 0 AND month(day) IN (12, 1, 2, 3) AND year(day) = 2024 AS snow FROM t GROUP BY day),
+i AS (SELECT *, day - row_number() OVER (ORDER BY day)::INTEGER AS island FROM d),
+e AS (SELECT min(day) AS a, max(day) AS b, count(*) AS n_days, bool_or(reports) AS reports, bool_or(alerts) AS alerts, bool_or(storms) AS storms, bool_or(tides) AS tides, bool_or(snow) AS snow FROM i GROUP BY island),
+s AS (SELECT unnest({[x[0] for x in SPANS]}) AS source, unnest({[x[1] for x in SPANS]})::DATE AS f, unnest({[x[2] for x in SPANS]})::DATE AS l)
+SELECT strftime(a, '%Y%m%d') AS event_id, n_days, reports, alerts, storms, tides, epoch(a)::BIGINT + 18000 - 10800 AS window_start, epoch(b)::BIGINT + 86400 + 18000 + 10800 AS window_end,
+  coalesce((SELECT string_agg(source, ',' ORDER BY source) FROM s WHERE f <= a AND b <= l), '') AS covered_by,
+  CASE WHEN (reports OR alerts OR storms) AND tides THEN 'mixed' WHEN tides THEN 'coastal' WHEN (reports OR alerts OR storms) AND snow THEN 'snowmelt' WHEN reports OR alerts OR storms THEN 'pluvial' ELSE 'unclassified' END AS event_class FROM e""")
+def d21_dated(spark, sf):
+    from stormline.plans import spine
+
+    e = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    hour = (F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000) * 3600).cast("long")
+    readings = e.groupBy((F.col("user_id") % 3).alias("station"), hour.alias("ts")).agg(F.max("value").alias("level"))
+    storms = e.where("event_type = 'view' AND value > 290").select(F.when(F.col("user_id") % 2 == 0, "Z").otherwise("C").alias("kind"), (F.col("user_id") % 4).cast("string").alias("place"), F.col("day").alias("first_day"), F.date_add("day", 1).alias("last_day"))
+    days = {
+        "reports": spine.report_days(e.where("event_type = 'error'").select((F.col("user_id") % 2).alias("dataset"), "day"), 0.9), "alerts": e.where("event_type = 'click' AND value > 300").select("day").distinct(),
+        "storms": spine.storm_days(storms, ["1"], ["2"]), "tides": spine.tide_days(readings, 215.0, 3600),
+    }
+    spans = spark.createDataFrame(SPANS, "source string, a string, b string").select("source", F.to_date("a").alias("first_day"), F.to_date("b").alias("last_day"))
+    january = spark.range(31).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("day"))
+    highs = january.select("day", (F.dayofmonth("day") % 9 - 4).cast("double").alias("tmax_c"))
+    out = spine.dated_events(days, spans, highs)
+    return out.select("event_id", "n_days", "reports", "alerts", "storms", "tides", "window_start", "window_end", F.array_join("covered_by", ",").alias("covered_by"), "event_class")
