@@ -510,7 +510,7 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark, sf_dir):
 def test_queries_are_registered_once():
     from stormline.llm.registry import QUERIES
 
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("text", ["", "a", "aé日🙂" * 9])
