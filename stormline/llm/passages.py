@@ -193,6 +193,11 @@ def _shared_bits(group: pa.Table) -> pa.Table:
 # -- sorted runs ---------------------------------------------------------------------------------------------------
 
 
+def _narrow(n: int) -> type:
+    """The type that numbers n things."""
+    return np.uint16 if n < 1 << 16 else np.uint32
+
+
 class Run:
     """Sorted distinct strings `right` (padded with 0 to 50 columns) of `rlen` bytes, what stands before (`left`, last byte first), least id, number."""
 
@@ -209,12 +214,15 @@ class Run:
             shared[1:] = np.minimum(first_difference(self.right[1:], self.right[:-1]), np.minimum(self.rlen[1:], self.rlen[:-1]))
         at, before = np.arange(LENGTH), np.arange(BEFORE)
         tails = self.right[(at >= shared[:, None]) & (at < self.rlen[:, None])]
-        return _zip(shared, self.rlen, self.llen, self.low, self.number, tails, self.left[before < self.llen[:, None]])
+        ids, low = np.unique(self.low, return_inverse=True)
+        steps = np.diff(self.number, prepend=np.uint32(0))
+        return _zip(shared, self.rlen, self.llen, ids, low.astype(_narrow(len(ids))), steps, tails, self.left[before < self.llen[:, None]])
 
     @staticmethod
     def decoded(blob: bytes) -> tuple[Run, list[bytes], np.ndarray]:
         """The run, its strings as bytes, and the length each shares with the one before it."""
-        shared, rlen, llen, low, number, tails, lefts = _unzip(blob, np.uint8, np.uint8, np.uint8, np.int64, np.uint32, np.uint8, np.uint8)
+        shared, rlen, llen, ids, low, steps, tails, lefts = _unzip(blob, np.uint8, np.uint8, np.uint8, np.int64, np.uint8, np.uint32, np.uint8, np.uint8)
+        low, number = ids[low.view(_narrow(len(ids)))], np.cumsum(steps, dtype=np.uint32)
         tails, at, last, strings = tails.tobytes(), 0, b"", []
         for s, n in zip(shared.tolist(), rlen.tolist(), strict=True):
             last = last[:s] + tails[at : at + n - s]
