@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stormline.functions.geo import M_PER_DEGREE, cell_of, geodesic_m
 from stormline.operators.scratch import stored
+from stormline.operators.sets import top_n
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, carry: Sequence[str]) -> DataFrame:
@@ -42,18 +43,64 @@ def range_join(points: DataFrame, spans: DataFrame, at: str, start: str, end: st
     return joined.drop(narrow["_bucket"]).drop(wide["_bucket"])
 
 
-def radius_join(left: DataFrame, right: DataFrame, left_xy: tuple[str, str], right_xy: tuple[str, str], radius_m: float, top_lat: float = 60.0) -> DataFrame:
-    """Pairs at most radius_m apart, with `dist_m`: grid cells of that size, the neighbours too, then the exact distance."""
+def tasks(df: DataFrame) -> int:
+    """Tasks for a step that writes far more than it reads: the session's partitions, which a small input would otherwise lose."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
+
+
+def near_places(left: DataFrame, right: DataFrame, left_xy: tuple[str, str], right_xy: tuple[str, str], radius_m: float, top_lat: float = 60.0) -> DataFrame:
+    """(_x1, _y1, _x2, _y2, dist_m): places of `left` and of `right` at most radius_m apart, each pair once, however many rows share a place."""
     step = radius_m / M_PER_DEGREE
     wide = step / max(0.01, _cos(top_lat))
     cell = lambda lon, lat: (F.floor(lon / wide), F.floor(lat / step))
-    gx, gy = cell(F.col(right_xy[0]), F.col(right_xy[1]))
-    near = right.withColumn("_gx", gx).withColumn("_gy", gy)
-    lx, ly = cell(F.col(left_xy[0]), F.col(left_xy[1]))
+    places = lambda df, xy, x, y: df.where(F.col(xy[0]).isNotNull() & F.col(xy[1]).isNotNull()).select(F.col(xy[0]).alias(x), F.col(xy[1]).alias(y)).distinct()
+    gx, gy = cell(F.col("_x2"), F.col("_y2"))
+    near = places(right, right_xy, "_x2", "_y2").withColumn("_gx", gx).withColumn("_gy", gy)
+    lx, ly = cell(F.col("_x1"), F.col("_y1"))
     shifts = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    spread = left.withColumn("_s", F.explode(shifts)).withColumn("_gx", lx + F.col("_s.i")).withColumn("_gy", ly + F.col("_s.j")).drop("_s")
-    dist = geodesic_m(F.col(left_xy[0]), F.col(left_xy[1]), F.col(right_xy[0]), F.col(right_xy[1]))
-    return spread.join(near, ["_gx", "_gy"]).drop("_gx", "_gy").withColumn("dist_m", dist).where(F.col("dist_m") <= radius_m)
+    spread = places(left, left_xy, "_x1", "_y1").withColumn("_s", F.explode(shifts)).withColumn("_gx", lx + F.col("_s.i")).withColumn("_gy", ly + F.col("_s.j")).drop("_s")
+    dist = geodesic_m(F.col("_x1"), F.col("_y1"), F.col("_x2"), F.col("_y2"))
+    met = spread.repartition(tasks(left), "_gx", "_gy").join(near, ["_gx", "_gy"])
+    return met.drop("_gx", "_gy").withColumn("dist_m", dist).where(F.col("dist_m") <= radius_m)
+
+
+SLOT_ROWS = 256
+
+
+def at_places(pairs: DataFrame, df: DataFrame, xy: tuple[str, str], keys: tuple[str, str]) -> DataFrame:
+    """`pairs`, whose columns `keys` name a place, with every row of `df` at that place; the columns `keys` go.
+
+    Rows of a place are dealt to slots of some SLOT_ROWS by a hash, and a pair goes to each slot, so that no task has to write all of a crowded place.
+    """
+    x, y = keys
+    rows = df.withColumn(x, F.col(xy[0])).withColumn(y, F.col(xy[1]))
+    slots = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(x, y).agg(F.ceil(F.count("*") / SLOT_ROWS).alias("_slots"))
+    dealt = rows.join(slots, [x, y]).withColumn("_slot", F.pmod(F.xxhash64(*df.columns), F.col("_slots"))).drop("_slots")
+    sent = pairs.join(slots, [x, y]).withColumn("_slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slots") - 1))).drop("_slots")
+    return sent.repartition(tasks(df), x, y, "_slot").join(dealt, [x, y, "_slot"]).drop(x, y, "_slot")
+
+
+def radius_join(left: DataFrame, right: DataFrame, left_xy: tuple[str, str], right_xy: tuple[str, str], radius_m: float, top_lat: float = 60.0) -> DataFrame:
+    """Pairs at most radius_m apart, with `dist_m`: grid cells of that size, the neighbours too, then the exact distance.
+
+    Places meet first, once a pair of places; then the rows at them join. So distances cost by places, and only what comes out costs by rows.
+    """
+    met = near_places(left, right, left_xy, right_xy, radius_m, top_lat)
+    both = at_places(at_places(met, left, left_xy, ("_x1", "_y1")), right, right_xy, ("_x2", "_y2"))
+    return both.select(*left.columns, *right.columns, "dist_m")
+
+
+def nearest_in_radius(left: DataFrame, right: DataFrame, keys: Sequence[str], left_xy: tuple[str, str], right_xy: tuple[str, str], right_id: str, radius_m: float, k: int, top_lat: float = 60.0) -> DataFrame:
+    """The k nearest right rows (ties: smaller id) within radius_m of each left key, with `dist_m` and `rank`.
+
+    Of the rows at one place only the k smallest ids can be among the k nearest, and of a left place's neighbours only the k nearest places
+    (and those that tie with the last): the rest goes before any rows meet.
+    """
+    few = top_n(right.where(F.col(right_xy[0]).isNotNull() & F.col(right_xy[1]).isNotNull()), list(right_xy), [F.asc(right_id)], k).drop("rank")
+    by_place = Window.partitionBy("_x1", "_y1").orderBy("dist_m")
+    met = near_places(left, few, left_xy, right_xy, radius_m, top_lat).withColumn("_rank", F.rank().over(by_place)).where(F.col("_rank") <= k).drop("_rank")
+    both = at_places(at_places(met, left, left_xy, ("_x1", "_y1")), few, right_xy, ("_x2", "_y2"))
+    return top_n(both.select(*left.columns, *right.columns, "dist_m"), list(keys), [F.asc("dist_m"), F.asc(right_id)], k)
 
 
 def _cos(degrees: float) -> float:

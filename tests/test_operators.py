@@ -232,3 +232,31 @@ def test_nearest_in_rings_matches_all_pairs(spark):
     assert few == many and len(few) == 201 and few[500] == (900, 0.0)
     assert joins.nearest(left.limit(0), right, ["id"], ("lon", "lat"), ("x", "y"), "site", few=10).count() == 0
     assert joins.nearest(left, right.limit(0), ["id"], ("lon", "lat"), ("x", "y"), "site").count() == 0
+
+
+def shared_places(spark):
+    """90 left and 600 right rows on few places: plain ones, a crowded one, null and repeated ones."""
+    left = spark.range(90).select("id", (F.lit(-74.0) + F.col("id") % 9 * 0.0013).alias("x1"), (F.lit(40.7) + F.col("id") % 4 * 0.0011).alias("y1"))
+    right = spark.range(600).select(F.col("id").alias("site"), F.when(F.col("id") % 50 != 7, F.lit(-74.0) + F.col("id") % 11 * 0.0009).alias("x2"), (F.lit(40.7) + F.when(F.col("id") < 300, 0).otherwise(F.col("id") % 5) * 0.0008).alias("y2"))
+    return left.union(left.where("id < 5")), right.union(right.where("site < 20"))
+
+
+def test_radius_join_meets_places_once_and_loses_no_row(spark, monkeypatch):
+    monkeypatch.setattr(joins, "SLOT_ROWS", 8)
+    left, right = shared_places(spark)
+    d = geo.geodesic_m(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
+    want = sorted(map(tuple, left.crossJoin(right).withColumn("dist_m", d).where("dist_m <= 150").collect()))
+    got = joins.radius_join(left, right, ("x1", "y1"), ("x2", "y2"), 150.0)
+    assert sorted(map(tuple, got.collect())) == want
+    met = joins.near_places(left, right, ("x1", "y1"), ("x2", "y2"), 150.0).collect()
+    assert len(met) == len({w[1:3] + w[4:6] for w in want}) < len(want) / 20
+
+
+@pytest.mark.parametrize("k", [1, 3, 40])
+def test_nearest_in_radius_takes_the_smallest_ids_of_equal_places(spark, k):
+    left, right = shared_places(spark)
+    all_ = joins.radius_join(left, right, ("x1", "y1"), ("x2", "y2"), 150.0)
+    want = sorted((r["id"], r["rank"], r["site"], r["dist_m"]) for r in joins.top_n(all_, ["id"], [F.asc("dist_m"), F.asc("site")], k).collect())
+    got = joins.nearest_in_radius(left, right, ["id"], ("x1", "y1"), ("x2", "y2"), "site", 150.0, k).collect()
+    assert sorted((r["id"], r["rank"], r["site"], r["dist_m"]) for r in got) == want
+
