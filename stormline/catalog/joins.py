@@ -287,8 +287,8 @@ SELECT spot_id, place_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY s
 def j24(spark, sf):
     s = spots(spark, sf).select("spot_id", F.col("lon").alias("lon1"), F.col("lat").alias("lat1"))
     p = places(spark, sf).select("place_id", F.col("lon").alias("lon2"), F.col("lat").alias("lat2"))
-    near = j.radius_join(s, p, ("lon1", "lat1"), ("lon2", "lat2"), 600.0)
-    return top_n(near, ["spot_id"], [F.asc("dist_m"), F.asc("place_id")], 3).select("spot_id", "place_id", F.col("rank").cast("long").alias("rank"))
+    near = j.nearest_in_radius(s, p, ["spot_id"], ("lon1", "lat1"), ("lon2", "lat2"), "place_id", 600.0, 3)
+    return near.select("spot_id", "place_id", F.col("rank").cast("long").alias("rank"))
 
 
 @query("j25_nearest_site", f"""
