@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stormline.operators.joins import members, radius_join
-from stormline.operators.sets import top_n
+from stormline.operators.joins import members, nearest_in_radius
 
 PRIVATE = ("text", "lon", "lat")
 
@@ -50,8 +49,7 @@ def observations_near(points: DataFrame, observed: DataFrame, radius_m: float, k
     """(point_id, obs_id, dist_m, rank): up to k observations within radius_m, 2000 at most."""
     if not 0 < radius_m <= 2000:
         raise ValueError("radius_m is at most 2000")
-    near = radius_join(points, observed, ("lon1", "lat1"), ("lon2", "lat2"), radius_m)
-    return top_n(near, ["point_id"], [F.asc("dist_m"), F.asc("obs_id")], k).select("point_id", "obs_id", "dist_m", "rank")
+    return nearest_in_radius(points, observed, ["point_id"], ("lon1", "lat1"), ("lon2", "lat2"), "obs_id", radius_m, k).select("point_id", "obs_id", "dist_m", "rank")
 
 
 def recent(df: DataFrame, day: str, days: int, keys: list[str], value: Column) -> DataFrame:
