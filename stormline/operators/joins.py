@@ -110,13 +110,18 @@ def _cos(degrees: float) -> float:
 
 
 def box_join(points: DataFrame, boxes: DataFrame, xy: tuple[str, str], box: tuple[str, str, str, str], step: float, inside: Column) -> DataFrame:
-    """Points with the shapes that hold them: shapes spread over the grid cells of their boxes, then `inside`."""
+    """Points with the shapes that hold them: shapes spread over the grid cells of their boxes, then `inside`, once for each place that points share.
+
+    `inside` is over `xy` and columns of `boxes`; boxes' columns are named otherwise than points'.
+    """
     x0, y0, x1, y1 = (F.col(c) for c in box)
     grid = lambda c: F.floor(c / step)
     wide = boxes.withColumn("_gx", F.explode(F.sequence(grid(x0), grid(x1)))).withColumn("_gy", F.explode(F.sequence(grid(y0), grid(y1))))
-    narrow = points.withColumn("_gx", grid(F.col(xy[0]))).withColumn("_gy", grid(F.col(xy[1])))
+    places = points.select(*xy).distinct().withColumn("_gx", grid(F.col(xy[0]))).withColumn("_gy", grid(F.col(xy[1])))
     held = F.col(xy[0]).between(x0, x1) & F.col(xy[1]).between(y0, y1)
-    return narrow.join(wide, ["_gx", "_gy"]).drop("_gx", "_gy").where(held & inside)
+    met = wide.repartition(tasks(points), "_gx", "_gy").join(places, ["_gx", "_gy"]).where(held & inside)
+    pairs = met.select(F.col(xy[0]).alias("_x"), F.col(xy[1]).alias("_y"), *boxes.columns)
+    return at_places(pairs, points, xy, ("_x", "_y")).select(*points.columns, *boxes.columns)
 
 
 FEW_SITES = 256

@@ -260,3 +260,11 @@ def test_nearest_in_radius_takes_the_smallest_ids_of_equal_places(spark, k):
     got = joins.nearest_in_radius(left, right, ["id"], ("x1", "y1"), ("x2", "y2"), "site", 150.0, k).collect()
     assert sorted((r["id"], r["rank"], r["site"], r["dist_m"]) for r in got) == want
 
+
+def test_box_join_tests_a_shape_once_a_place(spark):
+    left, right = shared_places(spark)
+    boxes = left.distinct().select("id", *[(F.col(c) + s * 0.001).alias(f"{c}{n}") for c in ("x1", "y1") for n, s in (("a", -1), ("b", 1))])
+    inside = (F.col("x2") + F.col("y2")) <= F.col("x1b") + F.col("y1b") - 0.0005
+    want = right.crossJoin(boxes).where(F.col("x2").between(F.col("x1a"), F.col("x1b")) & F.col("y2").between(F.col("y1a"), F.col("y1b")) & inside)
+    got = joins.box_join(right, boxes, ("x2", "y2"), ("x1a", "y1a", "x1b", "y1b"), 0.002, inside)
+    assert sorted(map(str, got.select("site", "id").collect())) == sorted(map(str, want.select("site", "id").collect()))
