@@ -237,13 +237,11 @@ WITH {SPOTS}, {PLACES}, x AS (SELECT spot_id, place_id, depth, s.zone AS z1, p.z
 u AS (SELECT place_id, spot_id % 12 AS event, 1 AS bit, 'radius' AS support, depth FROM d WHERE dist_m <= 300 UNION ALL SELECT place_id, spot_id % 12, 2, 'zone', NULL FROM spots s JOIN places p ON s.zone = p.zone)
 SELECT place_id, event, bit_or(bit)::INTEGER AS source_mix, array_to_string(list_sort(list_distinct(list(support))), ',') AS label_support, max(depth) AS depth FROM u GROUP BY ALL""")
 def d22(spark, sf):
-    from stormline.operators.joins import radius_join
-    from stormline.plans.labels import attached
+    from stormline.plans.labels import attached, in_radius, in_zone
 
-    s, p = spots(spark, sf), places(spark, sf)
-    near = radius_join(s.select("spot_id", "depth", F.col("lon").alias("lon1"), F.col("lat").alias("lat1")), p.select("place_id", F.col("lon").alias("lon2"), F.col("lat").alias("lat2")), ("lon1", "lat1"), ("lon2", "lat2"), 300.0)
-    by_radius = near.select("place_id", (F.col("spot_id") % 12).alias("event"), F.lit(1).alias("source_bit"), F.lit("radius").alias("support"), "depth")
-    by_zone = s.select("zone", "spot_id").join(p.select("zone", "place_id"), "zone").select("place_id", (F.col("spot_id") % 12).alias("event"), F.lit(2).alias("source_bit"), F.lit("zone").alias("support"), F.lit(None).cast("double").alias("depth"))
+    s, p = spots(spark, sf).withColumn("event", F.col("spot_id") % 12), places(spark, sf)
+    by_radius = in_radius(s, p, ("lon", "lat"), 300.0, "place_id", "event", "depth").select("place_id", "event", F.lit(1).alias("source_bit"), F.lit("radius").alias("support"), "depth")
+    by_zone = in_zone(s, p, "zone", "place_id", "event").select("place_id", "event", F.lit(2).alias("source_bit"), F.lit("zone").alias("support"), F.lit(None).cast("double").alias("depth"))
     return attached(by_radius.unionByName(by_zone), "place_id", "event").withColumn("label_support", F.array_join("label_support", ","))
 
 

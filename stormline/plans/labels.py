@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stormline.operators.aggregates import count_if
+from stormline.operators.joins import at_places, near_places, tasks
 
 
 def negatives(units: DataFrame, events: DataFrame, positives: DataFrame, keys: Sequence[str], valid: Column | None = None) -> DataFrame:
@@ -19,6 +20,21 @@ def negatives(units: DataFrame, events: DataFrame, positives: DataFrame, keys: S
     return pairs.join(positives.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def in_radius(observed: DataFrame, units: DataFrame, xy: tuple[str, str], radius_m: float, unit: str, event: str, depth: str) -> DataFrame:
+    """(unit, event, depth): events observed within radius_m of a unit and the greatest depth there.
+
+    The units' places take their events first, so a unit costs as many rows as it has events, not observations.
+    """
+    seen = at_places(near_places(observed, units, xy, xy, radius_m), observed.select(event, depth, *xy), xy, ("_x1", "_y1"))
+    held = seen.groupBy("_x2", "_y2", event).agg(F.max(depth).alias(depth))
+    return at_places(held, units.select(unit, *xy), xy, ("_x2", "_y2")).select(unit, event, depth)
+
+
+def in_zone(observed: DataFrame, units: DataFrame, zone: str, unit: str, event: str) -> DataFrame:
+    """(unit, event): events observed in a unit's zone; the zones take their events first."""
+    return observed.select(zone, event).distinct().join(units.select(zone, unit).repartition(tasks(units), unit), zone).select(unit, event)
+
+
 def attached(pairs: DataFrame, unit: str, event: str) -> DataFrame:
     """One row a (unit, event): bits of the sources, the ways it was attached, the greatest depth."""
     return pairs.groupBy(unit, event).agg(
