@@ -130,23 +130,27 @@ FEW_SITES = 256
 def nearest(left: DataFrame, sites: DataFrame, keys: Sequence[str], left_xy: tuple[str, str], site_xy: tuple[str, str], site_id: str, few: int = FEW_SITES) -> DataFrame:
     """Each left row's nearest site (ties: smaller id) and its distance, for any number of sites.
 
-    Up to `few` sites, counted first, go out to all tasks. More are looked up in growing rings: a row meets the sites of its own and the
+    Places are looked up, not rows: rows at one place share what it found. Up to `few` sites, counted first, go out to all tasks
+    as one list, and each place takes the least of it. More are looked up in growing rings: a row meets the sites of its own and the
     neighbouring cells of a grid; what lies outside is at least a cell's side away, so a site nearer than that is the nearest. Rows that
     found none so near go on to a grid twice as wide, until one cell spans all. The first grid has a few sites a cell.
     Rows and sites without a place have no part. Longitudes must not cross the date line.
     """
     lon1, lat1, lon2, lat2 = (F.col(c) for c in (*left_xy, *site_xy))
-    known = sites.where(lon2.isNotNull() & lat2.isNotNull()).select(F.col(site_id).alias("_site"), lon2.alias("_x"), lat2.alias("_y"))
-    rows = left.where(lon1.isNotNull() & lat1.isNotNull()).select(*keys, lon1.alias("_lx"), lat1.alias("_ly"))
+    known = sites.where(lon2.isNotNull() & lat2.isNotNull()).groupBy(lon2.alias("_x"), lat2.alias("_y")).agg(F.min(site_id).alias("_site"))
+    all_ = left.where(lon1.isNotNull() & lat1.isNotNull()).select(*keys, lon1.alias("_lx"), lat1.alias("_ly")).distinct()
+    rows = all_.select("_lx", "_ly").distinct()
     d = geodesic_m(F.col("_lx"), F.col("_ly"), F.col("_x"), F.col("_y"))
     best = F.min(F.struct(d.alias("d"), "_site")).alias("_m")
-    out = lambda df: df.select(*keys, F.col("_m._site").alias(site_id), F.col("_m.d").alias("dist_m"))
+    out = lambda df: all_.join(df, ["_lx", "_ly"]).select(*keys, F.col("_m._site").alias(site_id), F.col("_m.d").alias("dist_m"))
     box = known.agg(F.count("*").alias("n"), F.min("_x").alias("x0"), F.max("_x").alias("x1"), F.min("_y").alias("y0"), F.max("_y").alias("y1")).first()
     if box["n"] <= few:
-        return out(rows.crossJoin(F.broadcast(known)).groupBy(*keys).agg(best))
+        listed = known.agg(F.collect_list(F.struct("_site", "_x", "_y")).alias("_sites"))  # one row of at most `few` sites
+        each = F.transform("_sites", lambda t: F.struct(geodesic_m(F.col("_lx"), F.col("_ly"), t["_x"], t["_y"]).alias("d"), t["_site"].alias("_site")))
+        return out(rows.crossJoin(F.broadcast(listed)).where(F.size("_sites") > 0).select("_lx", "_ly", F.array_min(each).alias("_m")))
     ends = rows.agg(F.min("_lx").alias("x0"), F.max("_lx").alias("x1"), F.min("_ly").alias("y0"), F.max("_ly").alias("y1")).first()
     if ends["x0"] is None:
-        return out(rows.crossJoin(F.broadcast(known.limit(0))).groupBy(*keys).agg(best))
+        return out(rows.crossJoin(F.broadcast(known.limit(0))).groupBy("_lx", "_ly").agg(best))
     across = max(max(box["x1"], ends["x1"]) - min(box["x0"], ends["x0"]), max(box["y1"], ends["y1"]) - min(box["y0"], ends["y0"]), 1e-6)
     narrow = _cos(min(89.0, max(abs(v) for v in (box["y0"], box["y1"], ends["y0"], ends["y1"]))))  # a degree of longitude is shortest here
     step = max((box["x1"] - box["x0"]) * (box["y1"] - box["y0"]) * 4 / box["n"], 1e-12) ** 0.5
@@ -157,15 +161,14 @@ def nearest(left: DataFrame, sites: DataFrame, keys: Sequence[str], left_xy: tup
         sure = 0.99 * M_PER_DEGREE * step * narrow
         cells = known.select("*", F.floor(F.col("_x") / step).alias("_gx"), F.floor(F.col("_y") / step).alias("_gy"))
         spread = open_.withColumn("_s", F.explode(shifts)).withColumn("_gx", F.floor(F.col("_lx") / step) + F.col("_s.i")).withColumn("_gy", F.floor(F.col("_ly") / step) + F.col("_s.j"))
-        met = spread.join(cells, ["_gx", "_gy"]).groupBy(*keys, "_lx", "_ly").agg(best)
+        met = spread.join(cells, ["_gx", "_gy"]).groupBy("_lx", "_ly").agg(best)
         near = stored(met if last else met.where(F.col("_m.d") <= sure), "near")
-        found = out(near) if found is None else found.unionByName(out(near))
+        found = near if found is None else found.unionByName(near)
         if last:
-            return found
-        on = [open_[k].eqNullSafe(near[k]) for k in [*keys, "_lx", "_ly"]]
-        open_ = stored(open_.join(near, on, "left_anti"), "rows")
+            return out(found)
+        open_ = stored(open_.join(near, ["_lx", "_ly"], "left_anti"), "rows")
         if open_.isEmpty():
-            return found
+            return out(found)
         step *= 2
 
 

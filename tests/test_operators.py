@@ -268,3 +268,28 @@ def test_box_join_tests_a_shape_once_a_place(spark):
     want = right.crossJoin(boxes).where(F.col("x2").between(F.col("x1a"), F.col("x1b")) & F.col("y2").between(F.col("y1a"), F.col("y1b")) & inside)
     got = joins.box_join(right, boxes, ("x2", "y2"), ("x1a", "y1a", "x1b", "y1b"), 0.002, inside)
     assert sorted(map(str, got.select("site", "id").collect())) == sorted(map(str, want.select("site", "id").collect()))
+
+
+def test_labels_take_an_event_once_a_unit(spark):
+    from stormline.plans import labels
+
+    left, right = shared_places(spark)
+    seen = right.select((F.col("site") % 3).alias("event"), F.col("x2").alias("x"), F.col("y2").alias("y"), F.col("site").cast("double").alias("depth"), (F.col("site") % 4).alias("zone"))
+    units = left.distinct().select("id", F.col("x1").alias("x"), F.col("y1").alias("y"), (F.col("id") % 5).alias("zone"))
+    d = geo.geodesic_m(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
+    want = left.crossJoin(right).where(d <= 150).groupBy("id", (F.col("site") % 3).alias("event")).agg(F.max("site").cast("double").alias("depth"))
+    got = labels.in_radius(seen, units, ("x", "y"), 150.0, "id", "event", "depth")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    zones = labels.in_zone(seen, units, "zone", "id", "event").collect()
+    assert len(zones) == len(set(map(tuple, zones))) == 3 * 72
+
+
+def test_nearest_of_few_sites_sorts_no_rows(spark):
+    left, right = shared_places(spark)
+    sites = right.where("site < 20")
+    d = geo.geodesic_m(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
+    want = left.distinct().crossJoin(sites.dropna()).groupBy("id").agg(F.min(F.struct(d.alias("d"), "site")).alias("m")).select("id", "m.site", F.col("m.d").alias("dist_m"))
+    got = joins.nearest(left, sites, ["id"], ("x1", "y1"), ("x2", "y2"), "site")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
