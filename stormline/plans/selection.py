@@ -52,18 +52,19 @@ def training_rows(spec: Spec, outer: np.ndarray, inner: np.ndarray) -> np.ndarra
     return used
 
 
-def fit_many(rows: DataFrame, features: Sequence[str], label: str, specs: Sequence[Spec], rounds: int = 25, tol: float = 1e-8) -> np.ndarray:
+def fit_many(rows: DataFrame, features: Sequence[str], label: str, specs: Sequence[Spec], rounds: int = 25, tol: float = 1e-8, weight: str | None = None) -> np.ndarray:
     """One line a spec: coefficients of the raw features, then the intercept; NaN where a spec has no rows of both classes.
 
     Each round every task adds up its rows' gradients and curvatures for all fits by a few matrix products; what
     moves is a row of (p + 1)(p + 4) / 2 sums a task and fit. Penalties count on coefficients of features standardised over each fit's own rows, the
-    intercept is free. Fits that have settled take no further part.
+    intercept is free. Fits that have settled take no further part. A row counts `weight` times, once without it.
     """
     p = len(features)
-    names = [*features, label, "outer", "inner"]
+    names = [*features, label, "outer", "inner", *([weight] if weight else [])]
+    w = F.col(weight) if weight else F.lit(1.0)
     # moments by pair of folds: a fit's mean and deviation come from those it may see
     moments = rows.groupBy("outer", "inner").agg(
-        F.count("*").alias("n"), F.sum(label).alias("pos"), *[F.sum(c).alias(f"s_{i}") for i, c in enumerate(features)], *[F.sum(F.col(c) * F.col(c)).alias(f"q_{i}") for i, c in enumerate(features)]
+        F.sum(w).alias("n"), F.sum(F.col(label) * w).alias("pos"), *[F.sum(F.col(c) * w).alias(f"s_{i}") for i, c in enumerate(features)], *[F.sum(F.col(c) * F.col(c) * w).alias(f"q_{i}") for i, c in enumerate(features)]
     ).collect()
     outer, inner = np.array([m["outer"] for m in moments]), np.array([m["inner"] for m in moments])
     table = np.array([[m["n"], m["pos"], *[m[f"s_{i}"] for i in range(p)], *[m[f"q_{i}"] for i in range(p)]] for m in moments], float).reshape(len(moments), 2 + 2 * p)
@@ -95,6 +96,7 @@ def fit_many(rows: DataFrame, features: Sequence[str], label: str, specs: Sequen
                 cols = [np.asarray(batch.column(n)) for n in names]
                 x = np.column_stack([*[(c - m) / u for c, m, u in zip(cols[:p], center, unit, strict=True)], np.ones(batch.num_rows)])
                 used = np.column_stack([training_rows(s, cols[p + 1], cols[p + 2]) for s in some])
+                used = used * cols[p + 3][:, None] if weight else used
                 q = 1 / (1 + np.exp(-np.clip(x @ at.T, -700, 700)))
                 total[:, : p + 1] += (used * (cols[p][:, None] - q)).T @ x
                 total[:, p + 1 :] += (used * q * (1 - q)).T @ (x[:, upper[0]] * x[:, upper[1]])

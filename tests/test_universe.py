@@ -56,3 +56,16 @@ def test_universes_that_change_nothing_are_told(spark):
     alike = U.universe_table(r, s, a, ["a"], spark.createDataFrame([(0, 0.7, 250.0), (1, 0.7, 250.0 + 1e-9)], U.PARAMETERS), 0)
     with pytest.raises(ValueError, match="rebuilt alike"):
         U.check_stamps(alike)
+
+
+def test_weights_stand_for_repeated_rows(spark):
+    """The matrix holds an asset's events as a weight: fit and precision are those of the rows written out."""
+    from stormline.operators.aggregates import average_precision
+    from stormline.plans import selection as S
+
+    rows = spark.createDataFrame([(float(i % 7), float(i * i % 5), float(i % 3 == 0), float(1 + i % 4)) for i in range(40)], "a double, b double, y double, w double")
+    rows = rows.withColumn("outer", F.lit(0)).withColumn("inner", F.lit(0))
+    long = rows.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("w").cast("int"))))
+    spec = [S.Spec("all", None, None, 1.0)]
+    assert np.allclose(S.fit_many(rows, ["a", "b"], "y", spec, weight="w"), S.fit_many(long, ["a", "b"], "y", spec), atol=1e-9)
+    assert math.isclose(average_precision(rows, "a", "y", (), "w").first()[0], average_precision(long, "a", "y").first()[0], abs_tol=1e-12)
