@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stormline.functions.texts import norm_words
 from stormline.operators.phrases import leftmost_longest, spans_of
+from stormline.operators.scratch import stored
 from stormline.operators.windows import latest_by
 
 
@@ -126,13 +127,17 @@ def station_causes(revisions: DataFrame, aliases: DataFrame) -> DataFrame:
         .withColumn("text", norm_words(F.col("_raw"), CANON, between=True)).where(t.rlike(LIVE_ANCHOR)).drop("_raw")
         .withColumn("event_id", F.regexp_extract("alert_id", ALERT_ID, 1)).withColumn("update", F.regexp_extract("alert_id", ALERT_ID, 2).cast("long"))
         .withColumn("state", F.when(t.rlike(CLEARED) & ~t.rlike(ONGOING), "cleared").otherwise("active"))
-        .withColumn("key", F.sha2(F.to_json(F.struct("alert_id", "header", "description")), 256)).withColumn("words", F.split("text", " "))
+        .withColumn("key", F.sha2(F.to_json(F.struct("alert_id", "header", "description")), 256))
     )
-    found = leftmost_longest(live.select("key", "words"), "key", "words", aliases, "alias")
-    begin = F.when(F.col("at") == 0, 0).otherwise(F.length(F.array_join(F.slice("words", 1, F.col("at")), " ")) + 1)
-    placed = found.join(live.select("key", "words"), "key").select("key", "alias", begin.alias("begin")).withColumn("end", F.col("begin") + F.length("alias"))
-    listed = placed.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("begin", "end", "alias"))).alias("matches"))
-    anchored = live.join(listed, "key").withColumn("anchors", spans_of(F.col("text"), ANCHOR))
+    live = stored(live, "live")
+    # texts repeat from alert to alert: each is searched once
+    words = F.split("text", " ")
+    texts = stored(live.select("text").distinct().withColumn("words", words), "texts")
+    found = leftmost_longest(texts, "text", "words", aliases, "alias")
+    begin = F.when(F.col("at") == 0, 0).otherwise(F.length(F.array_join(F.slice(words, 1, F.col("at")), " ")) + 1)
+    placed = found.select("text", "alias", begin.alias("begin")).withColumn("end", F.col("begin") + F.length("alias"))
+    listed = placed.groupBy("text").agg(F.sort_array(F.collect_list(F.struct("begin", "end", "alias"))).alias("matches"))
+    anchored = listed.withColumn("anchors", spans_of(F.col("text"), ANCHOR))
     anchored = anchored.withColumn("matches", F.transform("matches", lambda m: F.struct(m["begin"].alias("begin"), m["end"].alias("end"), m["alias"].alias("alias"), _is_cause(t, m, F.col("anchors")).alias("cause"))))
 
     def second(m: Column, i: Column) -> Column:
@@ -143,12 +148,29 @@ def station_causes(revisions: DataFrame, aliases: DataFrame) -> DataFrame:
         return m["cause"] | F.coalesce((i > 0) & before["cause"] & gap.isin(" AND ", " ") & opened, F.lit(False))
 
     causes = F.filter(F.transform("matches", lambda m, i: F.struct(m["alias"].alias("alias"), second(m, i).alias("cause"))), lambda m: m["cause"])
-    blamed = anchored.withColumn("alias", F.explode(F.array_distinct(F.transform(causes, lambda m: m["alias"])))).drop("words", "matches", "anchors").join(aliases, "alias")
-    fitting = F.filter("candidates", lambda c: F.arrays_overlap(c["routes"], F.col("routes")))
-    picked = F.when(F.size(fitting) > 0, fitting).otherwise(F.col("candidates"))
-    ids = F.array_distinct(F.transform(picked, lambda c: c["complex_id"]))
-    named = F.array_min(F.transform(picked, lambda c: c["name"]))
-    return blamed.where(F.size(ids) == 1).withColumn("complex_id", F.get(ids, 0)).withColumn("name", named).drop("candidates")
+    said = anchored.select("text", F.explode(F.array_distinct(F.transform(causes, lambda m: m["alias"]))).alias("alias"))
+    blamed = live.join(said, "text").withColumn("_routes", F.sort_array("routes"))
+    meant = meanings(blamed.select("alias", "_routes").distinct(), aliases)
+    on = (blamed["alias"] == meant["_alias"]) & blamed["_routes"].eqNullSafe(meant["_of"])
+    return blamed.join(meant, on).drop("_alias", "_of", "_routes")
+
+
+def meanings(asked: DataFrame, aliases: DataFrame) -> DataFrame:
+    """(_alias, _of, complex_id, name) of each alias and list of routes asked for (alias, _routes) that means one complex: of the stations with such a route, or of all if none has one.
+
+    Stations are summed up by alias and route first, so that none of the alerts carries the list of an alias's stations along.
+    """
+    each = aliases.select("alias", F.explode("candidates").alias("c")).select("alias", "c.complex_id", "c.name", "c.routes")
+    held = [F.min("complex_id").alias("low"), F.max("complex_id").alias("high"), F.bool_or(F.col("complex_id").isNull()).alias("none"), F.min("name").alias("name")]
+    whole = each.groupBy("alias").agg(F.struct(*held).alias("all"))
+    by_route = each.withColumn("route", F.explode("routes")).groupBy("alias", "route").agg(*held)
+    named = asked.select("alias", "_routes", F.explode("_routes").alias("route")).join(by_route, ["alias", "route"])
+    merged = F.struct(F.min("low").alias("low"), F.max("high").alias("high"), F.bool_or("none").alias("none"), F.min("name").alias("name"))
+    fits = named.groupBy(F.col("alias").alias("_alias"), F.col("_routes").alias("_of")).agg(merged.alias("fit"))
+    both = asked.join(whole, "alias").join(fits, (asked["alias"] == F.col("_alias")) & asked["_routes"].eqNullSafe(F.col("_of")), "left")
+    picked = both.select(asked["alias"].alias("_alias"), F.col("_routes").alias("_of"), F.coalesce("fit", "all").alias("p"))
+    single = F.when(F.col("p.none"), F.col("p.low").isNull()).otherwise(F.col("p.low") == F.col("p.high"))
+    return picked.where(single).select("_alias", "_of", F.col("p.low").alias("complex_id"), F.col("p.name").alias("name"))
 
 
 def alert_observations(rows: DataFrame, aliases: DataFrame) -> DataFrame:

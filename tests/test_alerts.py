@@ -79,3 +79,14 @@ def test_planned_reminders_and_other_ids_say_nothing(spark):
     rows = [("lmm:alert:1:0", f"Flood mitigation: {water}", "A", 1), ("lmm:alert:2:0", f"Reminder: we are {water}. Stay safe.", "A", 1), ("other:3", f"We are {water}", "A", 1), (None, water, "A", 1)]
     assert observed(spark, rows) == []
     assert observed(spark, []) == []
+
+
+def test_an_alias_is_resolved_once_for_all_alerts_with_the_same_routes(spark):
+    from stormline.plans.alerts import meanings
+
+    one = lambda i, name, complex_id, routes: (i, name, complex_id, routes)
+    known = [("1 ST", [one(1, "b", 10, ["A"]), one(2, "a", 10, ["A", "C"]), one(3, "c", 11, ["B"])]), ("2 ST", [one(4, "d", None, ["A"]), one(5, "e", 12, ["A"])])]
+    aliases = spark.createDataFrame(known, "alias string, candidates array<struct<asset_id:int,name:string,complex_id:int,routes:array<string>>>")
+    asked = spark.createDataFrame([("1 ST", ["A"]), ("1 ST", ["A", "B"]), ("1 ST", ["B", "Z"]), ("1 ST", ["Z"]), ("1 ST", None), ("2 ST", ["A"])], "alias string, _routes array<string>")
+    got = sorted(map(str, map(tuple, meanings(asked, aliases).collect())))
+    assert got == sorted(map(str, [("1 ST", ["A"], 10, "a"), ("1 ST", ["B", "Z"], 11, "c")]))
