@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stormline.functions.geo import let
+from stormline.operators.scratch import stored
 
 
 def cols(names: Sequence[str]) -> list[Column]:
@@ -85,53 +85,57 @@ def _ruled_out(kept: Column, blank: Column) -> Column:
     return F.aggregate(kept, F.struct(none.alias("kept"), F.array(blank).alias("ways")), step, lambda acc: acc["kept"])
 
 
+BLOCK = 1024  # tuples that one fold walks
+
+
 def previous_other(df: DataFrame, keys: Sequence[str], order: str, differ: Sequence[str], name: str, slice_width: float = 86_400) -> DataFrame:
     """The latest earlier `order` value in the group whose row differs in BOTH of the two `differ` columns.
 
     "Differs in both" isn't transitive, so runs can't give it. But whatever came before, at most four of the newest tuples can
-    still matter, and the four of two stretches follow from the four of each. So a group is cut into slices of `slice_width` along `order`: each gives
-    its few tuples, a fold over slices gives those before each, and rows are then walked slice by slice. A slice's rows (of a place and a day, say)
-    are one array in a task; a group's slices are four tuples each. Rows without an earlier other one get null, as do rows with a null in `order` or
-    `differ`, which are no one's predecessor either.
+    still matter, and the four of two stretches follow from the four of each. So a group is cut into slices of `slice_width` along `order`, and a slice
+    into blocks of a fixed number of tuples, however many rows share a slice or a time: each block gives its few tuples, a fold over blocks gives those before each, and
+    a walk along a block's times gives those before each. Rows then join the few of their time; only a group's blocks, four tuples each, are one array.
+    Rows without an earlier other one get null, as do rows with a null in `order` or `differ`, which are no one's predecessor either.
     """
     first, second = differ
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     whole = F.col(order).isNotNull() & F.col(first).isNotNull() & F.col(second).isNotNull()
-    known = df.where(whole).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.floor(F.col(order) / slice_width).alias("_slice"), F.struct(F.col(order).alias("at"), F.col(first).alias("a"), F.col(second).alias("b"), F.struct("*").alias("row")).alias("_r"))
     names = [f"_k{i}" for i in range(len(keys))]
+    known = df.where(whole).select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.floor(F.col(order) / slice_width).alias("_slice"), F.col(order).alias("at"), F.col(first).alias("a"), F.col(second).alias("b"))
     blank = F.struct(F.lit(None).cast(kinds[first]).alias("a"), F.lit(None).cast(kinds[second]).alias("b"))
-    # each tuple once, at its newest, before anything is gathered
-    newest = known.groupBy(*names, "_slice", "_r.a", "_r.b").agg(F.max("_r.at").alias("at"))
-    parts = newest.groupBy(*names, "_slice").agg(F.sort_array(F.collect_list(F.struct("at", "a", "b")), False).alias("_t")).select(*names, "_slice", _ruled_out(F.col("_t"), blank).alias("_t"))
-    sliced = parts.groupBy(*names).agg(F.sort_array(F.collect_list(F.struct("_slice", "_t"))).alias("_s"))
+    along = Window.partitionBy(*names, "_slice").orderBy("at", "a", "b")
+    opens = F.coalesce(F.col("at") != F.lag("at").over(along), F.lit(True))  # the first tuple of its time, in whatever block
+    numbered = known.withColumn("_opens", opens).withColumn("_block", F.floor((F.row_number().over(along) - 1) / BLOCK))
+    # a block's tuples of one time don't see each other, so few of them go on as well
+    moments = numbered.groupBy(*names, "_slice", "_block", "at").agg(F.bool_or("_opens").alias("_opens"), F.collect_list(F.struct("at", "a", "b")).alias("_t")).withColumn("_t", _ruled_out(F.col("_t"), blank))
+    blocks = moments.groupBy(*names, "_slice", "_block").agg(F.sort_array(F.collect_list(F.struct("at", "_opens", "_t"))).alias("_m"))
+    tuples = f"array<struct<at:{kinds[order]},a:{kinds[first]},b:{kinds[second]}>>"
+    newest = _ruled_out(F.flatten(F.transform(F.reverse("_m"), lambda m: m["_t"])), blank)
+    blocks = stored(blocks.select(*names, F.struct("_slice", "_block").alias("_part"), "_m", newest.alias("_newest")), "blocks")
+    parted = blocks.groupBy(*names).agg(F.sort_array(F.collect_list(F.struct("_part", "_newest"))).alias("_s"))
 
-    def later(acc: Column, s: Column) -> Column:
-        merged = F.concat(s["_t"], F.filter(acc["held"], lambda t: ~F.exists(s["_t"], lambda u: (u["a"] == t["a"]) & (u["b"] == t["b"]))))
-        return F.struct(_ruled_out(merged, blank).alias("held"), F.concat(acc["out"], F.array(F.struct(s["_slice"].alias("_slice"), acc["held"].alias("_held")))).alias("out"))
+    def merged(newer: Column, older: Column) -> Column:
+        rest = F.filter(older, lambda t: ~F.exists(newer, lambda u: (u["a"] == t["a"]) & (u["b"] == t["b"])))
+        return _ruled_out(F.concat(newer, rest), blank)
 
-    tuples = f"array<struct<at:{kinds[order]},a:{kinds[first]},b:{kinds[second]}>>"
-    start = F.struct(F.array().cast(tuples).alias("held"), F.array().cast(f"array<struct<_slice:bigint,_held:{tuples}>>").alias("out"))
-    before = sliced.select(*[F.col(n).alias(f"{n}_") for n in names], F.explode(F.aggregate("_s", start, later, lambda acc: acc["out"])).alias("_b")).select(*[f"{n}_" for n in names], F.col("_b._slice").alias("_slice_"), "_b._held")
-    rows = known.groupBy(*names, "_slice").agg(F.collect_list("_r").alias("_rows"))
-    on = [F.col("_slice") == F.col("_slice_"), *[F.col(n).eqNullSafe(F.col(f"{n}_")) for n in names]]
-    ordered = rows.join(before, on).withColumn("_rows", F.array_sort("_rows", lambda x, y: F.when(x["at"] < y["at"], -1).when(x["at"] > y["at"], 1).otherwise(0)))
-    tuple_of = lambda r: F.struct(r["at"].alias("at"), r["a"].alias("a"), r["b"].alias("b"))
-    none = F.slice(F.col("_held"), 1, 0)
-
-    def walk(acc: Column, r: Column) -> Column:
-        """`same` holds the rows of the newest time, which don't see each other."""
-        moved = r["at"] > acc["now"]
-        merged = F.concat(acc["same"], F.filter(acc["held"], lambda t: ~F.exists(acc["same"], lambda u: (u["a"] == t["a"]) & (u["b"] == t["b"]))))
-        held = F.when(moved & (F.size(acc["same"]) > 0), _ruled_out(merged, blank)).otherwise(acc["held"])
-        state = F.struct(r["at"].alias("now"), held.alias("held"), F.concat(F.when(moved, none).otherwise(acc["same"]), F.array(tuple_of(r))).alias("same"), acc["out"].alias("out"))
-        found = lambda s: F.get(F.filter(s["held"], lambda t: (t["a"] != r["a"]) & (t["b"] != r["b"])), 0)["at"]
-        return let(state, lambda s: F.struct(s["now"].alias("now"), s["held"].alias("held"), s["same"].alias("same"), F.concat(s["out"], F.array(found(s))).alias("out")))
-
-    begin = F.struct((F.get("_rows", 0)["at"]).alias("now"), F.col("_held").alias("held"), none.alias("same"), F.array().cast(f"array<{kinds[order]}>").alias("out"))
-    walked = ordered.select("_rows", F.aggregate("_rows", begin, walk, lambda acc: acc["out"]).alias("_out"))
-    zipped = walked.select(F.explode(F.arrays_zip(F.col("_rows").alias("r"), F.col("_out").alias("o"))).alias("_z"))
-    found = zipped.select("_z.r.row.*", F.col("_z.o").alias(name))
-    return found.unionByName(df.where(~whole).withColumn(name, F.lit(None).cast(kinds[order])))
+    def later(acc: Column, s: Column) -> Column:
+        return F.struct(merged(s["_newest"], acc["held"]).alias("held"), F.concat(acc["out"], F.array(F.struct(s["_part"].alias("_part"), acc["held"].alias("_held")))).alias("out"))
+
+    start = F.struct(F.array().cast(tuples).alias("held"), F.array().cast(f"array<struct<_part:struct<_slice:bigint,_block:bigint>,_held:{tuples}>>").alias("out"))
+    before = parted.select(*[F.col(n).alias(f"{n}_") for n in names], F.explode(F.aggregate("_s", start, later, lambda acc: acc["out"])).alias("_b")).select(*[f"{n}_" for n in names], "_b._part._slice", "_b._part._block", "_b._held")
+    on = [F.col("_part._slice") == F.col("_slice"), F.col("_part._block") == F.col("_block"), *[F.col(n).eqNullSafe(F.col(f"{n}_")) for n in names]]
+
+    def walk(acc: Column, m: Column) -> Column:
+        """Where a time opens, it finds what came before it; the held tuples then take in its own."""
+        told = F.when(m["_opens"], F.concat(acc["out"], F.array(F.struct(m["at"].alias("at"), acc["held"].alias("held"))))).otherwise(acc["out"])
+        return F.struct(merged(m["_t"], acc["held"]).alias("held"), told.alias("out"))
+
+    begin = F.struct(F.col("_held").alias("held"), F.array().cast(f"array<struct<at:{kinds[order]},held:{tuples}>>").alias("out"))
+    walked = blocks.join(before, on).select(*names, F.explode(F.aggregate("_m", begin, walk, lambda acc: acc["out"])).alias("_o"))
+    times = walked.select(*[F.col(n).alias(f"{n}_") for n in names], F.col("_o.at").alias("_at"), F.col("_o.held").alias("_held")).where(F.size("_held") > 0)
+    here = [F.col(order) == F.col("_at"), *[F.col(k).eqNullSafe(F.col(f"{n}_")) for k, n in zip(keys, names, strict=True)]]
+    found = F.get(F.filter("_held", lambda t: (t["a"] != F.col(first)) & (t["b"] != F.col(second))), 0)["at"]
+    return df.join(times, [whole, *here], "left").select(*[F.col(f"`{c}`") for c in df.columns], found.alias(name))
 
 
 def with_envelope(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:

@@ -186,6 +186,25 @@ def test_previous_other_matches_a_plain_search(spark):
     assert previous_other(df.limit(0), ["place"], "at", ["vehicle", "trip"], "before").count() == 0
 
 
+def test_previous_other_cuts_one_time_and_one_slice_into_blocks(spark, monkeypatch):
+    """Blocks of three tuples: times that go on in the next block, repeated rows and null keys give what a plain search gives."""
+    import random
+
+    from stormline.operators import windows
+
+    monkeypatch.setattr(windows, "BLOCK", 3)
+    rnd = random.Random(5)
+    rows = [(i, rnd.choice(["a", None]), rnd.choice([1.0, 2.0, 2.0, 2.0, 3.0, 9.0]) + rnd.choice([0.0, 0.5]), rnd.choice("uvw"), rnd.choice([*"123", None])) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, place string, at double, vehicle string, trip string")
+    found = windows.previous_other(df, ["place"], "at", ["vehicle", "trip"], "before")
+    assert found.columns == [*df.columns, "before"]
+    got = {r["id"]: r["before"] for r in found.collect()}
+    assert len(got) == len(rows)
+    for i, place, at, vehicle, trip in rows:
+        want = [a for _, p, a, v, t in rows if p == place and a < at and None not in (t, trip) and v != vehicle and t != trip]
+        assert got[i] == max(want, default=None)
+
+
 def test_bunching_is_below_half_of_the_plan(spark):
     from stormline.plans.passages import bunched
 
