@@ -101,10 +101,11 @@ WITH {PINGS}, o AS (SELECT *, lag(stop_id) OVER w AS passed, lag(ts) OVER w AS t
 f AS (SELECT vehicle_id, trip_id, start_date, route_id, passed AS stop_id, ((ts0 + ts) / 2.0)::DOUBLE AS arr, row_number() OVER (PARTITION BY vehicle_id, trip_id, start_date, passed ORDER BY ts0) AS r FROM o WHERE passed <> stop_id), p AS (SELECT * FROM f WHERE r = 1)
 SELECT x.vehicle_id, x.trip_id, x.stop_id, x.arr, x.arr - max(y.arr) AS headway_s FROM p x LEFT JOIN p y ON y.stop_id = x.stop_id AND y.start_date = x.start_date AND y.arr < x.arr AND y.vehicle_id <> x.vehicle_id AND y.trip_id <> x.trip_id GROUP BY x.vehicle_id, x.trip_id, x.stop_id, x.arr""")
 def d6(spark, sf):
+    from stormline.operators.scratch import stored
     from stormline.operators.windows import previous_other
     from stormline.plans.passages import observed
 
-    p = observed(pings(spark, sf)).select("vehicle_id", "trip_id", "start_date", "stop_id", "arr")
+    p = stored(observed(pings(spark, sf)).select("vehicle_id", "trip_id", "start_date", "stop_id", "arr"), "passages")
     r = previous_other(p, ["stop_id", "start_date"], "arr", ["vehicle_id", "trip_id"], "before")
     return r.select("vehicle_id", "trip_id", "stop_id", "arr", (F.col("arr") - F.col("before")).alias("headway_s"))
 

@@ -312,3 +312,12 @@ def test_nearest_of_few_sites_sorts_no_rows(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def test_passages_are_found_once_for_rows_and_blocks(spark, sf_dir):
+    """d6_passage_facts: what its headways are read from holds no window over pings any more."""
+    import __spark_entry__ as entry
+
+    facts = entry.queries()["d6_passage_facts"](spark, sf_dir)
+    assert "Window" not in facts._jdf.queryExecution().optimizedPlan().toString()
+    assert facts.count() > 0
