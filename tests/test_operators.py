@@ -321,3 +321,15 @@ def test_passages_are_found_once_for_rows_and_blocks(spark, sf_dir):
     facts = entry.queries()["d6_passage_facts"](spark, sf_dir)
     assert "Window" not in facts._jdf.queryExecution().optimizedPlan().toString()
     assert facts.count() > 0
+
+
+def test_sketches_are_not_kept_by_pair(spark, sf_dir):
+    """a2_approx_distinct: no aggregate that groups by pairs has a sketch."""
+    import re
+
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["a2_approx_distinct"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    aggregates = re.findall(r"Aggregate\(keys=\[(.*?)\], functions=\[(.*?)\]", plan)
+    assert any("approx_count_distinct" in f for _, f in aggregates)
+    assert not any("l_partkey" in keys and "approx_count_distinct" in f for keys, f in aggregates)
