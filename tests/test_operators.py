@@ -333,3 +333,32 @@ def test_sketches_are_not_kept_by_pair(spark, sf_dir):
     aggregates = re.findall(r"Aggregate\(keys=\[(.*?)\], functions=\[(.*?)\]", plan)
     assert any("approx_count_distinct" in f for _, f in aggregates)
     assert not any("l_partkey" in keys and "approx_count_distinct" in f for keys, f in aggregates)
+
+
+def test_versions_of_a_day_match_a_plain_search(spark):
+    """Long, short, empty and open spans, late publication, ties and nulls; no day is joined to a span."""
+    import datetime
+    import random
+
+    from stormline.plans.versions import resolved
+
+    rnd = random.Random(3)
+    day0 = datetime.date(1969, 11, 20)
+    at = lambda n: None if n is None else day0 + datetime.timedelta(days=n)
+    versions = []
+    for i in range(150):
+        a = rnd.randint(0, 120)
+        b = rnd.choice([a - 1, a, a + rnd.randint(0, 40), 2_000_000])
+        versions.append((i % 90, rnd.choice(["x", "y", None]), rnd.choice([None, a, a + 3, a + 3, a - 40, 110]), rnd.choice([a, a, a, None]), rnd.choice([b, b, b, None])))
+    days = [(c, at(n)) for c in ("x", "y", "z", None) for n in range(-5, 140)] + [("x", at(7)), ("x", None)]
+    v = spark.createDataFrame([(i, c, at(p), at(a), at(b)) for i, c, p, a, b in versions], "version long, code string, published date, valid_from date, valid_to date")
+    d = spark.createDataFrame(days, "code string, day date")
+    found = resolved(d, v, "code", "day")
+    assert found.columns == ["code", "day", "version"]
+    condition = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert condition and not any("<=" in line or ">=" in line for line in condition)
+    got = found.collect()
+    assert len(got) == len(set(days))
+    for code, day, version in got:
+        hit = [(-p, i) for i, c, p, a, b in versions if None not in (day, code, p, a, b) and c == code and at(p) <= day + datetime.timedelta(days=1) and at(a) <= day <= at(b)]
+        assert version == (min(hit)[1] if hit else None)
