@@ -362,3 +362,22 @@ def test_versions_of_a_day_match_a_plain_search(spark):
     for code, day, version in got:
         hit = [(-p, i) for i, c, p, a, b in versions if None not in (day, code, p, a, b) and c == code and at(p) <= day + datetime.timedelta(days=1) and at(a) <= day <= at(b)]
         assert version == (min(hit)[1] if hit else None)
+
+
+def test_multiset_difference_counts_both_builds_once(spark, monkeypatch):
+    """Copies, nulls and rows of one build alone; more copies than one array gives; as many tasks as the rows need."""
+    from collections import Counter
+
+    from stormline.operators import sets
+
+    before = [(1, "a")] * 7 + [(2, None)] * 3 + [(None, None)] + [(3, "c")] * 2500 + [(4, "d")]
+    after = [(1, "a")] * 2 + [(2, None)] * 5 + [(None, None)] + [(5, "e")] * 2
+    df = lambda rows: spark.createDataFrame(rows, "k int, v string")
+    monkeypatch.setattr(sets, "TASK_ROWS", 100)
+    found = sets.multiset_diff(df(before), df(after))
+    assert found.columns == ["side", "k", "v"]
+    a, b = Counter(before), Counter(after)
+    want = Counter({("removed", *r): n for r, n in (a - b).items()}) + Counter({("added", *r): n for r, n in (b - a).items()})
+    assert Counter(tuple(r) for r in found.collect()) == want
+    assert found.rdd.getNumPartitions() >= len(before + after) // 100
+    assert sets.multiset_diff(df([]), df([])).count() == 0
