@@ -96,3 +96,13 @@ def test_complexes_have_their_best_doorway_and_dark_cells_no_hole(spark):
     assert D.city_coverage(D.cycle_features(holed, walked)).first()["holes"]
 
 
+
+
+def test_units_are_dealt_out_before_they_meet_cycles(spark):
+    """A unit comes back in every cycle, so units of one small file don't stay in one task."""
+    rain = spark.createDataFrame([(1, at(2024, 6, 10, 21) - h * 3600, 0.0) for h in range(40)], "cell long, hour_end long, mm double")
+    cycles = spark.createDataFrame([(at(2024, 6, 10, 21) + 3600, 9.0)], "now long, temp_c double")
+    units = spark.createDataFrame([(i, "stop", 1, 1, 0.0) for i in range(50)], "asset_id long, kind string, cell long, complex_id long, static double").coalesce(1)
+    out = D.detector_cycles(rain, cycles, units, MODELS, 1)
+    assert "RepartitionByExpression [asset_id" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.count() == 50

@@ -86,3 +86,21 @@ def test_kinds_that_no_one_can_subscribe_to_raise(spark):
     units = spark.createDataFrame([(START, 0, 1, "cell", 2, 1.0, False, 3.0, True)], UNITS)
     with pytest.raises(ValueError, match="subscribe"):
         notify.decisions(notify.tier_entries(units), spark.createDataFrame([("h", 1, True)], "handle string, asset_id int, elevated_optin boolean"))
+
+
+def test_a_replay_is_worked_out_once(spark):
+    """Entries and decisions read what was stored: each row that isn't silent is made once."""
+    from pyspark.sql import functions as F
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def kind(was):
+        made.add(1)
+        return was
+
+    rows = random_units(random.Random(4))
+    units = spark.createDataFrame(rows, UNITS).withColumn("kind", kind("kind"))
+    subs = spark.createDataFrame([("h", a, True) for a in range(12)], "handle string, asset_id int, elevated_optin boolean")
+    assert notify.decisions(notify.tier_entries(units), subs).count() > 0
+    assert made.value == sum(not r[6] for r in rows)
