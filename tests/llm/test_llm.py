@@ -507,6 +507,16 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark, sf_dir):
     assert kept >= 0.9 * rows.count()
 
 
+def test_pipeline_samples_as_the_operator_does(spark):
+    """Two different segmentations of each text, as the operator's own default gives them."""
+    import corpus_pipeline as cp
+
+    df = spark.createDataFrame([(1, "some words of prose", "en", "s", 19), (2, "other words, also prose", "en", "s", 23)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {(r["doc_id"], r["rank"]): r["ids"] for r in cp.sentencepiece(spark, df, "").collect()}
+    assert sorted(got) == [(1, 1), (1, 2), (2, 1), (2, 2)]
+    assert all(got[i, 1] != got[i, 2] for i in (1, 2))
+
+
 def test_queries_are_registered_once():
     from stormline.llm.registry import QUERIES
 
