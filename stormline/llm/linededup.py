@@ -25,9 +25,13 @@ PARITIES = 8  # numbers of 64 parities
 MOST_UNLIKE = 12  # of 30 minima; a pair at the limit is over it with a probability of 0.002
 
 
+def trimmed(line: Column) -> Column:
+    return F.btrim(line, F.lit(" \t\r\x0b\f"))
+
+
 def normal(line: Column) -> Column:
     """What two lines are compared by: lower case, without white space around."""
-    return F.lower(F.btrim(line, F.lit(" \t\r\x0b\f")))
+    return F.lower(trimmed(line))
 
 
 def wide(line: Column) -> Column:
@@ -45,15 +49,16 @@ def gram(chars: Column, at: Column) -> Column:
 
 
 def grams(line: Column) -> Column:
-    """Hashes of the distinct runs of GRAM characters; of the whole line if it is shorter."""
-    runs = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
-    return F.array_distinct(F.when(F.length(line) < GRAM, F.array(F.xxhash64(line))).otherwise(F.transform(runs, lambda x: F.xxhash64(x))))
+    """Hashes of the distinct runs of GRAM characters; of the whole line if it is shorter. The line is encoded once."""
+    runs = lambda chars: F.transform(F.sequence(F.lit(0), last_start(chars)), lambda at: gram(chars, at))
+    return F.array_distinct(F.get(F.transform(F.array(wide(line)), runs), 0))
 
 
 def all_lines(rows: DataFrame) -> DataFrame:
     """(doc, pos, line, node) of the lines that aren't blank, of rows with a key."""
     out = rows.where(F.col("doc").isNotNull()).select("doc", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    return out.select("doc", "pos", normal(F.col("line")).alias("line")).where(F.col("line") != "").withColumn("node", F.xxhash64("line"))
+    out = out.where(trimmed(F.col("line")) != "")  # before the lower case, which a filter behind it would take twice
+    return out.select("doc", "pos", normal(F.col("line")).alias("line")).withColumn("node", F.xxhash64("line"))
 
 
 def salts(n: int = MINIMA) -> list[int]:
@@ -188,8 +193,11 @@ def merged(parts: DataFrame, more: DataFrame) -> DataFrame:
     return moved.unionByName(roots.join(parts.select("node"), "node", "left_anti"))
 
 
-def alike_lines(rows: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """(node, component) of the lines that are like another one, and the nodes of lines that occur more than once.
+def alike_lines(rows: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(node, component) of the lines that are like another one, the nodes of lines that occur more than once, and where all these are.
+
+    The third table, (doc, pos, node), has each place of a repeated line or of one that shares a band. The texts of the
+    latter are read with it, in one pass.
 
     All members of a band key are compared with the key's hubs first, which is linear in the members and joins
     what was copied from one text. Then the members of a key that are still in different components are
@@ -204,9 +212,11 @@ def alike_lines(rows: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, Da
     company = F.sum("members").over(Window.partitionBy("node"))  # a node has BANDS keys at most
     members = scratch.put(shared.withColumn("company", company).drop("members"), "members")
     repeated = scratch.put(signed.where("n > 1").select("node"), "repeated")
-    wanted = scratch.put(members.select("node").distinct(), "wanted")
+    wanted = members.select("node", F.lit(True).alias("shares")).unionByName(repeated.select("node", F.lit(False).alias("shares")))
+    wanted = scratch.put(wanted.groupBy("node").agg(F.max("shares").alias("shares")), "wanted")
     scratch.drop("signatures", "keys")
-    texts = scratch.put(narrowed(lines.select("node", "line"), wanted, "node").distinct(), "texts")
+    seen = scratch.put(narrowed(lines, wanted, "node", "inner").select("doc", "pos", "node", F.when(F.col("shares"), F.col("line")).alias("line")), "seen")
+    texts = scratch.put(seen.where(F.col("line").isNotNull()).select("node", "line").distinct(), "texts")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         """Pairs whose exact similarity is enough."""
@@ -230,7 +240,7 @@ def alike_lines(rows: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, Da
     if not more.isEmpty():
         parts = merged(parts, more)
     scratch.drop("open", "parities", "rest", "tried", "texts", "links", "more")
-    return parts, repeated
+    return parts, repeated, seen.drop("line")
 
 
 def dedup_lines(df: DataFrame, doc_id: str, text: str, similarity: float = 0.8) -> DataFrame:
@@ -249,10 +259,10 @@ def dedup_lines(df: DataFrame, doc_id: str, text: str, similarity: float = 0.8)
     """
     scratch = Scratch(df.sparkSession)
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(doc_id).alias("doc"), F.col(text).alias("text"))
-    parts, repeated = alike_lines(rows, similarity)
+    parts, repeated, seen = alike_lines(rows, similarity)
     named_nodes = repeated.join(parts.select("node"), "node", "left_anti").select("node", F.col("node").alias("component")).unionByName(parts)
     named_nodes = scratch.put(named_nodes, "nodes")
-    known = scratch.put(narrowed(all_lines(rows).select("node", "doc", "pos"), named_nodes, "node", "inner"), "known")
+    known = scratch.put(narrowed(seen, named_nodes, "node", "inner"), "known")
     first = known.groupBy("component").agg(F.min(F.struct("doc", "pos")).alias("first"))
     # By all three columns, so that a component with a great part of all lines is spread over the tasks.
     gone = known.join(first.select("component", "first.doc", "first.pos"), ["component", "doc", "pos"], "left_anti")

@@ -268,6 +268,17 @@ def test_lines_are_kept_once(spark):
     assert got[105]["kept"] == "own five" and got[109]["kept"] == "" and got[1]["kept"] is None and got[None]["kept"] == "no id here"
 
 
+def test_lines_are_made_once_and_lowered_once(spark, monkeypatch):
+    """The texts are split into lines by one call, and the filter of blank lines takes no second lower case; blank lines of any white space stay."""
+    calls, made = [], linededup.all_lines
+    monkeypatch.setattr(linededup, "all_lines", lambda rows: calls.append(made(rows)) or calls[-1])
+    line = "The quick brown fox jumps over the lazy dog near the river bank today"
+    rows = [(1, f" \t\r\n{line}\n\x0b\f \nÉtÉ {line}", "a"), (2, f"{line.upper()} \r\n\n \t{line}s", "a"), (3, "日本語の文章\nabcd\nABCD ", "a")]
+    got = {r["row"]["doc_id"]: (r["n_lines"], r["n_removed"], r["kept"]) for r in linededup.dedup_lines(docs(spark, rows), "doc_id", "text").collect()}
+    assert got == {1: (4, 1, f" \t\r\n{line}\n\x0b\f "), 2: (3, 2, ""), 3: (3, 1, "日本語の文章\nabcd")}
+    assert len(calls) == 1 and calls[0]._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
+
+
 def test_lines_far_apart_stay(spark):
     a, b = "alpha beta gamma delta epsilon zeta", "alpha beta gamma delta lambda kappa"
     got = linededup.dedup_lines(docs(spark, [(1, a, "a"), (2, b, "a")]), "doc_id", "text").collect()
