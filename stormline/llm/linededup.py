@@ -4,6 +4,9 @@ Why a band takes six minima: runs of five characters of unrelated prose have a J
 to 0.1 (common word parts), so three minima alone put twenty million unrelated pairs of 0.4 million
 lines into common bands, and the number grows with the square of the lines. Six leave some 0.02 million.
 Minima are shared between bands, so twelve bands of six need no more than thirty of them.
+
+A shingle's first five bits say which of the minima it can lower (its bin), so it is put to one of them, not to
+thirty; a minimum whose bin is empty is the one of the nearest bin that isn't, which is the minimum of XOR all the same.
 """
 
 from __future__ import annotations
@@ -16,9 +19,11 @@ from stormline.llm.store import Scratch, narrowed
 
 MINIMA = 30
 ROWS = 6
+BINS = 32
+WIDEST = 1_000_000_000  # partitions
 BANDS = 12
 GRAM = 5
-STEP = 4
+STEP = 8
 HUBS = 3
 PIECE = 500
 PARITIES = 8  # numbers of 64 parities
@@ -56,23 +61,37 @@ def grams(line: Column) -> Column:
 
 def all_lines(rows: DataFrame) -> DataFrame:
     """(doc, pos, line, node) of the lines that aren't blank, of rows with a key."""
-    out = rows.where(F.col("doc").isNotNull()).select("doc", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    # The outer form, as Spark filters the inner one by the size of the array, which splits each text again.
+    out = rows.where(F.col("doc").isNotNull()).select("doc", F.posexplode_outer(F.split("text", "\n", -1)).alias("pos", "line"))
     out = out.where(trimmed(F.col("line")) != "")  # before the lower case, which a filter behind it would take twice
     return out.select("doc", "pos", normal(F.col("line")).alias("line")).withColumn("node", F.xxhash64("line"))
 
 
-def salts(n: int = MINIMA) -> list[int]:
-    """n fixed 64-bit numbers, each with other first bits: minima of a small set then pick other shingles."""
-    out, x = [], 0
-    for i in range(n):
-        x = (x + 0x9E3779B97F4A7C15) % 2**64
-        z = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 % 2**64
-        z = (z ^ (z >> 27)) * 0x94D049BB133111EB % 2**64
-        z = (z ^ (z >> 31)) % 2**59 | i << 59
-        out.append(z - 2**64 if z >= 2**63 else z)
+def bins() -> list[int]:
+    """The bin of each of the minima.
+
+    Where a bin is empty its neighbour (the other last bit) takes its place, so that these two minima are one. Neighbours are in
+    columns next to each other and in one row of a band, one pair a band: apart they would cost short lines links, and more
+    pairs in a band would let unrelated short lines meet.
+    """
+    out = [0] * MINIMA
+    for pair in range(ROWS // 2):
+        for j in range(5):
+            for x in (2 * pair, 2 * pair + 1):
+                out[5 * x + (pair * x + j) % 5] = 2 * (5 * pair + j) + x % 2
     return out
 
 
+def salts() -> list[int]:
+    """A 64-bit number for each of the minima: a shingle with the first five bits of its bin then gets the smallest numbers there are."""
+    return [signed(k ^ BINS // 2, 59) for k in bins()]
+
+
+def signed(x: int, by: int = 0) -> int:
+    """x shifted to the left, as a long."""
+    return (x << by) - (2**64 if x << by >= 2**63 else 0)
+
+
 def band_members() -> list[list[int]]:
     """The minima of each band: lines over a table of six columns and five rows.
 
@@ -84,16 +103,26 @@ def band_members() -> list[list[int]]:
 def signatures(lines: DataFrame) -> DataFrame:
     """(node, n, bands, near1, near2): of each distinct line how often it occurs, a number for each band and four bits of each minimum.
 
-    The minima are over the very shingles that `grams` compares. STEP shingles are hashed in one row
-    and their minima taken there, and again for each line before anything is shuffled.
+    The minima are over the very shingles that `grams` compares. STEP shingles are hashed in one row, which is put to
+    the minima of their bins only, and merged for each line before anything is shuffled.
     """
     chars = lines.select("node", wide(F.col("line")).alias("chars")).withColumn("last", last_start(F.col("chars")))
-    pieces = chars.select("node", "chars", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(STEP))).alias("at"))
+    pieces = chars.select("node", "chars", "last", F.explode_outer(F.sequence(F.lit(0), F.col("last"), F.lit(STEP))).alias("at"))
     hashed = pieces.select("node", "at", *[gram(F.col("chars"), F.least(F.col("at") + i, F.col("last"))).alias(f"h{i}") for i in range(STEP)])
-    least = hashed.select("node", (F.col("at") == 0).cast("long").alias("begins"), *[
-        F.least(*[F.col(f"h{i}").bitwiseXOR(F.lit(c)) for i in range(STEP)]).alias(f"m{k}") for k, c in enumerate(salts())
-    ])
-    least = least.groupBy("node").agg(F.sum("begins").alias("n"), *[F.min(f"m{k}").alias(f"m{k}") for k in range(MINIMA)])
+    has = " | ".join(f"shiftleft(1L, CAST(shiftrightunsigned(h{i}, 59) AS INT))" for i in range(STEP))
+    hashed = hashed.withColumn("has", F.expr(has))
+    least = lambda k: ", ".join(f"h{i} ^ {signed(k ^ BINS // 2, 59)}L" for i in range(STEP))
+    found = hashed.groupBy("node").agg(
+        F.count_if(F.col("at") == 0).alias("n"),
+        *[F.expr(f"min(least({least(k)})) FILTER (WHERE (has & {1 << k}L) != 0)").alias(f"b{k}") for k in range(BINS)],
+    )
+    found = found.select("node", "n", *[F.coalesce(F.col(f"b{k}"), F.lit(0).cast("long")).alias(f"b{k}") for k in range(BINS)])
+    for level in range(5):  # an empty bin, which isn't below 0, takes the minimum of the nearest one, in blocks of 2, 4, .. 32 bins
+        near = lambda k, bit=1 << level: F.col(f"b{k ^ bit}").bitwiseXOR(F.lit(signed(bit, 59)))
+        found = found.select("node", "n", *[F.when(F.col(f"b{k}") < 0, F.col(f"b{k}")).otherwise(near(k)).alias(f"b{k}") for k in range(BINS)])
+        if level in (1, 4):
+            found = found.coalesce(WIDEST)  # joins no partitions, but ends a method of generated code: one of over 8000 bytes isn't compiled
+    least = found.select("node", "n", *[F.col(f"b{b}").alias(f"m{k}") for k, b in enumerate(bins())])
     bands = F.array(*[F.xxhash64(F.lit(j), *[F.col(f"m{k}") for k in ks]) for j, ks in enumerate(band_members())])
 
     def bits(ks: range) -> Column:
@@ -137,7 +166,7 @@ def hub_pairs(members: DataFrame) -> DataFrame:
 
 def parities(texts: DataFrame) -> DataFrame:
     """(node, n, p0..p7): the number of distinct runs of each line, and for each of 512 places the parity of those that hash there."""
-    runs = texts.select("node", F.explode(grams(F.col("line"))).alias("h"))
+    runs = texts.select("node", F.explode_outer(grams(F.col("line"))).alias("h"))  # outer: see all_lines
     place, bit = F.col("h").bitwiseAND(F.lit(PARITIES - 1)), F.expr(f"shiftleft(1L, cast(shiftright(h, {PARITIES.bit_length() - 1}) & 63 AS INT))")
     sketch = [F.bit_xor(F.when(place == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"p{k}") for k in range(PARITIES)]
     return runs.groupBy("node").agg(F.count("*").alias("n"), *sketch)
@@ -222,10 +251,11 @@ def alike_lines(rows: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, Da
         """Pairs whose exact similarity is enough."""
         both = pairs.join(texts.toDF("a", "line_a"), "a")
         both = both.join(texts.toDF("b", "line_b"), "b")
-        both = both.select("a", "b", grams(F.col("line_a")).alias("x"), grams(F.col("line_b")).alias("y"))
-        common = F.size(F.array_intersect("x", "y"))
-        links = both.where(common >= (F.size("x") + F.size("y") - common) * F.lit(similarity))
-        return scratch.put(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), name)
+        sets = both.select("a", "b", grams(F.col("line_a")).alias("x"), grams(F.col("line_b")).alias("y"))
+        counted = sets.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("common"))
+        counted = scratch.put(counted, name)  # a filter before it is stored would make the sets again
+        alike = F.col("common") >= (F.col("n") + F.col("m") - F.col("common")) * F.lit(similarity)
+        return counted.where(alike).select(F.col("a").alias("src"), F.col("b").alias("dst"))
 
     tried = scratch.put(hub_pairs(members).distinct(), "tried")
     links = verified(tried, "links")
