@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from datetime import datetime
 from zoneinfo import ZoneInfo
 
@@ -12,6 +13,7 @@ from stormline.plans import notify
 
 NY = ZoneInfo("America/New_York")
 UNITS = "now long, anchor long, asset_id int, kind string, tier int, rank double, silent boolean, own_mm double, active boolean"
+SMALL = "/root/testdata/sf0.001"
 START = int(datetime(2024, 6, 1, 20, tzinfo=NY).timestamp())
 
 
@@ -104,3 +106,39 @@ def test_a_replay_is_worked_out_once(spark):
     subs = spark.createDataFrame([("h", a, True) for a in range(12)], "handle string, asset_id int, elevated_optin boolean")
     assert notify.decisions(notify.tier_entries(units), subs).count() > 0
     assert made.value == sum(not r[6] for r in rows)
+
+
+def test_the_registered_query_blows_its_fuse_as_its_sql_does(spark, tmp_path):
+    """Customers and events repeated with shifted keys and nations, so that cycles want more than the fuse lets through."""
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    con, name = duckdb.connect(), "d46_notification_decisions"
+    copies = f"FROM '{SMALL}/customer.parquet' c, (SELECT unnest(range(0, 60)) AS k)"
+    con.execute(f"COPY (SELECT c.* REPLACE (c_custkey + 168 * k AS c_custkey, ((c_nationkey + k) % 25)::INT AS c_nationkey, c_acctbal + k AS c_acctbal) {copies}) TO '{tmp_path}/customer.parquet'")
+    con.execute(f"COPY (SELECT e.* REPLACE (user_id + k AS user_id) FROM '{SMALL}/events.parquet' e, (SELECT unnest(range(0, 25)) AS k)) TO '{tmp_path}/events.parquet'")
+    con.execute(f"COPY (FROM '{SMALL}/nation.parquet') TO '{tmp_path}/nation.parquet'")
+    for t in ("customer", "events", "nation"):
+        con.execute(f"CREATE VIEW {t} AS FROM '{tmp_path}/{t}.parquet'")
+    got = [tuple(r) for r in entry.queries()[name](spark, str(tmp_path)).select("now", "handle", "asset_id", "kind", "tier", "dropped").collect()]
+    want = con.sql(entry.oracle_sql()[name]).project("now, handle, asset_id, kind, tier, dropped").fetchall()
+    assert sorted(got, key=str) == sorted(want, key=str)
+    sent = Counter(r[0] for r in got if r[5] is None)
+    assert {r[0] for r in got if r[5] == "cycle_fuse"} == {now for now, n in sent.items() if n == notify.CYCLE_FUSE} != set()
+    assert max(sent.values()) == notify.CYCLE_FUSE
+
+
+def test_rounds_are_one_more_than_the_cycles_that_trip(spark, monkeypatch):
+    """Each handle has more than its cap in a cycle, spread over all assets: a fuse moves the caps of the rows behind it."""
+    rng, cap, fuse = random.Random(9), 3, 40
+    rows = [(START + c * 3600, 0, a, "stop", 1 + c, 1.0, False, 3.0, True) for c in range(2) for a in range(400)]
+    subs = [(f"h{rng.randrange(30)}", a, True) for a in range(400)]
+    rounds = []
+    keep = notify.stored
+    monkeypatch.setattr(notify, "stored", lambda df, name: (rounds.append(name), keep(df, name))[1])
+    units, s = spark.createDataFrame(rows, UNITS), spark.createDataFrame(subs, "handle string, asset_id int, elevated_optin boolean")
+    got = notify.decisions(notify.tier_entries(units), s, handle_cap=cap, cycle_fuse=fuse)
+    got = sorted((tuple(r) for r in got.select("now", "handle", "asset_id", "dropped").collect()), key=str)
+    assert got == plain(rows, subs, cap, fuse)
+    assert rounds.count("told") <= 1 + len({r[0] for r in got if r[3] == "cycle_fuse"})
